@@ -9,11 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality_scores
+
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import simhash_groups
 
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op5_simhash": op5_simhash}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_quality": op4_quality, "op5_simhash": op5_simhash}
 ORACLES: dict[str, str] = {}
