@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import packed
+
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import quality_scores
 
@@ -21,5 +27,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_quality": op4_quality, "op5_simhash": op5_simhash}
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_plan
+
+    return mix_plan(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op2_packing, op4_quality, op5_simhash, op9_mixing)}
 ORACLES: dict[str, str] = {}
