@@ -7,6 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .licences import licence_sql
+
+
+def op1_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pq import embedding_groups
+
+    return embedding_groups(table(spark, sf_dir, "embeddings"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,5 +40,30 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op2_packing, op4_quality, op5_simhash, op9_mixing)}
-ORACLES: dict[str, str] = {}
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .urlfilter import url_verdicts
+
+    return url_verdicts(table(spark, sf_dir, "pages"))
+
+
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licences import licence_scan
+
+    return licence_scan(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = """
+WITH u AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN regexp_extract(substr(url, instr(url, '://') + 3), '^[^?#]*') ELSE '' END AS rest FROM pages
+), p AS (
+  SELECT page_id, lower(regexp_extract(coalesce(rest, ''), '^[^/]*')) AS host, substr(coalesce(rest, ''), length(regexp_extract(coalesce(rest, ''), '^[^/]*')) + 1) AS path FROM u
+), r AS (
+  SELECT p.page_id, p.host, p.path, x.rule, x.verdict, row_number() OVER (PARTITION BY p.page_id, p.host, p.path ORDER BY length(x.rule) DESC) AS k
+  FROM p LEFT JOIN (VALUES ('net', '/', 'net/', 'block'), ('example.net', '/en/', 'example.net/en/', 'allow'), ('example.com', '/de/', 'example.com/de/', 'block'), ('org', '/fr/', 'org/fr/', 'allow')) AS x(h, pre, rule, verdict)
+  ON ends_with('.' || p.host, '.' || x.h) AND starts_with(p.path, x.pre)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM r WHERE k = 1
+"""
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_pq, op2_packing, op4_quality, op5_simhash, op8_urls, op9_mixing, op10_licences)}
+ORACLES: dict[str, str] = {"op8_urls": OP8_SQL, "op10_licences": licence_sql()}
