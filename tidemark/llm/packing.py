@@ -72,7 +72,10 @@ class ByteLevelTokenizer:
         return (self.whole if self.double.search(text) else self.single).encode_ordinary(text)
 
 
-tokenizer = lru_cache(2)(ByteLevelTokenizer)
+@lru_cache(2)
+def tokenizer(path: str) -> ByteLevelTokenizer:
+    """One tokenizer a worker and file."""
+    return ByteLevelTokenizer(path)
 
 
 class Bins:
