@@ -40,6 +40,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import compacted
+
+    return compacted(table(spark, sf_dir, "documents"))
+
+
 def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .rules import quality_rules
 
@@ -71,5 +77,5 @@ WITH u AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM r WHERE k = 1
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_pq, op2_packing, op4_quality, op5_simhash, op7_rules, op8_urls, op9_mixing, op10_licences)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_pq, op2_packing, op4_quality, op5_simhash, op6_sharding, op7_rules, op8_urls, op9_mixing, op10_licences)}
 ORACLES: dict[str, str] = {"op8_urls": OP8_SQL, "op10_licences": licence_sql()}
