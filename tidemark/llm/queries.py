@@ -64,6 +64,12 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_scan(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 OP8_SQL = """
 WITH u AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN regexp_extract(substr(url, instr(url, '://') + 3), '^[^?#]*') ELSE '' END AS rest FROM pages
@@ -77,5 +83,5 @@ WITH u AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM r WHERE k = 1
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_pq, op2_packing, op4_quality, op5_simhash, op6_sharding, op7_rules, op8_urls, op9_mixing, op10_licences)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_pq, op2_packing, op4_quality, op5_simhash, op6_sharding, op7_rules, op8_urls, op9_mixing, op10_licences, pipeline)}
 ORACLES: dict[str, str] = {"op8_urls": OP8_SQL, "op10_licences": licence_sql()}
