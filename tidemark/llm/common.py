@@ -118,7 +118,9 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers.get("up", ())) < n + 1:
         n = max(n, 1 << 20)
         for key, base in (("up", _STEP), ("down", pow(_STEP, -1, 2**64))):
-            _powers[key] = np.cumprod(np.concatenate([[1], np.full(n, base, np.uint64)]).astype(np.uint64), dtype=np.uint64)
+            factors = np.full(n + 1, base, np.uint64)
+            factors[0] = 1
+            _powers[key] = np.cumprod(factors, dtype=np.uint64)
     return _powers["up"], _powers["down"]
 
 
