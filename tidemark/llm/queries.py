@@ -22,6 +22,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm import interpolated_scores
+
+    return interpolated_scores(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import quality_scores
 
@@ -83,5 +89,5 @@ WITH u AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM r WHERE k = 1
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_pq, op2_packing, op4_quality, op5_simhash, op6_sharding, op7_rules, op8_urls, op9_mixing, op10_licences, pipeline)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_pq, op2_packing, op3_lm, op4_quality, op5_simhash, op6_sharding, op7_rules, op8_urls, op9_mixing, op10_licences, pipeline)}
 ORACLES: dict[str, str] = {"op8_urls": OP8_SQL, "op10_licences": licence_sql()}
