@@ -78,7 +78,8 @@ def percentile_ranks(df: DataFrame, keys: Names, fields: Sequence[tuple[str, int
         rank = (below + (F.col("_n") + 1) / 2) / total * 100
         if constant is not None:
             rank = F.when(F.count(F.lit(1)).over(whole) == 1, F.lit(float(constant))).otherwise(rank)
-        ranks = counts.select(*keys, "_v", F.when(total >= minimum, rank).alias(field + suffix))
-        condition = [df[k].eqNullSafe(ranks[k]) for k in keys] + [df[field] == ranks["_v"]]
-        df = df.join(ranks, condition, "left").select(*[df[c] for c in df.columns], ranks[field + suffix])
+        mine = [f"_k{i}" for i in range(len(keys))]
+        ranks = counts.select(*[F.col(k).alias(m) for k, m in zip(keys, mine, strict=True)], F.col("_v"), F.when(total >= minimum, rank).alias(field + suffix))
+        condition = [F.col(k).eqNullSafe(F.col(m)) for k, m in zip(keys, mine, strict=True)] + [F.col(field) == F.col("_v")]
+        df = df.join(ranks, condition, "left").drop(*mine, "_v")
     return df

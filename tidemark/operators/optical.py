@@ -95,7 +95,7 @@ def confidence(scenes: Column, months: Column, years: Column, valid_share: Colum
         ("too_few_valid_months", months < minimum_months),
         ("single_year_only", years < 2),
         ("low_valid_observation_share", valid_share < 0.25),
-        ("high_mask_burden", burden > 0.6),
+        ("high_mask_burden", F.round(burden, 9) > 0.6),  # a mean of tenths is not to depend on the order of its sum
     )
     reasons = F.array_compact(F.array(*[F.when(holds(t), F.lit(n)) for n, t in tests]))
     n = F.size(reasons)
