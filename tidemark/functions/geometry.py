@@ -38,40 +38,46 @@ def distances(line: Column) -> Column:
     return F.aggregate(steps(line), F.array(F.lit(0.0)), lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + x)))
 
 
-def interpolate(line: Column, distance: Column) -> Column:
-    """The point at a distance along the line, clamped to its ends."""
+def interpolate(line: Column, distance: Column, cum: Column | None = None) -> Column:
+    """The point at a distance along the line, clamped to its ends.  cum: the line's distances(), if they are at hand."""
 
     def at(cum: Column) -> Column:
         d = F.least(F.element_at(cum, -1), F.greatest(F.lit(0.0), distance))
-        below = F.size(F.filter(cum, lambda c: c < d))
-        i = F.least(F.greatest(below, F.lit(1)), F.size(cum) - 1)
-        a, b, from_, to = F.element_at(line, i), F.element_at(line, i + 1), F.element_at(cum, i), F.element_at(cum, i + 1)
-        t = F.coalesce(F.try_divide(d - from_, to - from_), F.lit(0.0))
-        return point(a["x"] + (b["x"] - a["x"]) * t, a["y"] + (b["y"] - a["y"]) * t)
+        # The first vertex at or beyond the distance, by a search from the start, and the one before it.
+        i = F.least(F.greatest(let(d, lambda v: F.size(F.filter(cum, lambda c: c < v))), F.lit(1)), F.size(cum) - 1)
+        return let(F.struct(d.alias("d"), i.alias("i")), lambda k: on_piece(cum, k))
 
-    return F.when(F.size(line) > 1, let(distances(line), at)).when(F.size(line) == 1, F.element_at(line, 1))
+    def on_piece(cum: Column, k: Column) -> Column:
+        from_, to = F.element_at(cum, k["i"]), F.element_at(cum, k["i"] + 1)
+        t = F.coalesce(F.try_divide(k["d"] - from_, to - from_), F.lit(0.0))
+        piece = F.struct(F.element_at(line, k["i"]).alias("a"), F.element_at(line, k["i"] + 1).alias("b"), t.alias("t"))
+        return let(piece, lambda s: point(s["a"]["x"] + (s["b"]["x"] - s["a"]["x"]) * s["t"], s["a"]["y"] + (s["b"]["y"] - s["a"]["y"]) * s["t"]))
 
+    return F.when(distance.isNull(), None).when(F.size(line) > 1, let(distances(line) if cum is None else cum, at)).when(F.size(line) == 1, F.element_at(line, 1))
 
-def between(line: Column, start: Column, end: Column) -> Column:
+
+def between(line: Column, start: Column, end: Column, cum: Column | None = None) -> Column:
     """The part of a line from one distance to another."""
-    inner = let(distances(line), lambda cum: F.transform(F.filter(F.arrays_zip(line.alias("p"), cum.alias("d")), lambda v: (v["d"] > start) & (v["d"] < end)), lambda v: v["p"]))
-    return F.concat(F.array(interpolate(line, start)), inner, F.array(interpolate(line, end)))
+    cum = distances(line) if cum is None else cum
+    inner = let(cum, lambda c: F.transform(F.filter(F.arrays_zip(line.alias("p"), c.alias("d")), lambda v: (v["d"] > start) & (v["d"] < end)), lambda v: v["p"]))
+    return F.concat(F.array(interpolate(line, start, cum)), inner, F.array(interpolate(line, end, cum)))
 
 
 def bearing(a: Column, b: Column) -> Column:
     """Degrees clockwise from north of the way from a to b."""
-    return F.pmod(F.degrees(F.atan2(b["x"] - a["x"], b["y"] - a["y"])), F.lit(360.0))
+    return let(F.struct(a.alias("a"), b.alias("b")), lambda s: F.pmod(F.degrees(F.atan2(s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"])), F.lit(360.0)))
 
 
 def offset(origin: Column, degrees: Column, distance: Column | float) -> Column:
     """The point at a bearing and a distance."""
-    return point(origin["x"] + F.sin(F.radians(degrees)) * distance, origin["y"] + F.cos(F.radians(degrees)) * distance)
+    return let(origin, lambda o: point(o["x"] + F.sin(F.radians(degrees)) * distance, o["y"] + F.cos(F.radians(degrees)) * distance))
 
 
-def local_bearing(line: Column, distance: Column, window: float = 5.0) -> Column:
+def local_bearing(line: Column, distance: Column, window: float = 5.0, cum: Column | None = None) -> Column:
     """The bearing of the line around a distance: between the points a window before and after (a quarter of a short line)."""
-    half = F.least(F.lit(window), length(line) / 4)
-    return bearing(interpolate(line, distance - half), interpolate(line, distance + half))
+    cum = distances(line) if cum is None else cum
+    half = F.least(F.lit(window), F.element_at(cum, -1) / 4)
+    return bearing(interpolate(line, distance - half, cum), interpolate(line, distance + half, cum))
 
 
 def angle_between(a: Column, b: Column) -> Column:

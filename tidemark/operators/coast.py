@@ -72,18 +72,19 @@ def segment_breaks(length: Column, target: float, minimum: float) -> Column:
 
 def segments(parts: DataFrame, region: str, target: float = 250.0, minimum: float = 75.0, version: str = "v1") -> DataFrame:
     """One row per segment: id, part, number, length, distances, midpoint, line and four bearings."""
-    rows = parts.withColumn("_length", G.length(F.col("line"))).withColumn("_breaks", segment_breaks(F.col("_length"), target, minimum))
+    cum = F.col("_cum")
+    rows = parts.withColumn("_cum", G.distances(F.col("line"))).withColumn("_breaks", segment_breaks(F.element_at(cum, -1), target, minimum))
     cut = rows.select("*", F.posexplode(F.slice("_breaks", F.lit(1), F.size("_breaks") - 1)).alias("segment_number", "start_distance_m"))
     cut = cut.withColumn("end_distance_m", F.element_at("_breaks", F.col("segment_number") + 2))
     middle = (F.col("start_distance_m") + F.col("end_distance_m")) / 2
-    cut = cut.withColumn("midpoint", G.interpolate(F.col("line"), middle)).withColumn("local_bearing_deg", G.local_bearing(F.col("line"), middle))
+    cut = cut.withColumn("midpoint", G.interpolate(F.col("line"), middle, cum)).withColumn("local_bearing_deg", G.local_bearing(F.col("line"), middle, cum=cum))
     turned = lambda d: F.pmod(F.col("local_bearing_deg") + d, F.lit(360.0))
     return cut.select(
         F.format_string(f"{region}_{version}_%s_%05d", "coastline_part_id", F.col("segment_number") + 1).alias("segment_id"),
         "coastline_part_id", (F.col("segment_number") + 1).alias("segment_number"),
         (F.col("end_distance_m") - F.col("start_distance_m")).alias("segment_length_m"), "start_distance_m", "end_distance_m", "midpoint",
         "local_bearing_deg", turned(180).alias("reverse_bearing_deg"), turned(-90).alias("left_normal_deg"), turned(90).alias("right_normal_deg"),
-        G.between(F.col("line"), F.col("start_distance_m"), F.col("end_distance_m")).alias("line"),
+        G.between(F.col("line"), F.col("start_distance_m"), F.col("end_distance_m"), cum).alias("line"),
     )
 
 
@@ -110,16 +111,19 @@ def oriented(segments_: DataFrame, land: Sequence[tuple[float, float, float, flo
     sides differ and the greater has votes enough (all but a third, or one of one) decides.
     """
     enough = 1 if len(offsets) == 1 else math.ceil(2 * len(offsets) / 3)
-    middle = G.length(F.col("line")) / 2
-    attempts = []
-    for i, d in enumerate(distances):
-        left, right = F.lit(0), F.lit(0)
-        for o in offsets:
-            at = G.interpolate(F.col("line"), middle + o)
-            sides = [G.covered_by(G.offset(at, F.col(c), d), list(land)) for c in ("left_normal_deg", "right_normal_deg")]
-            left, right = left + (sides[0] & ~sides[1]).cast("int"), right + (sides[1] & ~sides[0]).cast("int")
-        attempts.append(F.struct(F.lit(i).alias("i"), F.lit(float(d)).alias("d"), left.alias("l"), right.alias("r")))
-    rows = segments_.withColumn("_attempts", F.array(*attempts))
+    middle = F.element_at("_cum", -1) / 2
+    on_land = lambda p: G.let(p, lambda q: G.covered_by(q, list(land)))
+
+    def vote(at: Column, d: float) -> Column:
+        sides = F.struct(*[on_land(G.offset(at, F.col(c), d)).alias(n) for n, c in (("l", "left_normal_deg"), ("r", "right_normal_deg"))])
+        return G.let(sides, lambda s: F.struct((s["l"] & ~s["r"]).cast("int").alias("l"), (s["r"] & ~s["l"]).cast("int").alias("r")))
+
+    def attempt(i: int, d: float) -> Column:
+        votes = F.array(*[G.let(G.interpolate(F.col("line"), middle + o, F.col("_cum")), lambda at: vote(at, d)) for o in offsets])
+        total = lambda v, n: F.aggregate(v, F.lit(0), lambda s, x: s + x[n])
+        return G.let(votes, lambda v: F.struct(F.lit(i).alias("i"), F.lit(float(d)).alias("d"), total(v, "l").alias("l"), total(v, "r").alias("r")))
+
+    rows = segments_.withColumn("_cum", G.distances(F.col("line"))).withColumn("_attempts", F.array(*[attempt(i, d) for i, d in enumerate(distances)]))
     chosen = F.get(F.filter("_attempts", lambda a: (a["l"] != a["r"]) & (F.greatest(a["l"], a["r"]) >= enough)), F.lit(0))
     rows = rows.withColumn("_a", chosen)
     resolved, on_left = F.col("_a").isNotNull(), F.col("_a.l") > F.col("_a.r")
@@ -133,7 +137,7 @@ def oriented(segments_: DataFrame, land: Sequence[tuple[float, float, float, flo
             "orientation_vote_count_seaward": F.least("_a.l", "_a.r"),
             "orientation_attempts": F.transform(F.filter("_attempts", lambda a: ~resolved | (a["i"] <= F.col("_a.i"))), lambda a: a["d"]),
         }
-    ).drop("_a", "_attempts")
+    ).drop("_a", "_attempts", "_cum")
 
 
 def transect_origins(length: Column, spacing: float, tail: float = 0.0) -> Column:
@@ -145,9 +149,10 @@ def transect_origins(length: Column, spacing: float, tail: float = 0.0) -> Colum
 
 def transects(oriented_: DataFrame, spacing: float = 25.0, inland: float = 100.0, offshore: float = 200.0) -> DataFrame:
     """Two lines per origin, inland and offshore, along the local normal on the landward (seaward) side.  Ambiguous segments have none."""
-    rows = oriented_.where("landward_bearing_deg is not null").withColumn("_length", G.length(F.col("line")))
-    rows = rows.select("*", F.posexplode(transect_origins(F.col("_length"), spacing)).alias("_i", "origin_distance_m"))
-    rows = rows.withColumn("_b", G.local_bearing(F.col("line"), F.col("origin_distance_m"))).withColumn("_o", G.interpolate(F.col("line"), F.col("origin_distance_m")))
+    cum, at = F.col("_cum"), F.col("origin_distance_m")
+    rows = oriented_.where("landward_bearing_deg is not null").withColumn("_cum", G.distances(F.col("line")))
+    rows = rows.select("*", F.posexplode(G.let(F.element_at(cum, -1), lambda n: transect_origins(n, spacing))).alias("_i", "origin_distance_m"))
+    rows = rows.withColumn("_b", G.local_bearing(F.col("line"), at, cum=cum)).withColumn("_o", G.interpolate(F.col("line"), at, cum))
     left, right = F.pmod(F.col("_b") - 90, F.lit(360.0)), F.pmod(F.col("_b") + 90, F.lit(360.0))
     landward = F.when(G.angle_between(left, F.col("landward_bearing_deg")) <= G.angle_between(right, F.col("landward_bearing_deg")), left).otherwise(right)
     kinds = F.explode(F.array(*[F.struct(F.lit(n).alias("direction"), F.lit(float(m)).alias("length_m"), F.lit(turn).alias("turn")) for n, m, turn in (("inland", inland, 0.0), ("offshore", offshore, 180.0))])).alias("k")
@@ -161,10 +166,11 @@ def transects(oriented_: DataFrame, spacing: float = 25.0, inland: float = 100.0
 
 def seaward_transects(oriented_: DataFrame, spacing: float = 100.0, length: float = 500.0) -> DataFrame:
     """One line seawards per origin; the tail rule is half a spacing, the tangent is taken over 2 units either way."""
-    rows = oriented_.where("seaward_bearing_deg is not null and orientation_status <> 'ambiguous'").withColumn("_length", G.length(F.col("line")))
-    rows = rows.select("*", F.posexplode(transect_origins(F.col("_length"), spacing, spacing / 2)).alias("_i", "origin_distance_m"))
-    tangent = G.bearing(G.interpolate(F.col("line"), F.col("origin_distance_m") - 2.0), G.interpolate(F.col("line"), F.col("origin_distance_m") + 2.0))
-    rows = rows.withColumn("_b", tangent).withColumn("_o", G.interpolate(F.col("line"), F.col("origin_distance_m")))
+    rows = oriented_.where("seaward_bearing_deg is not null and orientation_status <> 'ambiguous'").withColumn("_cum", G.distances(F.col("line")))
+    cum, at = F.col("_cum"), F.col("origin_distance_m")
+    rows = rows.select("*", F.posexplode(G.let(F.element_at(cum, -1), lambda n: transect_origins(n, spacing, spacing / 2))).alias("_i", "origin_distance_m"))
+    tangent = G.bearing(G.interpolate(F.col("line"), at - 2.0, cum), G.interpolate(F.col("line"), at + 2.0, cum))
+    rows = rows.withColumn("_b", tangent).withColumn("_o", G.interpolate(F.col("line"), at, cum))
     left, right = F.pmod(F.col("_b") - 90, F.lit(360.0)), F.pmod(F.col("_b") + 90, F.lit(360.0))
     nearest = F.when(G.angle_between(left, F.col("seaward_bearing_deg")) <= G.angle_between(right, F.col("seaward_bearing_deg")), left).otherwise(right)
     return rows.withColumn("bearing_deg", nearest).select(
@@ -217,6 +223,6 @@ def within_distance(left: DataFrame, right: DataFrame, left_key: str, right_key:
 
 def extent(df: DataFrame, line: str) -> DataFrame:
     """min_x, min_y, max_x and max_y over all vertices, from each line's own bounds."""
-    own = [f(F.transform(line, lambda p, a=axis: p[a])) for f in (F.array_min, F.array_max) for axis in ("x", "y")]
+    own = [f(F.col(line)[axis]) for f in (F.array_min, F.array_max) for axis in ("x", "y")]
     bounds = df.select(*[c.alias(n) for c, n in zip(own, ("a", "b", "c", "d"), strict=True)])
     return bounds.agg(F.min("a").alias("min_x"), F.min("b").alias("min_y"), F.max("c").alias("max_x"), F.max("d").alias("max_y"))

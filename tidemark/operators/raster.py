@@ -36,7 +36,7 @@ def slope(grid: DataFrame, keys: Sequence[str] = (), resolution: float = 1.0, va
         return F.when(F.col(has_before) & F.col(has_after), two).when(F.col(has_after), F.col(after) - F.col("_c")).when(F.col(has_before), F.col("_c") - F.col(before)) / resolution
 
     steep = F.degrees(F.atan(F.hypot(gradient("_n", "_s", "_hn", "_hs"), gradient("_w", "_e", "_hw", "_he"))))
-    return cells.where("_own").select(*keys, "row", "col", F.when(F.col("_c").isNotNull(), F.least(F.lit(90.0), F.greatest(F.lit(0.0), steep))).alias("slope_deg"))
+    return cells.where("_own").withColumn("_steep", steep).select(*keys, "row", "col", F.when(F.col("_c").isNotNull() & F.col("_steep").isNotNull(), F.least(F.lit(90.0), F.greatest(F.lit(0.0), F.col("_steep")))).alias("slope_deg"))
 
 
 def window_radius(metres: float, pixel: float) -> int:
