@@ -3,9 +3,8 @@
 The share of each source is filled like connected vessels: its target is its weight's part
 of the whole, but at most `repeats` times its size, and what it cannot take goes to the
 others by weight.  A source repeats all its documents as often as they fit whole; for the
-rest, documents are counted by exact length, each length gives its proportional share, and
-a bounded-knapsack dynamic programme over the remaining counts fits what is left of the
-budget.  Which documents of a length are taken follows a seeded hash.
+rest, documents are counted by exact length, lengths give proportional shares of most of
+it, and a bounded-knapsack dynamic programme over the remaining counts fits what is left.  Which documents of a length are taken follows a seeded hash.
 """
 
 from __future__ import annotations
@@ -50,36 +49,37 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, repea
     return shared.select("source", "source_size", F.coalesce(F.col("weight") * first, F.col("full")).alias("target"))
 
 
-def _fitted(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+def _fitted(lengths: np.ndarray, counts: np.ndarray, budget: int, times: int = 1) -> np.ndarray:
     """How many documents of each length to take, so that their lengths add up to budget or come as near below as they can.
 
-    Proportional shares first; what they leave is less than the sum of the distinct lengths.
-    The longest lengths that fit take one more each until the rest is small; then a dynamic
-    programme over the sums up to it (bits of a whole number) takes from what is left.
+    Of what the budget is above LAST_WORDS, each length has its proportional share; what
+    rounding leaves of that is filled with one more of each length, the longest first.  For
+    the last words, a dynamic programme over all sums up to them (bits of a whole number)
+    takes from what is left, in a fixed random order of the lengths so that none is favoured;
+    only sums that no document's first use reaches use documents up to `times` times.
     """
     total = int((lengths * counts).sum())
-    if budget >= total or not total:
+    if not total or (budget >= total and times == 1):
         return counts.copy()
-    take = np.array([int(c) * budget // total for c in counts.tolist()], np.int64)
-    order = np.argsort(-lengths, kind="stable")
+    take = np.array([int(c) * max(0, budget - LAST_WORDS) // total for c in counts.tolist()], np.int64)
     rest = budget - int((take * lengths).sum())
-    keep = min(2 * int(lengths.max()), LAST_WORDS)
-    for i in order:
-        if lengths[i] and take[i] < counts[i] and rest - lengths[i] >= keep:
+    for i in np.argsort(-lengths, kind="stable"):
+        if lengths[i] and take[i] < counts[i] and rest - lengths[i] >= LAST_WORDS:
             take[i] += 1
             rest -= int(lengths[i])
-    # The remaining budget in sums of what is left, by binary splitting of each length's count.
+    # Sums of what is left, with each length's count split into powers of two.
     mask, reach, items = (1 << (rest + 1)) - 1, 1, []
-    for i in order[::-1]:
-        n, part = int(min(counts[i] - take[i], rest // lengths[i] if lengths[i] else 0)), 1
+    order = np.random.default_rng(len(lengths)).permutation(len(lengths)).tolist()
+    for i, left in [(i, counts[i] - take[i]) for i in order] + [(i, counts[i] * (times - 1)) for i in order]:
+        if reach == mask:
+            break
+        n, part = int(min(left, rest // lengths[i] if lengths[i] else 0)), 1
         while n > 0:
             part = min(part, n)
-            items.append((int(i), part, reach))
+            items.append((i, part, reach))
             reach |= reach << part * int(lengths[i]) & mask
             n -= part
             part *= 2
-        if reach == mask:
-            break
     at = reach.bit_length() - 1
     for i, part, earlier in reversed(items):
         if not earlier >> at & 1:
@@ -90,9 +90,9 @@ def _fitted(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
 
 def _fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
     """The length counts of one source to the number to take of each length."""
-    pdf = pdf.sort_values("size")
+    pdf = pdf.sort_values("size").reset_index(drop=True)
     budget = int(round(pdf["target"].iloc[0] - pdf["whole"].iloc[0] * pdf["source_size"].iloc[0]))
-    return pdf.assign(take=_fitted(pdf["size"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64), max(0, budget)))[["source", "size", "take"]]
+    return pdf.assign(take=_fitted(pdf["size"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64), max(0, budget), max(1, REPEATS - int(pdf["whole"].iloc[0]))))[["source", "size", "n", "take"]]
 
 
 def mix_plan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS, seed: int = SEED) -> DataFrame:
@@ -115,13 +115,13 @@ def mix_plan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         .drop("source")
     )
     # One group per source: its distinct lengths, whose number is bounded by the longest document, not by rows.
-    taken = lengths.drop("source").join(targets, "key").withColumnRenamed("key", "source").groupBy("source").applyInPandas(_fit_group, "source string, size long, take long").withColumnRenamed("source", "key")
+    taken = lengths.drop("source").join(targets, "key").withColumnRenamed("key", "source").groupBy("source").applyInPandas(_fit_group, "source string, size long, n long, take long").select(F.col("source").alias("key"), "size", F.expr("take div n").alias("every"), F.expr("take % n").alias("take"))
     # The first `take` documents of a length by hash: whole ranges up to some range, and a part of that one.
     in_order = Window.partitionBy("key", "size").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     quota = ranges.join(taken, ["key", "size"]).withColumn("quota", F.greatest(F.lit(0), F.least(F.col("n"), F.col("take") - F.coalesce(F.sum("n").over(in_order), F.lit(0)))))
-    partial = quota.where("quota > 0").select("key", "size", "range", "quota", "n")
+    partial = quota.where("quota > 0 or every > 0").select("key", "size", "range", "quota", "every")
     ranked = rows.withColumn("range", F.shiftrightunsigned("hash", 58)).withColumn("place", F.row_number().over(Window.partitionBy("key", "size", "range").orderBy("hash", "doc_id")))
-    chosen = ranked.join(partial, ["key", "size", "range"], "left").withColumn("extra", F.coalesce((F.col("place") <= F.col("quota")).cast("long"), F.lit(0)))
+    chosen = ranked.join(partial, ["key", "size", "range"], "left").withColumn("extra", F.coalesce((F.col("place") <= F.col("quota")).cast("long") + F.col("every"), F.lit(0)))
     out = salted_left_join(chosen.select("key", "doc_id", "size", "extra"), targets, ["key"], "doc_id")
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.least(F.lit(repeats), F.col("whole") + F.col("extra"))).alias("taken"))
 
