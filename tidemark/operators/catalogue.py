@@ -21,8 +21,8 @@ def select_scenes(scenes: DataFrame, reasons: Sequence[tuple[str, Column]], dupl
     """Adds selection_reason and selected.
 
     Candidates (no rule fails) of one duplicate group keep the first by preference; of what
-    is left, rows beyond the maximum in order are capped.  preference and order have to be
-    total.  The cap looks up the last row that fits, and compares the others with it, so
+    is left, rows beyond the maximum in (ascending) order are capped.  preference and order
+    have to be total.  The cap looks up the last row that fits, and compares the others with it, so
     that no task sorts all rows.
     """
     rated = scenes.withColumn("selection_reason", first_reason(reasons))

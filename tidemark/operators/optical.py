@@ -127,7 +127,7 @@ def seasonal_features(
         F.count(F.lit(1)).alias("candidate_observation_count"),
         F.count_distinct(F.when(F.col("_valid"), F.col("scene_id"))).alias("valid_scene_count"),
         F.count_distinct(F.when(F.col("_valid"), F.col("year"))).alias("valid_year_count"),
-        F.count_distinct(F.when(F.col("_valid"), F.struct("year", "month"))).alias("valid_month_count"),
+        F.count_distinct(F.when(F.col("_valid"), F.col("month"))).alias("valid_month_count"),
         share(F.col("_valid")).alias("valid_observation_share"),
         q(0.1).alias("clarity_percentile_p10"), q(0.5).alias("clarity_percentile_p50"), q(0.9).alias("clarity_percentile_p90"),
         (q(0.75) - q(0.25)).alias("clarity_variability_iqr"),

@@ -74,7 +74,7 @@ SEASONAL = (
     CASE WHEN valid THEN clarity_percentile END AS v FROM clarity JOIN periods ON month = pm
 ), main AS (
   SELECT segment_id, zone_type, period_id, count(*) AS candidate_observation_count, count(DISTINCT CASE WHEN ok THEN scene_id END) AS valid_scene_count,
-    count(DISTINCT CASE WHEN ok THEN year END) AS valid_year_count, count(DISTINCT CASE WHEN ok THEN year * 100 + month END) AS valid_month_count,
+    count(DISTINCT CASE WHEN ok THEN year END) AS valid_year_count, count(DISTINCT CASE WHEN ok THEN month END) AS valid_month_count,
     avg(ok::INT) AS valid_observation_share, quantile_cont(v, 0.1) AS clarity_percentile_p10, quantile_cont(v, 0.5) AS clarity_percentile_p50, quantile_cont(v, 0.9) AS clarity_percentile_p90,
     quantile_cont(v, 0.75) - quantile_cont(v, 0.25) AS clarity_variability_iqr, mad(v) AS clarity_variability_mad,
     avg(CASE WHEN ok THEN (v >= 75)::INT END) AS clear_water_observation_share, avg(CASE WHEN ok THEN (v <= 25)::INT END) AS turbid_water_observation_share,
