@@ -109,16 +109,16 @@ def q10_scene_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return optical.scene_features(observations(spark, sf_dir), glint_limit=0.3)
 
 
-@query(rounded(GRID + """, cells AS (SELECT label AS segment_id, row // 10 AS scene_id, row % 10 AS r, col, value FROM grid WHERE value IS NOT NULL AND row < 60),
+@query(rounded(GRID + """, cells AS (SELECT label AS segment_id, row % 8 AS scene_id, row // 8 AS r, col, value FROM grid WHERE value IS NOT NULL),
 pairs AS (
   SELECT x.segment_id, count(*) AS n, corr(x.value, y.value) AS r, stddev_pop(x.value) AS sx, stddev_pop(y.value) AS sy
   FROM cells x JOIN cells y ON x.segment_id = y.segment_id AND x.r = y.r AND x.col = y.col AND x.scene_id < y.scene_id GROUP BY x.segment_id, x.scene_id, y.scene_id
 ), found AS (SELECT segment_id, count(*) AS pair_count, avg((r >= 0.05)::INT) AS texture_persistence, quantile_cont(r, 0.5) AS correlation_p50 FROM pairs WHERE n >= 9 AND sx > 0 AND sy > 0 GROUP BY segment_id)
 --SELECT SELECT s.segment_id, coalesce(pair_count, 0) AS pair_count, texture_persistence, correlation_p50,
   CASE WHEN pair_count IS NULL THEN 'insufficient' WHEN texture_persistence >= 0.5 THEN 'repeatable' ELSE 'not_repeatable' END AS texture_status
-FROM (SELECT DISTINCT label AS segment_id FROM grid WHERE row < 60) s LEFT JOIN found USING (segment_id)""", "texture_persistence", "correlation_p50"))
+FROM (SELECT DISTINCT label AS segment_id FROM grid) s LEFT JOIN found USING (segment_id)""", "texture_persistence", "correlation_p50"))
 def q33_pair_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = grid(spark, sf_dir).where("row < 60").select(F.col("label").alias("segment_id"), F.floor(F.col("row") / 10).alias("scene_id"), (F.col("row") % 10).alias("row"), "col", "value")
+    cells = grid(spark, sf_dir).select(F.col("label").alias("segment_id"), (F.col("row") % 8).alias("scene_id"), F.floor(F.col("row") / 8).alias("row"), "col", "value")
     return tidy(optical.pair_repeatability(cells, least=0.05))
 
 

@@ -232,11 +232,11 @@ def q43_transect_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(rows.select("transect_id", "origin_distance_m", "bearing_deg", end["x"].alias("end_x"), end["y"].alias("end_y")))
 
 
-@query(ORIENTED + """, strips AS (SELECT vec_id, zone, x1 AS ox, y1 AS oy, a, b2, CASE WHEN l THEN uy ELSE -uy END AS sx, CASE WHEN l THEN -ux ELSE ux END AS sy FROM oriented, (VALUES ('nearshore', 20, 100), ('coastal', 100, 300)) t(zone, a, b2) WHERE l IS NOT NULL AND vec_id % 4 = 0),
+@query(ORIENTED + """, strips AS (SELECT vec_id, zone, x1 AS ox, y1 AS oy, a, b2, CASE WHEN l THEN uy ELSE -uy END AS sx, CASE WHEN l THEN -ux ELSE ux END AS sy FROM oriented, (VALUES ('nearshore', 20, 100), ('coastal', 100, 300)) t(zone, a, b2) WHERE l IS NOT NULL),
 pts AS (SELECT vec_id AS point_id, x2 AS px, y2 AS py FROM n)
 SELECT DISTINCT point_id, vec_id || '_' || zone AS zone_id FROM pts, strips WHERE (px - ox) * sx + (py - oy) * sy BETWEEN a AND b2 AND abs((px - ox) * sy - (py - oy) * sx) <= 50""")
 def q45_zone_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _oriented(spark, sf_dir).where("seaward_bearing_deg is not null and vec_id % 4 = 0")
+    rows = _oriented(spark, sf_dir).where("seaward_bearing_deg is not null")
     seaward = rows.select("segment_id", F.array(F.get("line", F.lit(0))).alias("line"), F.col("seaward_bearing_deg").alias("bearing_deg"))
     strips = coast.zone_strips(seaward, (("nearshore", 20, 100), ("coastal", 100, 300)), 100.0)
     points = lines(spark, sf_dir, 2).select(F.col("vec_id").alias("point_id"), F.get("line", F.lit(1)).alias("p"))
