@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from .common import checkpointed, crc_mod, finish, in_slices, text_bytes, word_hashes
 
 FOLDS, HELD_OUT, DELETED = 5, 1, 2
-BLOCK_BYTES = 6 << 20
-BUCKET_BYTES = 8 << 20
-SLICE = 1 << 20
+BLOCK_BYTES = 4 << 20
+BUCKET_BYTES = 4 << 20
+SLICE = 1 << 19
 CONTEXTS = 48
 #: Steps of the ratio of the estimates to a factor of two, in the held-out counts.
 RESOLUTION = 16
