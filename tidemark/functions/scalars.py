@@ -114,3 +114,18 @@ def transverse_mercator(lon: Column, lat: Column, zone: int = 31) -> tuple[Colum
         north = north + c * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
         east = east + c * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
     return 500000.0 + 0.9996 * mean_radius * east, 0.9996 * mean_radius * north
+
+
+def interpretation(relief: Column, gradient: Column, valid_share: Column, high_relief: float = 20.0, steep: float = 0.01, shoaling: float = -0.0025) -> Column:
+    """A sentence or two on a segment, by fixed rules: land, then sea; what is not known is said to be."""
+    land = F.when(relief.isNull(), "Terrain is not available.").when(relief >= high_relief, "High land relief near the coast.").otherwise("Low land relief near the coast.")
+    sea = (
+        F.when(~holds(valid_share > 0), "Depth is not available.").when(gradient.isNull(), "Depth is known, its gradient is not.")
+        .when(gradient > steep, "The sea floor deepens fast.").when(gradient < shoaling, "The sea floor shoals seawards.").otherwise("The sea floor deepens gently.")
+    )
+    return F.concat_ws(" ", land, sea)
+
+
+def stretched(value: Column, low: Column, high: Column) -> Column:
+    """A value between two quantiles as 0 to 255, for display."""
+    return F.bround(palette_position(value, low, high) * 255).cast("int")

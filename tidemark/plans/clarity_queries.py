@@ -155,3 +155,20 @@ def q39_radiometry_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q55_period_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = table(spark, sf_dir, "nation").select(F.concat(F.lit("seg_"), F.col("n_nationkey")).alias("segment_id"), "n_name", F.lit(0.0).alias("clarity_percentile_p50"))
     return tidy(optical.attach_period(features, seasonal(spark, sf_dir), "june", "2-HIGH"))
+
+
+@query(rounded(OBSERVATIONS + """, t AS (
+  SELECT 'observations' AS "check", CAST(count(*) AS DOUBLE) AS value, CAST(1 AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high FROM clarity
+  UNION ALL SELECT 'percentiles_out_of_range', count(*) FILTER (WHERE clarity_percentile < 0 OR clarity_percentile > 100), NULL, 0 FROM clarity
+  UNION ALL SELECT 'valid_without_percentile', count(*) FILTER (WHERE valid AND clarity_percentile IS NULL), NULL, NULL FROM clarity
+  UNION ALL SELECT 'valid_share', avg(valid::INT), 0.9, NULL FROM clarity
+)--SELECT SELECT "check", coalesce(value >= low, true) AND coalesce(value <= high, true) AS passed, value, low, high FROM t""", "value", "low", "high"))
+def q62_clarity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.quality import Check, report
+
+    p = F.col("clarity_percentile")
+    checks = [
+        Check("observations", F.count(F.lit(1)), low=1), Check("percentiles_out_of_range", F.count_if((p < 0) | (p > 100)), high=0),
+        Check("valid_without_percentile", F.count_if(F.col("valid") & p.isNull())), Check("valid_share", F.avg(F.col("valid").cast("double")), low=0.9),
+    ]
+    return tidy(report(clarity(spark, sf_dir), checks))

@@ -265,3 +265,36 @@ def q57_polygon_with_hole(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = spark.createDataFrame(rings, "x1 double, y1 double, x2 double, y2 double")
     points = lines(spark, sf_dir, 2).select("vec_id", F.get("line", F.lit(0)).alias("p"))
     return coast.covered_points(points, "vec_id", edges, cell=50.0).withColumn("zero", F.lit(0.0))
+
+
+@query(rounded(VERTICES + """, v AS (SELECT vec_id, k, x / 10 AS lon, y / 10 AS lat, lead(x / 10) OVER w AS lon2, lead(y / 10) OVER w AS lat2 FROM vertices WINDOW w AS (PARTITION BY vec_id ORDER BY k)),
+a AS (SELECT vec_id, pow(sin(radians(lat2 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(lat2)) * pow(sin(radians(lon2 - lon) / 2), 2) AS h FROM v WHERE lon2 IS NOT NULL)
+--SELECT SELECT vec_id, max(2 * 6371.0088 * asin(sqrt(least(1.0, h)))) AS largest_step_km FROM a GROUP BY 1""", "largest_step_km"))
+def q58_great_circle_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lines(spark, sf_dir).select("vec_id", F.transform("line", lambda p: F.struct((p["x"] / 10).alias("x"), (p["y"] / 10).alias("y"))).alias("line"))
+    n = F.size("line")
+    far = F.zip_with(F.slice("line", F.lit(1), n - 1), F.slice("line", F.lit(2), n - 1), lambda a, b: S.great_circle_km(a["x"], a["y"], b["x"], b["y"]))
+    return tidy(rows.select("vec_id", F.array_max(far).alias("largest_step_km")))
+
+
+@query(PROFILES + """, s AS (SELECT segment_id, median(g1) AS gradient, count(*) FILTER (WHERE status <> 'no_valid_bathymetry') / count(*) AS valid, median(d_100) AS relief FROM g GROUP BY 1)
+SELECT segment_id, CASE WHEN relief IS NULL THEN 'Terrain is not available.' WHEN relief >= 20 THEN 'High land relief near the coast.' ELSE 'Low land relief near the coast.' END || ' ' ||
+CASE WHEN NOT coalesce(valid > 0, false) THEN 'Depth is not available.' WHEN gradient IS NULL THEN 'Depth is known, its gradient is not.' WHEN gradient > 0.01 THEN 'The sea floor deepens fast.' WHEN gradient < -0.0025 THEN 'The sea floor shoals seawards.' ELSE 'The sea floor deepens gently.' END AS interpretation FROM s""")
+def q59_interpretation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _features(spark, sf_dir).where("bathymetry_transect_count > 0")
+    return rows.select("segment_id", S.interpretation(F.col("depth_100m_p50_m"), F.col("gradient_100_500m_p50"), F.col("bathymetry_valid_transect_share")).alias("interpretation"))
+
+
+@query(rounded(GRID + "--SELECT SELECT f.row, f.col, f.value, c.value AS parent_value FROM grid f LEFT JOIN grid c ON c.row = f.row // 2 AND c.col = f.col // 2", "value", "parent_value"))
+def q60_parent_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fine = raster.parent_cells(grid(spark, sf_dir).drop("label"))
+    coarse = grid(spark, sf_dir).select(F.col("row").alias("parent_row"), F.col("col").alias("parent_col"), F.col("value").alias("parent_value"))
+    return tidy(fine.join(coarse, ["parent_row", "parent_col"], "left").select("row", "col", "value", "parent_value"))
+
+
+@query(GRID + """, q AS (SELECT quantile_cont(value, 0.02) AS lo, quantile_cont(value, 0.98) AS hi FROM grid)
+SELECT row, col, CASE WHEN value IS NOT NULL THEN CAST(round_even(least(1.0, greatest(0.0, (value - lo) / (hi - lo))) * 255, 0) AS BIGINT) END AS shade FROM grid, q""")
+def q61_display_stretch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = grid(spark, sf_dir)
+    bounds = cells.agg(F.percentile("value", 0.02).alias("lo"), F.percentile("value", 0.98).alias("hi"))
+    return tidy(cells.crossJoin(F.broadcast(bounds)).select("row", "col", S.stretched(F.col("value"), F.col("lo"), F.col("hi")).alias("shade")))
