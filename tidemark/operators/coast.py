@@ -189,11 +189,10 @@ def zone_strips(seaward: DataFrame, zones: Sequence[tuple[str, float, float]] =
     return rows.select(F.concat_ws("_", "segment_id", "z.t").alias("zone_id"), "segment_id", F.col("z.t").alias("zone_type"), "origin", "bearing_deg", F.col("z.a").alias("from_m"), F.col("z.b").alias("to_m"), F.lit(width / 2).alias("half_width"))
 
 
-def in_strip(p: Column, origin: Column, bearing: Column, from_m: Column, to_m: Column, half_width: Column) -> Column:
-    """Whether a point lies in a strip along a bearing."""
+def in_strip(p: Column, origin: Column, sine: Column, cosine: Column, from_m: Column, to_m: Column, half_width: Column) -> Column:
+    """Whether a point lies in a strip along a bearing of that sine and cosine."""
     dx, dy = p["x"] - origin["x"], p["y"] - origin["y"]
-    s, c = F.sin(F.radians(bearing)), F.cos(F.radians(bearing))
-    along, aside = dx * s + dy * c, dx * c - dy * s
+    along, aside = dx * sine + dy * cosine, dx * cosine - dy * sine
     return (along >= from_m) & (along <= to_m) & (F.abs(aside) <= half_width)
 
 
@@ -201,15 +200,17 @@ def zone_membership(points: DataFrame, key: str, strips: DataFrame, cell: float
     """(key, zone_id) for each point (key, p) in a zone, once each.
 
     Points and strips meet by an equality join on square cells: a strip goes to all cells
-    that its bounding box touches, a point to its own.
+    that its bounding box touches, a point to its own.  Sines are taken once per strip.
     """
     at = lambda v: F.floor(v / cell).cast("long")
-    corners = [G.offset(G.offset(F.col("origin"), F.col("bearing_deg"), F.col(d)), F.col("bearing_deg") + 90, s * F.col("half_width")) for d in ("from_m", "to_m") for s in (-1, 1)]
-    box = lambda f, axis: at(f(*[c[axis] for c in corners]))
-    spread = strips.withColumn("_cx", F.explode(F.sequence(box(F.least, "x"), box(F.greatest, "x")))).withColumn("_cy", F.explode(F.sequence(box(F.least, "y"), box(F.greatest, "y"))))
+    turned = strips.withColumns({"_s": F.sin(F.radians("bearing_deg")), "_c": F.cos(F.radians("bearing_deg"))})
+    s, c, w = F.col("_s"), F.col("_c"), F.col("half_width")
+    xs = [F.col("origin")["x"] + s * F.col(d) + k * c * w for d in ("from_m", "to_m") for k in (-1, 1)]
+    ys = [F.col("origin")["y"] + c * F.col(d) - k * s * w for d in ("from_m", "to_m") for k in (-1, 1)]
+    cells = lambda v: F.explode(F.sequence(at(F.least(*v)), at(F.greatest(*v))))
+    spread = turned.withColumn("_cx", cells(xs)).withColumn("_cy", cells(ys))
     met = points.select(key, "p", at(F.col("p")["x"]).alias("_cx"), at(F.col("p")["y"]).alias("_cy")).join(spread, ["_cx", "_cy"])
-    inside = in_strip(F.col("p"), F.col("origin"), F.col("bearing_deg"), F.col("from_m"), F.col("to_m"), F.col("half_width"))
-    return met.where(inside).select(key, "zone_id", "zone_type", "segment_id").distinct()
+    return met.where(in_strip(F.col("p"), F.col("origin"), s, c, F.col("from_m"), F.col("to_m"), w)).select(key, "zone_id", "zone_type", "segment_id").distinct()
 
 
 def within_distance(left: DataFrame, right: DataFrame, left_key: str, right_key: str, distance: float) -> DataFrame:
