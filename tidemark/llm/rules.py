@@ -8,8 +8,6 @@ of it is SQL expressions on the row, but for the means, which are one aggregatio
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +35,7 @@ BROADCAST_REFERENCES = 10_000
 
 def bound(value: Column, body) -> Column:  # noqa: ANN001
     """body(value), with value computed once a row: a lambda's variable is never computed again inside it."""
-    return F.transform(F.array(value), body)[0]
+    return F.transform(F.array(value), lambda x: body(x))[0]
 
 
 def words_array(text: Column) -> Column:
@@ -49,10 +47,19 @@ def duplicate_lines(text: Column) -> Column:
     return bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
 
 
+def window_hashes(words: Column, window: int = WINDOW) -> Column:
+    """A hash of each window of so many words (a power of two): hashes of words, then of pairs of neighbouring hashes, pairs of those, and so on."""
+    hashes, span = F.transform(words, lambda w: F.xxhash64(w)), 1
+    while span < window:
+        # The windows of twice the span; none if there are no two of the span so far apart.
+        n = lambda h, k=span: F.greatest(F.lit(0), F.size(h) - k)
+        hashes = bound(hashes, lambda h, k=span, n=n: F.zip_with(F.slice(h, F.lit(1), n(h)), F.slice(h, F.lit(1 + k), n(h)), lambda a, b: F.xxhash64(a, b)))
+        span *= 2
+    return hashes
+
+
 def repeated_words(words: Column, window: int = WINDOW) -> Column:
     """Words within windows of so many words that occur twice or more, by sorting the windows' hashes."""
-    none = F.array().cast("array<bigint>")
-    hashes = lambda w: F.when(F.size(w) >= window, F.transform(F.sequence(F.lit(1), F.size(w) - (window - 1)), lambda i: F.xxhash64(F.slice(w, i, F.lit(window))))).otherwise(none)
 
     def covered(h: Column) -> Column:
         pairs = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("at"))))
@@ -61,7 +68,7 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
         start = F.struct(F.lit(-window).alias("last"), F.lit(0).alias("sum"))
         return F.aggregate(F.array_sort(places), start, lambda acc, p: F.struct(p.alias("last"), (acc["sum"] + F.least(F.lit(window), p - acc["last"])).alias("sum")))["sum"]
 
-    return bound(bound(words, hashes), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h))).cast("long")
+    return bound(window_hashes(words, window), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h))).cast("long")
 
 
 def measures(text: Column) -> dict[str, Column]:
@@ -80,21 +87,31 @@ def base_failed(n_words: str = "n_words", n_repeat_words: str = "n_repeat_words"
     return (F.col(n_words) < 20) | (100 * F.col(n_repeat_words) > 30 * F.col(n_words))
 
 
-def _shares(counts: list[Column], total: Column) -> Column:
-    """Shares of the total, with one more bin for what is left of it; null if the total is 0."""
-    named = F.array(*[c.cast("double") for c in counts])
-    whole = lambda c: F.concat(c, F.array(F.greatest(F.lit(0.0), total - reduce(lambda a, b: a + b, (F.get(c, F.lit(i)) for i in range(len(counts)))))))
-    return F.when(total > 0, F.transform(bound(named, whole), lambda x: x / total))
+def _shares(counts: Column, total: Column) -> Column:
+    """Shares of the total of an array of counts, with one more bin for what is left of it; null if the total is 0."""
+    rest = lambda c: F.greatest(F.lit(0.0), total - F.aggregate(c, F.lit(0.0), lambda a, x: a + x))
+    return F.when(total > 0, bound(counts, lambda c: F.transform(F.concat(c, F.array(rest(c))), lambda x: x / total)))
+
+
+def character_counts(text: Column) -> Column:
+    """How many characters there are of each class.  The first class, that of most characters, goes first, so that the others have little to look through."""
+    first, *others = CHARACTER_CLASSES
+    counts = lambda rest, size: F.array((size - F.length(rest)).cast("double"), *[F.regexp_count(rest, F.lit(c)).cast("double") for c in others])
+    return bound(F.regexp_replace(text, F.lit(f"{first}+"), F.lit("")), lambda rest: counts(rest, F.length(text)))
+
+
+def common_word_counts(words: Column) -> Column:
+    """How often each common word occurs: words become single letters, and letters are counted."""
+    letters = [chr(0x100 + i) for i in range(len(COMMON_WORDS))]
+    of = F.create_map(*[F.lit(x) for pair in zip(COMMON_WORDS, letters, strict=True) for x in pair])
+    coded = F.array_join(F.transform(words, lambda w: F.element_at(of, F.lower(w))), "")
+    return bound(coded, lambda s: F.array(*[(F.length(s) - F.length(F.replace(s, F.lit(x), F.lit("")))).cast("double") for x in letters]))
 
 
 def histograms(text: Column) -> dict[str, Column]:
     """`_chars` and `_common`, over the column `_words`."""
     text = F.coalesce(text, F.lit(""))
-    chars = _shares([F.regexp_count(text, F.lit(c)) for c in CHARACTER_CLASSES], F.length(text))
-    spaced = F.concat(F.lit(" "), F.lower(F.array_join(F.col("_words"), "  ")), F.lit(" "))
-    count = lambda s, w: (F.octet_length(s) - F.octet_length(F.replace(s, F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)
-    common = bound(spaced, lambda s: F.array(*[count(s, w) for w in COMMON_WORDS]))
-    return {"_chars": chars, "_common": bound(common, lambda c: _shares([F.get(c, F.lit(i)) for i in range(len(COMMON_WORDS))], F.size("_words")))}
+    return {"_chars": _shares(character_counts(text), F.length(text).cast("double")), "_common": _shares(common_word_counts(F.col("_words")), F.size("_words").cast("double"))}
 
 
 def distance(p: Column, q: Column) -> Column:
