@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from .common import checkpointed, connected_components, salted_left_join
 
 COSINE = 0.98
-#: Vectors that the index is fitted on, at most (16 MB of 64 floats).
-SAMPLE = 65_536
+#: Vectors that the index is fitted on, at most (8 MB of 64 floats).
+SAMPLE = 32_768
 SUBSPACES, CODES = 8, 64
 PER_LIST, MOST_LISTS = 1024, 1024
 PROBE_SIGMAS = 4.0
@@ -237,9 +237,9 @@ def embedding_groups(vectors: DataFrame, id_column: str = "vec_id", vector_colum
         return plain.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
     length, number = sizes[0]["d"], sizes[0]["count"]
     same = distinct.where(F.size("x") == length)
-    sample = same.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(SAMPLE).select("x").toPandas()
+    sample = same.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(SAMPLE).select(F.col("x").cast("array<float>").alias("x")).toPandas()
     lists = int(np.clip(number // PER_LIST, 1, MOST_LISTS))
-    index = Index(_unit(np.stack(sample["x"].to_list())), lists, cosine)
+    index = Index(_unit(np.stack(sample["x"].to_list()).astype(np.float64)), lists, cosine)
     shared = vectors.sparkSession.sparkContext.broadcast(index)
 
     def assigned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
