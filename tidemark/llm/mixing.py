@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, salted_left_join
+from .common import ROW_KEYS, checkpointed, row_keys, salted_left_join
 
 WEIGHTS = (5.0, 2.0, 1.0)
 REPEATS = 3
@@ -100,12 +100,20 @@ def mix_plan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 
     A null text has no words; documents without words are taken 0 words.  Null sources form
     one source of their own.  Documents of equal length are told apart by a seeded hash of
-    their id and, for repeated ids, taken or left together with equal chance; a rerun takes
+    their id (where it is null, of their text), and rows of equal ids singly; a rerun takes
     the same ones.
     """
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(source_column).cast("string").alias("source"), word_count(F.col(text_column)).alias("size"))
+    return _plan(docs, id_column, text_column, source_column, weights, repeats, seed).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+
+
+def _plan(docs: DataFrame, id_column: str, text_column: str, source_column: str, weights: tuple[float, ...], repeats: int, seed: int, carried: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, times, and the carried columns, which also order rows of equal ids."""
+    rows = docs.select(
+        F.col(id_column).alias("doc_id"), F.col(source_column).cast("string").alias("source"), word_count(F.col(text_column)).alias("size"),
+        F.when(F.col(id_column).isNull(), F.xxhash64(text_column, F.lit(seed))).otherwise(F.xxhash64(id_column, F.lit(seed))).alias("hash"), *carried,
+    )
     # The source as a key that equals itself when null.
-    rows = checkpointed(rows.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))).withColumn("hash", F.xxhash64("doc_id", F.lit(seed))))
+    rows = checkpointed(rows.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))))
     ranges = checkpointed(rows.withColumn("range", F.shiftrightunsigned("hash", 58)).groupBy("key", "source", "size", "range").agg(F.count(F.lit(1)).alias("n")))
     lengths = ranges.groupBy("key", "source", "size").agg(F.sum("n").alias("n"))
     targets = source_targets(lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, repeats)
@@ -120,15 +128,20 @@ def mix_plan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     in_order = Window.partitionBy("key", "size").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     quota = ranges.join(taken, ["key", "size"]).withColumn("quota", F.greatest(F.lit(0), F.least(F.col("n"), F.col("take") - F.coalesce(F.sum("n").over(in_order), F.lit(0)))))
     partial = quota.where("quota > 0 or every > 0").select("key", "size", "range", "quota", "every")
-    ranked = rows.withColumn("range", F.shiftrightunsigned("hash", 58)).withColumn("place", F.row_number().over(Window.partitionBy("key", "size", "range").orderBy("hash", "doc_id")))
+    ranked = rows.withColumn("range", F.shiftrightunsigned("hash", 58)).withColumn("place", F.row_number().over(Window.partitionBy("key", "size", "range").orderBy("hash", "doc_id", *carried)))
     chosen = ranked.join(partial, ["key", "size", "range"], "left").withColumn("extra", F.coalesce((F.col("place") <= F.col("quota")).cast("long") + F.col("every"), F.lit(0)))
-    out = salted_left_join(chosen.select("key", "doc_id", "size", "extra"), targets, ["key"], "doc_id")
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.least(F.lit(repeats), F.col("whole") + F.col("extra"))).alias("taken"))
+    out = salted_left_join(chosen.select("key", "doc_id", "size", "extra", "hash", *carried), targets, ["key"], "hash")
+    return out.select("doc_id", "size", "source_size", "target", F.least(F.lit(repeats), F.col("whole") + F.col("extra")).alias("times"), *carried)
 
 
-def mixed(docs: DataFrame, id_column: str = "doc_id", **names: str) -> DataFrame:
-    """The documents that the mix takes, each row as often as it takes it, with the columns of docs."""
-    plan = mix_plan(docs, id_column, **names).where("taken > 0").select(F.col("doc_id").alias(id_column), F.expr("int(taken div size)").alias("_times"))
-    plan = plan.groupBy(id_column).agg(F.max("_times").alias("_times"))
-    joined = docs.join(plan, id_column).withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times")))
-    return joined.select(docs.columns)
+def mixed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS, seed: int = SEED) -> DataFrame:
+    """The documents that the mix takes, each row as often as it takes it, with the columns of docs.
+
+    Copies belong to rows, whatever their ids; rows that are equal in all columns share theirs.
+    """
+    keyed = docs.withColumns(row_keys(docs.columns))
+    plan = _plan(keyed, id_column, text_column, source_column, weights, repeats, seed, ROW_KEYS).where("size > 0 and times > 0").groupBy(*ROW_KEYS).agg(F.sum("times").alias("_times"))
+    # Of equal rows one is joined and copied for all, in runs of bounded length.
+    joined = keyed.dropDuplicates([*ROW_KEYS]).join(plan, [*ROW_KEYS]).withColumn("_run", F.explode(F.sequence(F.lit(0), F.expr("(_times - 1) div 1024"))))
+    copies = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least(F.lit(1024), F.col("_times") - 1024 * F.col("_run")))))
+    return copies.select(docs.columns)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, connected_components, salted_left_join
+from .common import ROW_KEYS, checkpointed, connected_components, row_keys, salted_left_join
 
 SHINGLE = 4
 SEED = 42
@@ -120,15 +120,16 @@ def fingerprint(text: str | None) -> int:
     return sum(1 << i for i in np.flatnonzero(2 * ones > len(h)).tolist())
 
 
-def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint of each row's whole text, as a signed long.  A null text has no word."""
+def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) and the carried columns, which are longs: the fingerprint of each row's whole text, as a signed long.  A null text has no word."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(x) for x in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(fps), *batch.columns[2:]], ["doc_id", "fp", *carried])
 
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).mapInArrow(each, "doc_id long, fp long")
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), *carried)
+    return rows.mapInArrow(each, ", ".join(f"{x} long" for x in ("doc_id", "fp", *carried)))
 
 
 def _forest(fps: np.ndarray) -> list[tuple[int, int]]:
@@ -234,6 +235,15 @@ def simhash_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def near_duplicates_removed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of docs whose id names its component: one document of each group stays."""
-    groups = simhash_groups(docs, id_column, text_column).where("doc_id = component_id").select(F.col("doc_id").alias(id_column)).distinct()
-    return docs.join(groups, id_column, "left_semi").select(docs.columns)
+    """The rows of docs but for near-duplicates: of each group the row of the least id stays, and a row of a null id only where no other is.
+
+    Groups are of rows, not of ids: rows of a null id take part like others, rows of one id
+    fall into groups by their texts, and of rows that are equal in all columns one stays.
+    """
+    rows = checkpointed(fingerprints(docs.withColumns(row_keys(docs.columns)), id_column, text_column, ROW_KEYS))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *ROW_KEYS)).alias("least")
+    distinct = checkpointed(rows.groupBy("fp").agg(least))
+    components = connected_components(checkpointed(fingerprint_links(distinct)))
+    of = distinct.join(components.withColumnRenamed("node", "fp"), "fp", "left")
+    stay = of.groupBy(F.coalesce("component", "fp")).agg(F.min("least").alias("least")).select(*[F.col(f"least.{x}").alias(x) for x in ROW_KEYS])
+    return docs.withColumns(row_keys(docs.columns)).dropDuplicates([*ROW_KEYS]).join(stay, [*ROW_KEYS], "left_semi").select(docs.columns)
