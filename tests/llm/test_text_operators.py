@@ -265,6 +265,29 @@ def test_rules_keep_clean_documents_and_columns(spark, no_documents):
     assert rules.quality_rules(no_documents).count() == 0
 
 
+def test_verdicts_depend_on_the_document_alone(spark):
+    """A third of the rows in upper case or of symbols, or a table of a single document, moves no verdict or distance."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) > 400")
+    names = ("doc_id", "kept", "char_distance", "word_distance")
+    verdicts = lambda df: {tuple(r) for r in rules.quality_rules(df).select(*names).collect()}
+    alone = verdicts(docs)
+    half = docs.where("doc_id % 2 = 0")
+    for i, text in enumerate(("upper(text)", "regexp_replace(text, '[a-z]', '#')")):
+        junk = half.withColumn("doc_id", F.expr(f"doc_id + {(i + 1) * 1_000_000}")).withColumn("text", F.expr(text))
+        both = verdicts(docs.unionAll(junk.select(docs.columns)))
+        assert alone <= both
+        far = [r for r in both - alone if len(r) and r[1]]
+        assert len(far) <= 0.02 * half.count()
+    one = docs.limit(1)
+    assert verdicts(one) <= alone
+    # A rare or null language has a verdict too, and letters of any script are letters to it.
+    clean, words = docs.where("lang = 'en'").first()["text"], "это обычный текст о погоде и людях "
+    rows = [(1, clean, None), (2, clean.upper(), None), (3, clean.upper(), "xx"), (4, words * 1 + " ".join(f"слово{'абвгдежзик'[i % 10] * (i % 9 + 1)}" for i in range(80)) + ".", "ru"), (5, clean, "EN-gb")]
+    got = {r["doc_id"]: r for r in rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(r["char_distance"] is not None for r in got.values())
+    assert [got[i]["char_distance"] <= rules.MAX_CHARACTER_DISTANCE for i in range(1, 6)] == [True, False, False, True, True]
+
+
 # Mixing
 
 

@@ -1,9 +1,11 @@
 """Quality rules: repetition and symbol counts, and divergence from language references.
 
 A document's character-class histogram and its histogram of common words (with one bin for
-all other words) are held against the mean histograms of its language by Jensen-Shannon
-distance.  Short documents, whose histograms say little, are not judged by distance.  All
-of it is SQL expressions on the row, but for the means, which are one aggregation.
+all other words) are held against fixed histograms of its language by Jensen-Shannon
+distance, so that a verdict depends on the document alone, not on the table it is in.
+Documents of other or no language are held against one pooled reference, for which all
+letters are one class.  Short documents, whose histograms say little, are not judged by
+distance.  All of it is SQL expressions on the row; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -11,8 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, salted_left_join
-
 # Frequent words of English, German, French and Spanish.
 COMMON_WORDS = (
     "the", "of", "and", "to", "in", "is", "that", "it", "was", "with", "as", "on",
@@ -27,10 +27,20 @@ WINDOW = 8
 #: Distances above these reject a document of at least MIN_WORDS words or MIN_CHARS characters.
 MAX_CHARACTER_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.45
 MIN_CHARS, MIN_WORDS = 200, 50
-#: A reference of fewer documents judges nothing.
-MIN_REFERENCE = 20
-#: References up to so many (0.4 KB each) are broadcast.
-BROADCAST_REFERENCES = 10_000
+# Mean histograms of the documents of sf0.1 labelled as good, of MIN_WORDS words at least and an even crc32 of the id.
+# The shares of the character classes and of the common words; what they leave is that of all others.
+REFERENCE_CHARACTERS = {
+    "de": (0.7721, 0.0125, 0.0006, 0.1545, 0.0219, 0.0000),
+    "en": (0.7937, 0.0145, 0.0009, 0.1665, 0.0243, 0.0000),
+    "es": (0.7218, 0.0132, 0.0009, 0.1617, 0.0244, 0.0000),
+    "fr": (0.7065, 0.0109, 0.0021, 0.1662, 0.0244, 0.0001),
+}
+REFERENCE_WORDS = {
+    "de": {"the": 0.0001, "in": 0.0177, "der": 0.0546, "die": 0.0290, "und": 0.0225, "den": 0.0144, "von": 0.0113, "zu": 0.0096, "das": 0.0094, "mit": 0.0078, "des": 0.0068, "ist": 0.0053, "de": 0.0001},
+    "en": {"the": 0.0558, "of": 0.0288, "and": 0.0234, "to": 0.0171, "in": 0.0121, "is": 0.0104, "that": 0.0090, "it": 0.0083, "was": 0.0071, "with": 0.0056, "as": 0.0054, "on": 0.0066, "a": 0.0137},
+    "es": {"the": 0.0004, "of": 0.0001, "to": 0.0001, "that": 0.0001, "it": 0.0001, "as": 0.0031, "der": 0.0001, "und": 0.0001, "mit": 0.0001, "de": 0.0547, "la": 0.0274, "un": 0.0070, "que": 0.0232, "el": 0.0160, "y": 0.0108, "los": 0.0104, "del": 0.0074, "se": 0.0080, "las": 0.0094, "por": 0.0067},
+    "fr": {"the": 0.0003, "of": 0.0001, "and": 0.0001, "in": 0.0001, "it": 0.0001, "on": 0.0023, "des": 0.0124, "de": 0.0543, "la": 0.0291, "le": 0.0226, "et": 0.0164, "les": 0.0137, "un": 0.0098, "du": 0.0086, "que": 0.0064, "est": 0.0065, "pour": 0.0063, "a": 0.0001},
+}
 
 
 def bound(value: Column, body) -> Column:  # noqa: ANN001
@@ -71,9 +81,8 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     return bound(window_hashes(words, window), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h))).cast("long")
 
 
-def measures(text: Column) -> dict[str, Column]:
-    """The base measures of a text, as columns over a column `_words` that holds its words."""
-    words = F.col("_words")
+def measures(text: Column, words: Column) -> dict[str, Column]:
+    """The base measures of a text, of which words holds the words."""
     return {
         "n_words": F.size(words).cast("long"),
         "word_chars": F.length(F.array_join(words, "")).cast("long"),
@@ -83,8 +92,8 @@ def measures(text: Column) -> dict[str, Column]:
     }
 
 
-def base_failed(n_words: str = "n_words", n_repeat_words: str = "n_repeat_words") -> Column:
-    return (F.col(n_words) < 20) | (100 * F.col(n_repeat_words) > 30 * F.col(n_words))
+def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
+    return (n_words < 20) | (100 * n_repeat_words > 30 * n_words)
 
 
 def _shares(counts: Column, total: Column) -> Column:
@@ -108,10 +117,10 @@ def common_word_counts(words: Column) -> Column:
     return bound(coded, lambda s: F.array(*[(F.length(s) - F.length(F.replace(s, F.lit(x), F.lit("")))).cast("double") for x in letters]))
 
 
-def histograms(text: Column) -> dict[str, Column]:
-    """`_chars` and `_common`, over the column `_words`."""
+def histograms(text: Column, words: Column) -> dict[str, Column]:
+    """`chars` and `common`; null for a text without characters or words."""
     text = F.coalesce(text, F.lit(""))
-    return {"_chars": _shares(character_counts(text), F.length(text).cast("double")), "_common": _shares(common_word_counts(F.col("_words")), F.size("_words").cast("double"))}
+    return {"chars": _shares(character_counts(text), F.length(text).cast("double")), "common": _shares(common_word_counts(words), F.size(words).cast("double"))}
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -121,56 +130,64 @@ def distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)))
 
 
-def _key(lang: Column) -> Column:
-    return F.coalesce(F.concat(F.lit("="), lang.cast("string")), F.lit(""))
+def _language(lang: Column) -> Column:
+    """The language of a tag such as `en` or `EN-gb`, if it has a reference; else `` (also for null)."""
+    name = F.lower(F.regexp_extract(F.trim(lang.cast("string")), "^[A-Za-z]+", 0))
+    return F.coalesce(F.when(name.isin(*REFERENCE_CHARACTERS), name), F.lit(""))
+
+
+def _folded(shares: list[float]) -> list[float]:
+    """Shares of character classes with those of all letters, a-z and the last class, in the first."""
+    return [shares[0] + shares[-1], *shares[1:-1], 0.0]
+
+
+def reference_histograms() -> dict[str, tuple[list[float], list[float]]]:
+    """Shares of character classes and of common words by language; by `` the means of all languages, with all letters in the first class."""
+    whole = lambda x: [*x, max(0.0, 1 - sum(x))]
+    found = {lang: (whole(shares), whole([REFERENCE_WORDS[lang].get(w, 0.0) for w in COMMON_WORDS])) for lang, shares in REFERENCE_CHARACTERS.items()}
+    mean = [[sum(x) / len(found) for x in zip(*(pair[i] for pair in found.values()), strict=True)] for i in range(2)]
+    return found | {"": (_folded(mean[0]), mean[1])}
 
 
-def references(rows: DataFrame) -> DataFrame:
-    """By `_lang`, the mean histograms of the documents that are long enough: `_ref_chars` and `_ref_common`."""
-    n_chars, n_common = len(CHARACTER_CLASSES) + 1, len(COMMON_WORDS) + 1
-    means = [F.avg(F.get("_chars", F.lit(i))).alias(f"c{i}") for i in range(n_chars)] + [F.avg(F.get("_common", F.lit(i))).alias(f"w{i}") for i in range(n_common)]
-    found = rows.where(F.col("n_words") >= MIN_WORDS).groupBy("_lang").agg(F.count(F.lit(1)).alias("n"), *means).where(F.col("n") >= MIN_REFERENCE)
-    return found.select("_lang", F.array(*[f"c{i}" for i in range(n_chars)]).alias("_ref_chars"), F.array(*[f"w{i}" for i in range(n_common)]).alias("_ref_common"))
+def _reference(language: Column, i: int) -> Column:
+    rows = reference_histograms()
+    return F.element_at(F.create_map(*[x for name, pair in rows.items() for x in (F.lit(name), F.array(*map(F.lit, pair[i])))]), language)
 
 
-def with_references(rows: DataFrame, refs: DataFrame, salt_from: str) -> DataFrame:
-    """rows left join refs on `_lang`: by a broadcast of at most BROADCAST_REFERENCES of them, else salted."""
-    if refs.limit(BROADCAST_REFERENCES + 1).count() <= BROADCAST_REFERENCES:
-        return rows.join(F.broadcast(refs), "_lang", "left")
-    return salted_left_join(rows, refs, ["_lang"], salt_from)
+def far_from_reference(m: Column) -> Column:
+    """Whether a long enough document lies too far from its language's reference."""
+    far_chars = (m["char_distance"] > MAX_CHARACTER_DISTANCE) & (m["n_chars_seen"] >= MIN_CHARS)
+    far_words = (m["word_distance"] > MAX_WORD_DISTANCE) & (m["n_words"] >= MIN_WORDS)
+    return F.coalesce(far_chars, F.lit(False)) | F.coalesce(far_words, F.lit(False))
 
 
-def verdict() -> Column:
-    """False where a long enough document lies too far from its language's reference."""
-    far_chars = (F.col("char_distance") > MAX_CHARACTER_DISTANCE) & (F.col("n_chars_seen") >= MIN_CHARS)
-    far_words = (F.col("word_distance") > MAX_WORD_DISTANCE) & (F.col("n_words") >= MIN_WORDS)
-    return ~(F.coalesce(far_chars, F.lit(False)) | F.coalesce(far_words, F.lit(False)))
+def judged(text: Column, lang: Column, names: tuple[str, ...]) -> Column:
+    """A struct of the measures of these names, n_chars_seen, char_distance and word_distance; each is computed once a row."""
+    language = _language(lang)
+    folded = lambda h: F.when(language == "", F.concat(F.array(h[0] + F.element_at(h, -1)), F.slice(h, 2, len(CHARACTER_CLASSES) - 1), F.array(F.lit(0.0)))).otherwise(h)
 
+    def of(words: Column) -> Column:
+        found, h = measures(text, words), histograms(text, words)
+        distances = {"char_distance": bound(h["chars"], lambda x: distance(folded(x), _reference(language, 0))), "word_distance": bound(h["common"], lambda x: distance(x, _reference(language, 1)))}
+        return F.struct(*[found[n].alias(n) for n in names], F.coalesce(F.length(text), F.lit(0)).alias("n_chars_seen"), *[c.alias(n) for n, c in distances.items()])
 
-def _judged(rows: DataFrame) -> DataFrame:
-    far = rows.withColumns({"char_distance": distance(F.col("_chars"), F.col("_ref_chars")), "word_distance": distance(F.col("_common"), F.col("_ref_common"))})
-    return far.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict())
+    return bound(words_array(text), of)
 
 
 def quality_rules(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> DataFrame:
     """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, char_distance, word_distance.
 
-    A null text has no words, and so fails the base rules.  Documents without a language
-    are one language.  A document whose language has no reference is judged by the base
-    rules alone.  Repeated rows stay.
+    A null text has no words, and so fails the base rules.  Documents without a language or
+    of one without a reference are held against the pooled one.  Repeated rows stay.
     """
-    rows = docs.select(F.col(id_column).alias("doc_id"), _key(F.col(lang_column)).alias("_lang"), F.col(text_column).alias("_text")).withColumn("_words", words_array(F.col("_text")))
-    text = F.col("_text")
-    measured = checkpointed(rows.select("doc_id", "_lang", *[c.alias(n) for n, c in (measures(text) | histograms(text)).items()], F.coalesce(F.length(text), F.lit(0)).alias("n_chars_seen")))
-    return _judged(with_references(measured, references(measured), "doc_id")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance")
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    rows = docs.select(F.col(id_column).alias("doc_id"), judged(F.col(text_column), F.col(lang_column), names).alias("_m"))
+    m = F.col("_m")
+    failed = base_failed(m["n_words"], m["n_repeat_words"])
+    return rows.select("doc_id", *[m[n].alias(n) for n in names], failed.alias("base_failed"), (~failed & ~far_from_reference(m)).alias("kept"), m["char_distance"].alias("char_distance"), m["word_distance"].alias("word_distance"))
 
 
 def good_documents(docs: DataFrame, text_column: str = "text", lang_column: str = "lang") -> DataFrame:
-    """The rows of docs that quality_rules keeps, with their columns.  Reads the texts twice: for the references, and to judge; nothing but the means is shuffled."""
-    whole = F.struct(*[F.col(c) for c in docs.columns]).alias("_doc")
-    rows = docs.select(whole, _key(F.col(lang_column)).alias("_lang"), F.col(text_column).alias("_text")).withColumn("_words", words_array(F.col("_text")))
-    text = F.col("_text")
-    refs = checkpointed(references(rows.select("_lang", F.size("_words").alias("n_words"), *[c.alias(n) for n, c in histograms(text).items()])))
-    keep = {n: c for n, c in measures(text).items() if n in ("n_words", "n_repeat_words")}
-    judged = _judged(with_references(rows.withColumns(keep | histograms(text) | {"n_chars_seen": F.coalesce(F.length(text), F.lit(0))}), refs, "_text"))
-    return judged.where("kept").select("_doc.*")
+    """The rows of docs that quality_rules keeps, with their columns."""
+    kept = bound(judged(F.col(text_column), F.col(lang_column), ("n_words", "n_repeat_words")), lambda m: ~base_failed(m["n_words"], m["n_repeat_words"]) & ~far_from_reference(m))
+    return docs.where(kept)
