@@ -174,6 +174,19 @@ def test_scores_equal_brute_force(spark, small, odd_documents, which, monkeypatc
         assert a[5:] == pytest.approx(b[5:], rel=1e-9)
 
 
+def test_totals_pass_32_bits():
+    """A bucket's answers to blocks that together hold a word and a pair over 2**32 times."""
+    import pyarrow as pa
+
+    hashes, counts = lm._packed(np.array([5, 4], np.uint64)), lm._packed(np.array([3_000_000_000, 7], np.uint32))
+    rows = [{"bucket": 0, "block": b, "words": hashes, "n_words": counts, "pairs": hashes, "n_pairs": counts} for b in (0, 1, 2)]
+    got = {r["block"]: r for batch in lm._answered(iter([pa.RecordBatch.from_pylist(rows)])) for r in batch.to_pylist()}
+    assert got[-1]["sums"] == [9_000_000_021, 2, 6_000_000_014, 2]
+    for what in ("words", "pairs"):
+        assert lm._unpacked(got[0][what], np.uint64).tolist() == [9_000_000_000, 21]
+        assert lm._unpacked(got[1][what], np.uint64).tolist() == [9_000_000_000, 21, 3_000_000_000, 7]
+
+
 def test_weights_are_the_likeliest():
     counts = np.zeros((2, 128 * lm.RESOLUTION))
     counts[0, 0], counts[0, 64 * lm.RESOLUTION + 6 * lm.RESOLUTION] = 700, 300

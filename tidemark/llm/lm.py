@@ -112,6 +112,14 @@ def _asked(batches: Iterator[pa.RecordBatch], shift: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.array(list(columns), pa.int64()), pa.array([block] * len(blobs), pa.int64()), *(pa.array([x[i] for x in blobs], pa.binary()) for i in range(4))], ["bucket", "block", "words", "n_words", "pairs", "n_pairs"])
 
 
+def _totals(inverse: np.ndarray, counts: np.ndarray, odd: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sums of 32-bit counts by number, all and those of the deleted fold, as 64-bit numbers: a corpus holds a token more often than a block can."""
+    total = np.bincount(inverse, counts, size)
+    fold = np.bincount(inverse, counts * odd.astype(np.float64), size)
+    # Sums are exact as floats up to 2**53.
+    return total.astype(np.uint64), fold.astype(np.uint64)
+
+
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each block and bucket, the totals of what it asked for (and of the deleted fold, if it is of it); of each bucket, its N and V, all and kept."""
     schema = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("words", pa.binary()), ("pairs", pa.binary()), ("sums", pa.list_(pa.int64()))])
@@ -129,9 +137,7 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = [_unpacked(held[i][counts], np.uint32) for i in some]
             lengths = np.fromiter(map(len, hashes), np.int64, len(hashes))
             distinct, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
-            every = np.concatenate(n).astype(np.int64)
-            total = np.bincount(inverse, every, len(distinct)).astype(np.uint32)
-            fold = np.bincount(inverse, every * np.repeat(blocks[some] & 1, lengths), len(distinct)).astype(np.uint32)
+            total, fold = _totals(inverse, np.concatenate(n), np.repeat(blocks[some] & 1, lengths), len(distinct))
             if not k:
                 kept = total - fold
                 sums = [int(total.sum()), int((total > 0).sum()), int(kept.sum()), int((kept > 0).sum())]
@@ -172,8 +178,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         found = []
         for values, column in ((tokens, "words"), (pairs, "pairs")):
             distinct, inverse = np.unique(values, return_inverse=True)
-            parts = [_unpacked(x, np.uint32).reshape(1 + (block & 1), -1) for x in answers.column(column).to_pylist() if x is not None]
-            counts = np.concatenate([np.zeros((1 + (block & 1), 0), np.uint32), *parts], 1)
+            parts = [_unpacked(x, np.uint64).reshape(1 + (block & 1), -1) for x in answers.column(column).to_pylist() if x is not None]
+            counts = np.concatenate([np.zeros((1 + (block & 1), 0), np.uint64), *parts], 1)
             if counts.shape[1] != len(distinct):
                 raise RuntimeError("the documents changed between two reads; materialise them first")
             found.append(counts[:, inverse].astype(np.float64))
