@@ -3,15 +3,17 @@
 import fnmatch
 import math
 import random
+from collections import Counter
 
 import numpy as np
+import pytest
 
 from tidemark.llm import pq, urlfilter
 
 
 def brute(rows):
     """n_links and component by id, of (id, vector, label) rows with distinct ids."""
-    usable = [(i, np.array(v, float), l) for i, v, l in rows if l is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    usable = [(i, np.array(v, float) / max(map(abs, v)), l) for i, v, l in rows if l is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
     links = {i: set() for i, *_ in rows}
     for k, (i, x, l) in enumerate(usable):
         for j, y, m in usable[:k]:
@@ -45,17 +47,39 @@ def test_groups_equal_brute_force(spark):
     assert got == brute(rows)
 
 
-def test_blocks_and_probes_lose_no_link(spark, monkeypatch):
+@pytest.mark.parametrize("lists", [(1, 1), (6, 1), (3, 4)])
+def test_blocks_lists_and_sub_lists_lose_no_link(spark, monkeypatch, lists):
     monkeypatch.setattr(pq, "BLOCK", 16)
-    monkeypatch.setattr(pq, "PER_LIST", 40)
+    monkeypatch.setattr(pq, "HELD", 8)
     rng = np.random.default_rng(4)
-    base = rng.normal(size=(60, 24))
-    x = np.concatenate([base, base + 0.05 * rng.normal(size=base.shape), base[:1] + 0.03 * rng.normal(size=(120, 24))])
-    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
-    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in pq.embedding_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
-    expected = brute(rows)
-    assert sum(g[0] for g in got.values()) >= 0.99 * sum(e[0] for e in expected.values())
-    assert all(got[i][0] <= expected[i][0] for i in expected)
+    for width in (24, 100):
+        base = rng.normal(size=(60, width))
+        x = np.concatenate([base, base + 0.05 * rng.normal(size=base.shape), base[:1] + 0.03 * rng.normal(size=(120, width))])
+        rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+        found = pq.embedding_groups(df, per_list=8, most_lists=lists).collect()
+        assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in found} == brute(rows)
+
+
+def test_rows_of_any_length_and_id(spark):
+    """Each row is a vector of its own: against brute force over rows, whose ids are null or repeated."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for width in (1, 2, 3, 5, 16):
+        for c in rng.normal(size=(6, width)):
+            rows += [((c + 0.02 * rng.normal(size=width)).tolist(), int(rng.integers(2))) for _ in range(4)]
+    rows += [([1.0, 0.0], 0), ([1.0, 0.01], 0), ([1.0, 0.02], 0), ([1.0, 0.0], 0), ([1.0, 0.0], 1), ([1e-200, 1e-202], 0), ([1e200, 1e198], 0)]
+    ids = [None if k % 5 == 0 else k // 3 for k in range(len(rows))]
+    expected = brute([(k, *r) for k, r in enumerate(rows)])
+    names = {}
+    for k, (_, component, _) in expected.items():
+        names.setdefault(component, []).extend([ids[k]] if ids[k] is not None else [])
+    wanted = []
+    for k, (n, component, _) in expected.items():
+        name = min(names[component], default=None)
+        wanted.append((ids[k], n, name, ids[k] is not None and ids[k] == name))
+    df = spark.createDataFrame([(i, *r) for i, r in zip(ids, rows, strict=True)], "vec_id long, embedding array<double>, label int")
+    assert Counter(map(tuple, pq.embedding_groups(df).collect())) == Counter(wanted)
 
 
 def test_no_vectors(spark):

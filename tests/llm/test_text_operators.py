@@ -128,6 +128,22 @@ def test_packing_round_trip(spark, small, odd_documents, which):
     assert total / (1024 * len(by_sequence)) > 0.97
 
 
+@pytest.mark.parametrize("run", [" " * 5_000_000, "\n" * 1_000_000, "\u00a0" * 1_000_000, " \t\n" * 300_000, "x" + " " * 4_095 + "y", "x" + " " * 4_096 + "y", "\u2003 " * 5_000])
+def test_long_white_space_gives_equal_ids(run):
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    text = f"before{run}after it"
+    assert packing.tokenizer(path)(text) == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+def test_white_space_document_is_packed(spark):
+    docs = spark.createDataFrame([(1, " " * 1_000_000), (None, "a"), (None, "a")], "doc_id long, text string")
+    rows = packing.packed(docs).collect()
+    assert sum(r["length"] for r in rows if r["doc_id"] == 1) == 1_000_001
+    assert sum(r["length"] for r in rows if r["doc_id"] is None) == 4
+
+
 def test_classes_hold_a_fixed_count():
     bins = packing.Bins(0)
     for i in range(40):

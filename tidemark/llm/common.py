@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Copies of the small side of a salted join; a hot key of the large side is dealt to as many tasks.
-SALTS = 16
+#: A key is hot if it holds over 1/MOST_HOT of all rows, and HOT_ROWS at least; so there are fewer than MOST_HOT hot keys.
+MOST_HOT, HOT_ROWS = 512, 20_000
+#: Tasks that the rows of a hot key are dealt to.
+SALTS = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,10 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only where none is set, as in tests."""
+    """The shared folder of the cluster.  Where none is set, a temporary one if driver and executors are one process, else an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return sc.getCheckpointDir()
 
 
@@ -57,14 +63,30 @@ def row_keys(columns: list[str]) -> dict[str, Column]:
     return {name: F.xxhash64(F.lit(seed), *[F.col(c) for c in columns], *nulls) for seed, name in enumerate(ROW_KEYS, 1)}
 
 
-def salted_left_join(large: DataFrame, small: DataFrame, keys: list[str], salt_from: str) -> DataFrame:
-    """large left join small on keys, with small copied SALTS times and large dealt by a hash of salt_from.
+def fresh(name: str, columns: Iterable[str]) -> str:
+    """name, with underscores before it until no column is called so (in any case of letters)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
-    small holds each key once.  A key with a third of all rows of large goes to SALTS
-    tasks at least, without a broadcast of small.
+
+def salted_left_join(large: DataFrame, small: DataFrame, keys: list[str], salt_from: str, counts: DataFrame) -> DataFrame:
+    """large left join small on keys, where counts holds the rows of large by key, as `n`, and small holds each key once.
+
+    Rows of keys that are hot by these counts are dealt to SALTS tasks by a hash of salt_from,
+    and small holds such a key once for each; all other keys are joined as they are.  The hot
+    keys are fewer than MOST_HOT, so broadcasting them is safe.
     """
-    left = large.withColumn("_salt", F.pmod(F.xxhash64(salt_from), F.lit(SALTS)).cast("int"))
-    right = small.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    rows, most = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    least = max(HOT_ROWS, rows // MOST_HOT)
+    if most <= least:
+        return large.join(small, keys, "left")
+    hot = F.broadcast(counts.where(F.col("n") > least).select(*keys, F.lit(True).alias("_hot")))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(salt_from), F.lit(SALTS))).otherwise(0).cast("int")
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    left = large.join(hot, keys, "left").withColumn("_salt", salt).drop("_hot")
+    right = small.join(hot, keys, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
     return left.join(right, [*keys, "_salt"], "left").drop("_salt")
 
 
@@ -81,23 +103,30 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         both = edge.union(edge.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")).select("node", F.least("node", "up").alias("up"))
         parent = checkpointed(parent)
-        for _ in range(2):
-            above = parent.select(F.col("node").alias("up"), F.col("up").alias("top"))
-            parent = salted_left_join(parent, above, ["up"], "node").select("node", F.coalesce("top", "up").alias("up"))
-        parent = checkpointed(parent)
+        parent = checkpointed(_one_up(_one_up(parent, parent), parent))
         maps.append(parent)
-        to_a, to_b = parent.select(F.col("node").alias("a"), F.col("up").alias("ra")), parent.select(F.col("node").alias("b"), F.col("up").alias("rb"))
-        moved = salted_left_join(salted_left_join(edge, to_a, ["a"], "b"), to_b, ["b"], "a")
-        edge = checkpointed(moved.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).where("a <> b").distinct())
+        moved = edge
+        for end, other in (("a", "b"), ("b", "a")):
+            root = parent.select(F.col("node").alias(end), F.col("up").alias("root"))
+            degrees = edge.groupBy(end).agg(F.count(F.lit(1)).alias("n"))
+            moved = salted_left_join(moved, root, [end], other, degrees).withColumn(f"root_{end}", F.col("root")).drop("root")
+        ends = F.least("root_a", "root_b"), F.greatest("root_a", "root_b")
+        edge = checkpointed(moved.select(ends[0].alias("a"), ends[1].alias("b")).where("a <> b").distinct())
     if not maps:
         return edge.select(F.col("a").alias("node"), F.col("b").alias("component"))
     found = maps[-1]
     for earlier in reversed(maps[:-1]):
-        above = found.select(F.col("node").alias("up"), F.col("up").alias("top"))
-        found = salted_left_join(earlier, above, ["up"], "node").select("node", F.coalesce("top", "up").alias("up"))
+        found = _one_up(earlier, found)
     return found.select("node", F.col("up").alias("component"))
 
 
+def _one_up(pointers: DataFrame, parent: DataFrame) -> DataFrame:
+    """(node, up): what `up` leads to in parent, where it leads on."""
+    above = parent.select(F.col("node").alias("up"), F.col("up").alias("top"))
+    counts = pointers.groupBy("up").agg(F.count(F.lit(1)).alias("n"))
+    return salted_left_join(pointers, above, ["up"], "node", counts).select("node", F.coalesce("top", "up").alias("up"))
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of an Arrow string column and the n + 1 offsets of its rows; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

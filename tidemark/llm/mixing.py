@@ -130,7 +130,7 @@ def _plan(docs: DataFrame, id_column: str, text_column: str, source_column: str,
     partial = quota.where("quota > 0 or every > 0").select("key", "size", "range", "quota", "every")
     ranked = rows.withColumn("range", F.shiftrightunsigned("hash", 58)).withColumn("place", F.row_number().over(Window.partitionBy("key", "size", "range").orderBy("hash", "doc_id", *carried)))
     chosen = ranked.join(partial, ["key", "size", "range"], "left").withColumn("extra", F.coalesce((F.col("place") <= F.col("quota")).cast("long") + F.col("every"), F.lit(0)))
-    out = salted_left_join(chosen.select("key", "doc_id", "size", "extra", "hash", *carried), targets, ["key"], "hash")
+    out = salted_left_join(chosen.select("key", "doc_id", "size", "extra", "hash", *carried), targets, ["key"], "hash", lengths.groupBy("key").agg(F.sum("n").alias("n")))
     return out.select("doc_id", "size", "source_size", "target", F.least(F.lit(repeats), F.col("whole") + F.col("extra")).alias("times"), *carried)
 
 

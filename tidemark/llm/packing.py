@@ -28,6 +28,7 @@ END_ID = 0
 SMALLEST_CUT = 8  # a share of the capacity
 TASK_BITS = 33
 _BATCH_TOKENS = 1 << 21
+LONG_RUN = 4096
 # The pattern by which byte-level BPE splits a text, and its rules for white space.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
 _SPACES, _SINGLE_SPACES = r"|\s+(?!\S)|\s+", r"|\s"
@@ -46,7 +47,9 @@ class ByteLevelTokenizer:
 
     The merges of such a file rank as its ids do, so tiktoken yields the same ids.  A text
     without two white-space characters in a row needs no look-ahead and takes a faster
-    pattern; a text that spells a special token goes to `tokenizers` itself.
+    pattern; a text that spells a special token goes to `tokenizers` itself.  So does one
+    with a run of LONG_RUN white-space characters, as a look-ahead steps back through the
+    whole run and exhausts its stack at some hundred thousand of them.
     """
 
     def __init__(self, path: str) -> None:
@@ -62,14 +65,15 @@ class ByteLevelTokenizer:
         self.whole, self.single = (tiktoken.Encoding(name, pat_str=_SPLIT + spaces, mergeable_ranks=ranks, special_tokens={}) for name, spaces in (("whole", _SPACES), ("single", _SINGLE_SPACES)))
         self.exact, self.path = None, path
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.double = re.compile(r"\s\s")
+        self.double, self.long_run = re.compile(r"\s\s"), re.compile(rf"\s{{{LONG_RUN}}}")
         self._load = Tokenizer.from_file
 
     def __call__(self, text: str) -> list[int]:
-        if self.special and self.special.search(text):
+        double = self.double.search(text)
+        if (self.special and self.special.search(text)) or (double and self.long_run.search(text)):
             self.exact = self.exact or self._load(self.path)
             return self.exact.encode(text, add_special_tokens=False).ids
-        return (self.whole if self.double.search(text) else self.single).encode_ordinary(text)
+        return (self.whole if double else self.single).encode_ordinary(text)
 
 
 @lru_cache(2)
@@ -135,8 +139,9 @@ class Bins:
 def packed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", path: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    A null text is empty and so a single end token.  Repeated rows are packed as often as
-    they occur.  sequence_id holds the task's number in its upper bits, so workers need not
+    A null text is empty and so a single end token.  Rows of null or repeated ids are rows
+    like any other, and repeated rows are packed as often as they occur.  A text may be of
+    any length and of any characters, such as millions of blanks.  sequence_id holds the task's number in its upper bits, so workers need not
     agree on anything; a task that runs again packs its rows the same way.
     """
     path = path or default_tokenizer()

@@ -1,17 +1,23 @@
 """Embedding near-duplicates by product quantisation over inverted lists.
 
-Unit vectors go to the list of their nearest coarse centroid; the residual is coded by the
-nearest of CODES centroids in each of SUBSPACES subspaces, and the length of what the code
-misses is kept with it.  A vector is looked up in its own list and in each list whose
-boundary with that one is nearer than PROBE_SIGMAS standard deviations of a step of the
-linking distance in a random direction.  There, table look-ups give the distance of the
-exact query to each coded member; the triangle inequality turns the kept length into a
-bound that no link within the list exceeds, and candidates are ranked again by exact cosine.
-
-Vectors are only compared under equal labels, so an inverted list holds one label.  Equal
-vectors of a label are one vector with a multiplicity.  Long lists are cut into blocks, and
-each vector meets each block it has to meet once; what comes out of a block is a number per
-vector and a spanning forest, not pairs.
+Unit vectors go to the list of their nearest coarse centroid, and within it to the sub-list
+of the nearest of a second set of centroids to what the first leaves; the rest is coded by
+the nearest of CODES centroids in each of SUBSPACES subspaces, and the length of what the
+code misses is kept with it.  Lists grow in number with the vectors, to LISTS times
+SUB_LISTS, so that a list stays at about PER_LIST members up to a thousand million vectors.
+
+The probes are sufficient.  Of two vectors within the linking radius, whose lists differ,
+one lies within half the radius of the boundary between the two; it looks into the other's
+list, there into every sub-list whose boundary is within the radius.  Within one list the
+same holds of sub-lists, with half the radius.  In each list, table look-ups give the
+distance of the exact query to each coded member; the triangle inequality turns the kept
+length into a bound that no link exceeds, and candidates are ranked again by exact cosine.
+So no link is lost, whatever the index was fitted on.
+
+Vectors are only compared under equal labels and lengths, so an inverted list holds one of
+each.  Equal vectors of a label are one vector with a multiplicity.  Long lists are cut into
+blocks, and each vector meets each block it has to meet once; what comes out of a block is
+a number per vector and a spanning forest, not pairs.
 """
 
 from __future__ import annotations
@@ -26,13 +32,14 @@ from pyspark.sql import functions as F
 from .common import checkpointed, connected_components, salted_left_join
 
 COSINE = 0.98
-#: Vectors that the index is fitted on, at most (8 MB of 64 floats).
-SAMPLE = 32_768
+#: Vectors and bytes of vectors that the index of one width is fitted on, at most.
+SAMPLE, SAMPLE_BYTES = 32_768, 8 << 20
 SUBSPACES, CODES = 8, 64
-PER_LIST, MOST_LISTS = 1024, 1024
-PROBE_SIGMAS = 4.0
+PER_LIST, LISTS, SUB_LISTS = 1024, 1024, 1024
 BLOCK = 1024
 QUERIES = 512
+#: Counted vectors and links of a block that are held before they are handed on.
+HELD = 1 << 18
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -51,21 +58,36 @@ def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return np.concatenate([_squares(x[i : i + 4096], centres).argmin(1) for i in range(0, len(x), 4096)]) if len(x) else np.zeros(0, int)
+    parts = [_squares(x[i : i + 4096], centres).argmin(1) for i in range(0, len(x), 4096)]
+    return np.concatenate([np.zeros(0, np.int64), *parts])
+
+
+class Cells:
+    """Centroids, and how far a point is from the boundary of its nearest one's cell with each other cell."""
+
+    def __init__(self, centres: np.ndarray) -> None:
+        self.centres = centres
+        self.gaps = np.sqrt(np.maximum(_squares(centres, centres), 1e-18))
+
+    def __call__(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest centroid of each row, and its distances to the boundaries with the others (0 with its own)."""
+        square = _squares(x, self.centres)
+        home = square.argmin(1)
+        return home, (square - square.min(1, keepdims=True)) / (2 * self.gaps[home])
 
 
 class Index:
-    """Coarse centroids and codebooks, fitted on unit vectors."""
+    """Coarse centroids of two levels and codebooks, fitted on unit vectors of one width."""
 
-    def __init__(self, sample: np.ndarray, lists: int, cosine: float = COSINE, seed: int = 1) -> None:
+    def __init__(self, sample: np.ndarray, lists: int, sub_lists: int = 1, cosine: float = COSINE, seed: int = 1) -> None:
         rng = np.random.default_rng(seed)
         self.width = -(-sample.shape[1] // SUBSPACES)
-        self.radius = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
-        self.margin = min(self.radius, PROBE_SIGMAS * self.radius / np.sqrt(sample.shape[1]))
+        self.radius = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-6
         x = self.padded(sample)
-        self.coarse = _kmeans(x, lists, rng)
-        self.gaps = np.sqrt(np.maximum(_squares(self.coarse, self.coarse), 1e-18))
-        left = (x - self.coarse[_nearest(x, self.coarse)])[:16384]
+        self.coarse = Cells(_kmeans(x, lists, rng))
+        left = x - self.coarse.centres[_nearest(x, self.coarse.centres)]
+        self.fine = Cells(_kmeans(left, sub_lists, rng) if sub_lists > 1 else np.zeros((1, x.shape[1])))
+        left = (left - self.fine.centres[_nearest(left, self.fine.centres)])[:16384]
         self.books = [_kmeans(left[:, s], CODES, rng) for s in self._parts()]
 
     def _parts(self) -> list[slice]:
@@ -74,32 +96,49 @@ class Index:
     def padded(self, x: np.ndarray) -> np.ndarray:
         return np.pad(x, ((0, 0), (0, SUBSPACES * self.width - x.shape[1])))
 
+    def centre(self, at: np.ndarray) -> np.ndarray:
+        """The centroid of each list by its number."""
+        return self.coarse.centres[at // len(self.fine.centres)] + self.fine.centres[at % len(self.fine.centres)]
+
     def assign(self, x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
         """Home list, lists to probe (home first), codes and the lengths that the codes miss."""
-        x = self.padded(x)
-        square = _squares(x, self.coarse)
-        home = square.argmin(1)
-        distance = (square - square.min(1, keepdims=True)) / (2 * self.gaps[home])
-        near = distance <= self.margin
-        near[np.arange(len(x)), home] = False
-        left = x - self.coarse[home]
+        x, n = self.padded(x), len(self.fine.centres)
+        list_, distance = self.coarse(x)
+        row, to = np.nonzero(distance <= self.radius / 2)
+        own = to == list_[row]
+        sub, within = self.fine(x[row] - self.coarse.centres[to])
+        home = list_ * n
+        home[row[own]] += sub[own]
+        # A row's own list is among those that it reaches, as its distance to it is 0.
+        which, fine = np.nonzero(within <= np.where(own, self.radius / 2, self.radius)[:, None])
+        reached, by = (to[which] * n + fine).astype(np.int32), row[which]
+        other = reached != home[by]
+        reached, by = reached[other], by[other]
+        edges = np.searchsorted(by, np.arange(len(x) + 1))
+        probes = [np.concatenate([[h], reached[a:b]]).astype(np.int32) for h, a, b in zip(home, edges, edges[1:], strict=False)]
+        left = x - self.centre(home)
         codes = np.stack([_nearest(left[:, s], book) for s, book in zip(self._parts(), self.books, strict=True)], 1).astype(np.uint8)
         coded = np.concatenate([book[codes[:, i]] for i, book in enumerate(self.books)], 1)
-        return home, [np.concatenate([[h], np.flatnonzero(n)]).astype(np.int32) for h, n in zip(home, near, strict=True)], codes, np.linalg.norm(left - coded, axis=1)
+        return home, probes, codes, np.linalg.norm(left - coded, axis=1)
 
     def candidates(self, queries: np.ndarray, at: int, codes: np.ndarray, missed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of queries and of coded members of list `at` that may lie within the radius."""
-        left = self.padded(queries) - self.coarse[at]
+        left = self.padded(queries) - self.centre(np.array([at]))
         distance = np.zeros((len(queries), len(codes)))
         for i, s in enumerate(self._parts()):
             distance += _squares(left[:, s], self.books[i])[:, codes[:, i]]
-        return np.nonzero(distance <= np.square(self.radius + missed + 1e-6)[None])
+        return np.nonzero(distance <= np.square(self.radius + missed)[None])
 
 
-def _vectors(column: pa.Array) -> np.ndarray:
-    """An Arrow column of equally long lists as rows of doubles."""
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+def _vectors(column: pa.Array, width: int | None = None) -> np.ndarray:
+    """An Arrow column of lists as rows of doubles; shorter ones end in zeros, by default up to the length of the first."""
+    flat, length = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64), column.value_lengths().to_numpy()
+    width = width or int(length[0])
+    if (length == width).all():
+        return flat.reshape(len(column), width)
+    out = np.zeros((len(column), width))
+    out[np.arange(width) < length[:, None]] = flat
+    return out
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -108,7 +147,8 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Row by row, in double precision."""
+    """Row by row, in double precision; each row is scaled by its largest component first, so that no square overflows or vanishes."""
+    x, y = (v / np.maximum(np.abs(v).max(1, keepdims=True), 1e-300) for v in (x, y))
     return np.einsum("ij,ij->i", x, y) / (np.linalg.norm(x, axis=1) * np.linalg.norm(y, axis=1))
 
 
@@ -135,19 +175,28 @@ class _Block:
     def __init__(self, index: Index, at: int, cosine: float) -> None:
         self.index, self.at, self.cosine = index, at, cosine
         self.parts: list[tuple] = []
+        self.open = True
+        self._reset()
+
+    def _reset(self) -> None:
         self.counts: dict[int, int] = {}
         self.links: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held = 0
 
     def members(self, ids: np.ndarray, copies: np.ndarray, x: np.ndarray, codes: np.ndarray, missed: np.ndarray, probes: list) -> None:
         self.parts.append((ids, copies, x, codes, missed, probes))
 
     def close_members(self) -> None:
+        """Once all members are there, they meet each other."""
+        if not self.open:
+            return
+        self.open = False
         if not self.parts:
             self.ids = np.zeros(0, np.int64)
             return
         columns = list(zip(*self.parts, strict=True))
         self.ids, self.copies, self.x, self.codes, self.missed = (np.concatenate(c) for c in columns[:5])
-        self.probes = [p for part in columns[5] for p in part]
+        self.probes, self.parts = [p for part in columns[5] for p in part], []
         for first in range(0, len(self.ids), QUERIES):
             part = slice(first, first + QUERIES)
             self._meet(self.ids[part], self.copies[part], self.x[part], None, first)
@@ -162,7 +211,8 @@ class _Block:
         i, j = i[close], j[close]
         if homes is not None and len(i):
             # Where both vectors probe the other's list, the lower list counts the pair.
-            once = np.array([h == self.at or self.at < h or h not in self.probes[m] for h, m in zip(homes[i].tolist(), j.tolist(), strict=True)], bool)
+            both = zip(homes[i].tolist(), j.tolist(), strict=True)
+            once = np.array([h == self.at or self.at < h or h not in self.probes[m] for h, m in both], bool)
             i, j = i[once], j[once]
         if not len(i):
             return
@@ -171,46 +221,57 @@ class _Block:
             for v, n in zip(who.tolist(), np.bincount(where, add).astype(np.int64).tolist(), strict=True):
                 self.counts[v] = self.counts.get(v, 0) + n
         self.links.append(_spanning(ids[i], self.ids[j]))
+        self.held = len(self.counts) + sum(len(a) for a, _ in self.links)
 
-    def queries(self, ids: np.ndarray, copies: np.ndarray, x: np.ndarray, homes: np.ndarray) -> None:
+    def queries(self, ids: np.ndarray, copies: np.ndarray, x: np.ndarray, homes: np.ndarray) -> Iterator[pa.RecordBatch]:
         for first in range(0, len(ids), QUERIES):
             part = slice(first, first + QUERIES)
             self._meet(ids[part], copies[part], x[part], homes[part])
+            if self.held > HELD:
+                yield self.result()
 
     def result(self) -> pa.RecordBatch:
-        a, b = _spanning(*(np.concatenate([x[i] for x in self.links]) for i in range(2))) if self.links else (np.zeros(0, np.int64),) * 2
+        """What was found since the last result: counts add up, and links are links."""
+        none = np.zeros(0, np.int64)
+        a, b = _spanning(*(np.concatenate([x[i] for x in self.links]) for i in range(2))) if self.links else (none, none)
         who, n = (np.array(list(x), np.int64) for x in (self.counts.keys(), self.counts.values()))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, who])), pa.array(np.concatenate([b, who])), pa.array(np.concatenate([np.zeros(len(a), np.int64), n]))], ["a", "b", "n"])
+        self._reset()
+        columns = [np.concatenate([a, who]), np.concatenate([b, who]), np.concatenate([np.zeros(len(a), np.int64), n])]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "n"])
+
+
+_MEETING = ("g1", "g2", "list", "block", "role", "id", "copies", "x", "width", "home", "code", "missed", "probes")
 
 
-def _compared(batches: Iterator[pa.RecordBatch], index: Index, cosine: float) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by label, list, block and role to links (a < b, n = 0) and numbers of links (a = b, n > 0)."""
-    key, block, open_ = None, None, False
+def _compared(batches: Iterator[pa.RecordBatch], indexes: dict[int, Index], cosine: float) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by group, list, block and role to links (a < b, n = 0) and numbers of links (a = b, n > 0)."""
+    key, block = None, None
     for batch in batches:
-        label, at, part, role = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-        ids, copies = (batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5))
-        new = np.concatenate([[True], (label[1:] != label[:-1]) | (at[1:] != at[:-1]) | (part[1:] != part[:-1]) | (role[1:] != role[:-1])]) if len(label) else []
-        edges = [*np.flatnonzero(new).tolist(), len(label)]
+        g1, g2, at, part, role, ids, copies = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(7))
+        if not len(ids):
+            continue
+        new = np.zeros(len(ids), bool)
+        new[0] = True
+        for c in (g1, g2, at, part, role):
+            new[1:] |= c[1:] != c[:-1]
+        edges = [*np.flatnonzero(new).tolist(), len(ids)]
         for a, b in zip(edges, edges[1:], strict=False):
-            if (label[a], at[a], part[a]) != key:
+            now = (g1[a], g2[a], at[a], part[a])
+            rows = batch.slice(a, b - a)
+            if now != key:
                 if block:
-                    if open_:
-                        block.close_members()
+                    block.close_members()
                     yield block.result()
-                key, block, open_ = (label[a], at[a], part[a]), _Block(index, int(at[a]), cosine), True
-            rows = batch.slice(a, b - a)
-            x = _vectors(rows.column(6))
+                key, block = now, _Block(indexes[rows.column(8)[0].as_py()], int(at[a]), cosine)
+            x = _vectors(rows.column(7))
             if role[a] == 0:
-                codes = np.frombuffer(b"".join(rows.column(8).to_pylist()), np.uint8).reshape(-1, SUBSPACES)
-                block.members(ids[a:b], copies[a:b], x, codes, rows.column(9).to_numpy(), rows.column(10).to_pylist())
+                codes = np.frombuffer(b"".join(rows.column(10).to_pylist()), np.uint8).reshape(-1, SUBSPACES)
+                block.members(ids[a:b], copies[a:b], x, codes, rows.column(11).to_numpy(), rows.column(12).to_pylist())
             else:
-                if open_:
-                    block.close_members()
-                    open_ = False
-                block.queries(ids[a:b], copies[a:b], x, rows.column(7).to_numpy())
+                block.close_members()
+                yield from block.queries(ids[a:b], copies[a:b], x, rows.column(9).to_numpy())
     if block:
-        if open_:
-            block.close_members()
+        block.close_members()
         yield block.result()
 
 
@@ -219,59 +280,93 @@ def _usable(vector: Column, label: Column) -> Column:
     return label.isNotNull() & vector.isNotNull() & finite & F.exists(vector, lambda v: v != 0)
 
 
-def embedding_groups(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", label_column: str = "label", cosine: float = COSINE) -> DataFrame:
+def _fitted(distinct: DataFrame, cosine: float, per_list: int, most: tuple[int, int]) -> dict[int, Index]:
+    """An index for each width (the least power of two that a vector's length does not exceed), on a bounded sample of its vectors.
+
+    There are at most 31 widths, as an array's length is an int.
+    """
+    found = {}
+    for width, n in sorted(distinct.groupBy("width").count().toLocalIterator()):
+        at_most = int(np.clip(SAMPLE_BYTES // (4 * width), 1, SAMPLE))
+        chosen = distinct.where(F.col("width") == width).orderBy(F.xxhash64("x", F.lit(1)), "id").limit(at_most)
+        sample = chosen.select(F.col("x").cast("array<double>")).toArrow().column(0).combine_chunks()
+        lists = int(np.clip(n // per_list, 1, most[0]))
+        sub_lists = int(np.clip(n // (per_list * lists), 1, most[1]))
+        found[width] = Index(_unit(_vectors(sample, width)), lists, sub_lists, cosine)
+    return found
+
+
+def embedding_groups(
+    vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", label_column: str = "label", cosine: float = COSINE,
+    per_list: int = PER_LIST, most_lists: tuple[int, int] = (LISTS, SUB_LISTS),
+) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept, as links of at least `cosine` under equal labels give them.
 
     Vectors without a label, or that are null, empty, zero or hold null or non-finite
-    components, link with nothing.  Vectors of another length than the most frequent one
-    are compared with none but their equals.  Repeated rows are vectors of their own and
-    link with each other.
+    components, link with nothing.  Vectors of unequal lengths have no cosine and do not
+    link.  Every row is a vector of its own, whatever its id: repeated rows link with each
+    other, rows of one id with different vectors or labels have links and components of
+    their own, and rows of a null id link and are counted like others, but name no component
+    (component_id is null where no row of the component has an id) and are not kept.
     """
-    rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast("array<double>").alias("x"), F.col(label_column).cast("string").alias("label"))
-    rows = rows.withColumn("ok", _usable(F.col("x"), F.col("label"))).withColumn("x", F.when(F.col("ok"), F.col("x")))
-    grouped = rows.where("ok and vec_id is not null").groupBy("label", "x").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"))
-    distinct = checkpointed(grouped)
-    sizes = distinct.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    plain = rows.select("vec_id", "label", "x")
-    if not sizes:
+    columns = (F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast("array<double>").alias("x"), F.col(label_column).cast("string").alias("label"))
+    rows = vectors.select(*columns)
+    rows = rows.withColumn("ok", _usable(F.col("x"), F.col("label")))
+    # 128 bits of hash stand for label and vector in joins.
+    for i, name in enumerate(("k1", "k2")):
+        rows = rows.withColumn(name, F.when(F.col("ok"), F.xxhash64(F.lit(i), "label", "x")))
+    plain = rows.select("vec_id", "k1", "k2")
+    grouped = rows.where("ok").groupBy("label", "x", "k1", "k2").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    width = F.pow(F.lit(2.0), F.ceil(F.log2(F.size("x"))))
+    group = [F.xxhash64(F.lit(i), "label", F.size("x")).alias(f"g{i}") for i in (1, 2)]
+    distinct = checkpointed(grouped.select("k1", "k2", *group, "x", width.cast("int").alias("width"), "least", "copies", F.monotonically_increasing_id().alias("id")))
+    indexes = _fitted(distinct, cosine, per_list, most_lists)
+    if not indexes:
         return plain.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    length, number = sizes[0]["d"], sizes[0]["count"]
-    same = distinct.where(F.size("x") == length)
-    sample = same.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(SAMPLE).select(F.col("x").cast("array<float>").alias("x")).toPandas()
-    lists = int(np.clip(number // PER_LIST, 1, MOST_LISTS))
-    index = Index(_unit(np.stack(sample["x"].to_list()).astype(np.float64)), lists, cosine)
-    shared = vectors.sparkSession.sparkContext.broadcast(index)
+    shared = vectors.sparkSession.sparkContext.broadcast(indexes)
 
     def assigned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for first in range(0, whole.num_rows, 2048):
-                batch = whole.slice(first, 2048)
-                home, probes, codes, missed = shared.value.assign(_unit(_vectors(batch.column(3))))
-                extra = [pa.array(home, pa.int32()), pa.array(probes, pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(missed)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *extra], ["id", "copies", "label", "x", "home", "probes", "code", "missed"])
-
-    coded = checkpointed(same.select("id", "copies", "label", "x").mapInArrow(assigned, "id long, copies long, label string, x array<double>, home int, probes array<int>, code binary, missed double"))
-    blocks = coded.groupBy("label", "home").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    members = coded.join(blocks, ["label", "home"]).withColumn("block", F.pmod(F.xxhash64("id", F.lit(2)), F.col("blocks")).cast("int"))
-    column = lambda role, at, block: [F.xxhash64("label").alias("label"), at.alias("list"), block.alias("block"), F.lit(role).alias("role"), "id", "copies", "x", "home"]
-    as_members = members.select(*column(0, F.col("home"), F.col("block")), "code", "missed", "probes")
-    nothing = [F.lit(None).cast("binary").alias("code"), F.lit(None).cast("double").alias("missed"), F.lit(None).cast("array<int>").alias("probes")]
-    # In its own list a vector meets the blocks after its own; in others that have members, every block.
-    later = members.where("blocks > block + 1").withColumn("to", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)))
-    probing = coded.select("id", "copies", "label", "x", "home", F.explode(F.slice("probes", F.lit(2), F.greatest(F.lit(0), F.size("probes") - 1))).alias("list"))
-    there = probing.join(blocks.withColumnRenamed("home", "list"), ["label", "list"]).withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    meeting = as_members.union(later.select(*column(1, F.col("home"), F.col("to")), *nothing)).union(there.select(*column(1, F.col("list"), F.col("to")), *nothing))
-    ordered = meeting.repartition("label", "list", "block").sortWithinPartitions("label", "list", "block", "role")
-    found = checkpointed(ordered.mapInArrow(lambda b: _compared(b, shared.value, cosine), "a long, b long, n long"))
+            widths = whole.column(5).to_numpy()
+            for width_ in np.unique(widths).tolist():
+                of = whole if (widths == width_).all() else whole.filter(pa.array(widths == width_))
+                step = int(np.clip((4 << 20) // width_, 1, 2048))
+                for first in range(0, of.num_rows, step):
+                    batch = of.slice(first, step)
+                    home, probes, codes, missed = shared.value[width_].assign(_unit(_vectors(batch.column(4), width_)))
+                    extra = [pa.array(home, pa.int32()), pa.array(probes, pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(missed)]
+                    yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, "home", "probes", "code", "missed"])
+
+    schema = "id long, copies long, g1 long, g2 long, x array<double>, width int, home int, probes array<int>, code binary, missed double"
+    coded = checkpointed(distinct.select("id", "copies", "g1", "g2", "x", "width").mapInArrow(assigned, schema))
+    found = checkpointed(_meetings(coded).mapInArrow(lambda b: _compared(b, shared.value, cosine), "a long, b long, n long"))
 
     components = connected_components(found.where("n = 0").select("a", "b").distinct())
-    counts = found.where("n > 0").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
-    known = (
-        distinct.join(counts, "id", "left")
-        .join(components.withColumnRenamed("node", "id"), "id", "left")
-        .where("copies > 1 or n is not null")
-        .select("label", "x", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "id").alias("component"))
-    )
-    out = salted_left_join(plain, known, ["label", "x"], "vec_id")
-    component = F.coalesce("component", "vec_id")
-    return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+    counts = found.where("n > 0").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("links"))
+    linked = distinct.select("id", "k1", "k2", "least", "copies").join(counts, "id", "left").join(components.withColumnRenamed("node", "id"), "id", "left")
+    linked = linked.withColumn("component", F.coalesce("component", "id"))
+    linked = checkpointed(linked.where("copies > 1 or links is not null"))
+    names = linked.groupBy("component").agg(F.min("least").alias("name"), F.count(F.lit(1)).alias("n"))
+    known = salted_left_join(linked, names.drop("n"), ["component"], "id", names.select("component", "n"))
+    known = known.select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), "name")
+    out = salted_left_join(plain, known, ["k1", "k2"], "vec_id", linked.select("k1", "k2", F.col("copies").alias("n")))
+    component = F.when(F.col("links").isNull(), F.col("vec_id")).otherwise(F.col("name"))
+    return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+
+
+def _meetings(coded: DataFrame) -> DataFrame:
+    """Members of blocks (role 0) and the vectors that have to meet them (role 1), in order."""
+    here = ["g1", "g2", "home"]
+    blocks = coded.groupBy(*here).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    members = coded.join(blocks, here).withColumn("block", F.pmod(F.xxhash64("id", F.lit(2)), F.col("blocks")).cast("int"))
+    of = lambda role, at, block: ["g1", "g2", at.alias("list"), block.alias("block"), F.lit(role).alias("role"), "id", "copies", "x", "width", "home"]
+    as_members = members.select(*of(0, F.col("home"), F.col("block")), "code", "missed", "probes")
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in (("code", "binary"), ("missed", "double"), ("probes", "array<int>"))]
+    # In its own list a vector meets the blocks after its own; in others that have members, every block.
+    later = members.where("blocks > block + 1").withColumn("to", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)))
+    others = F.explode(F.slice("probes", F.lit(2), F.greatest(F.lit(0), F.size("probes") - 1)))
+    probing = coded.select("id", "copies", "g1", "g2", "x", "width", "home", others.alias("list"))
+    there = probing.join(blocks.withColumnRenamed("home", "list"), ["g1", "g2", "list"]).withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    meeting = as_members.union(later.select(*of(1, F.col("home"), F.col("to")), *nothing)).union(there.select(*of(1, F.col("list"), F.col("to")), *nothing))
+    where = ("g1", "g2", "list", "block")
+    return meeting.select(*_MEETING).repartition(*where).sortWithinPartitions(*where, "role")

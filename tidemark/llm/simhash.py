@@ -227,7 +227,7 @@ def simhash_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .where("n > 1 or component is not null")
         .select("fp", F.coalesce("component", "least").alias("component"))
     )
-    return salted_left_join(rows, shared, ["fp"], "doc_id").select(
+    return salted_left_join(rows, shared, ["fp"], "doc_id", distinct.select("fp", "n")).select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.coalesce("component", "doc_id").alias("component_id"),
