@@ -82,6 +82,28 @@ def test_simhash_equals_brute_force(spark, small, odd_documents, which):
     assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None} == expected
 
 
+def test_rows_of_null_and_repeated_ids_link_by_text(spark, monkeypatch):
+    """Fingerprints stand in for texts: a row of a null id joins two others, and rows of one id stay apart."""
+    chosen = {"a": 0, "b": 0b111, "c": 0b111111, "d": 1 << 40 | 0xFFFF << 44, "e": (1 << 63) - 1, "f": (1 << 63) - 2}
+    as_rows = lambda docs, *_: docs.select("doc_id", F.element_at(F.create_map(*[F.lit(x) for p in chosen.items() for x in p]), F.col("text")).alias("fp"))
+    monkeypatch.setattr(simhash, "fingerprints", as_rows)
+    docs = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c"), (1, "d"), (None, "e"), (None, "f")], "doc_id long, text string")
+    got = sorted((r["fingerprint"], r["doc_id"], r["component_id"]) for r in simhash.simhash_groups(docs).collect() if r["doc_id"])
+    assert got == sorted([("0" * 16, 1, 1), (f"{0b111111:016x}", 2, 1), (f"{chosen['d']:016x}", 1, 1)])
+    assert [r["component_id"] for r in simhash.simhash_groups(docs).where("fingerprint like '7%'").collect()] == [None, None]
+
+
+@pytest.mark.parametrize("most", [3, 40])
+def test_dense_keys_are_split_without_losing_links(spark, most):
+    rng = np.random.default_rng(6)
+    fps = np.unique(np.concatenate([rng.integers(0, 1 << 10, 150), rng.integers(0, 1 << 62, 60), (1 << 50) + rng.integers(0, 1 << 14, 150)]))
+    df = spark.createDataFrame([(int(x),) for x in fps], "fp long")
+    found = [tuple(r) for r in simhash.fingerprint_links(df, most).collect()]
+    links = [(int(x), int(y)) for i, x in enumerate(fps) for y in fps[:i] if int(x ^ y).bit_count() <= 4]
+    assert all((a ^ b).bit_count() <= 4 for a, b in found)
+    assert components(fps.tolist(), found) == components(fps.tolist(), links)
+
+
 def test_large_runs_give_a_spanning_forest():
     rng = np.random.default_rng(2)
     fps = np.unique(rng.integers(0, 1 << 12, 300, dtype=np.uint64))

@@ -14,7 +14,9 @@ Two fingerprints that differ in at most four bits share a key of one of these ki
   segment, and whichever third of the last segment has no error (31 bits, three kinds).
 
 Keys are joined by a shuffle, candidates are verified by their Hamming distance, and
-connected components of the links are found by joins.
+connected components of the links are found by joins.  A key that many fingerprints share
+is split: they are dealt again by that key and one of five parts of the fingerprint, of
+which two within four bits of each other share one.
 """
 
 from __future__ import annotations
@@ -27,13 +29,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW_KEYS, checkpointed, connected_components, row_keys, salted_left_join
+from .common import ROW_KEYS, checkpointed, connected_components, finish, row_keys, salted_left_join
 
 SHINGLE = 4
 SEED = 42
 MAX_BITS = 4
 _GENERATOR = 0xC75  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 _SEGMENTS = ((0, 22), (22, 21), (43, 21))
+#: Fingerprints of one key that are compared at once, at most.
+RUN = 1024
+#: First bit and number of bits of five parts; two fingerprints within four bits agree in one of them.
+_PARTS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
@@ -132,23 +138,25 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     return rows.mapInArrow(each, ", ".join(f"{x} long" for x in ("doc_id", "fp", *carried)))
 
 
-def _forest(fps: np.ndarray) -> list[tuple[int, int]]:
-    """Links (positions) that span the components of the fingerprints of one key."""
-    near = lambda x, all_: np.flatnonzero(np.bitwise_count(all_ ^ x) <= MAX_BITS)
-    links = [(0, int(i)) for i in near(fps[0], fps) if i]
-    of = np.arange(len(fps))
-    of[[j for _, j in links]] = 0
-    for i in np.flatnonzero(of):
-        for other in np.unique(of[near(fps[i], fps)]):
-            if other != of[i]:
-                links.append((int(i), int(other)))
-                low, high = sorted((int(other), int(of[i])))
-                of[of == high] = low
-    return links
+def _forest(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that span the components of the fingerprints of one key; each is compared with those that no link has reached yet."""
+    left, right = [], []
+    while len(fps):
+        frontier, fps = [fps[0]], fps[1:]
+        while frontier and len(fps):
+            x = frontier.pop()
+            near = np.bitwise_count(fps ^ x) <= MAX_BITS
+            if near.any():
+                reached, fps = fps[near], fps[~near]
+                left.append(np.full(len(reached), x))
+                right.append(reached)
+                frontier.extend(reached)
+    none = np.zeros(0, np.uint64)
+    return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
 def _links_in_runs(keys: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links among fingerprints of equal keys (both sorted by key).  Large runs give a spanning forest only."""
+    """Links among fingerprints of equal keys (both sorted by key).  Runs of over 32 give a spanning forest only."""
     edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
     lengths = np.diff(edge)
     left, right = [], []
@@ -163,22 +171,43 @@ def _links_in_runs(keys: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.nd
         right.append(fps[at + k])
         k += 1
     for n in np.flatnonzero(lengths > 32):
-        run = fps[edge[n] : edge[n + 1]]
-        links = np.array(_forest(run), np.int64).reshape(-1, 2)
-        left.append(run[links[:, 0]])
-        right.append(run[links[:, 1]])
+        a, b = _forest(fps[edge[n] : edge[n + 1]])
+        left.append(a)
+        right.append(b)
     none = np.zeros(0, np.uint64)
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (key, fp) rows to the links within each key.  A run may cross batches."""
-    keys, fps = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+def _finer(keys: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each fingerprint under five keys, of its key and one of its _PARTS each: those within MAX_BITS that share a key share one of these."""
+    made = []
+    for n, (at, bits) in enumerate(_PARTS):
+        part = (fps >> np.uint64(at)) & np.uint64((1 << bits) - 1)
+        made.append(finish(finish(keys.view(np.uint64)) + (part * np.uint64(len(_PARTS)) + np.uint64(n))).view(np.int64))
+    return np.concatenate(made), np.tile(fps, len(_PARTS))
+
+
+def _verified(batches: Iterator[pa.RecordBatch], most: int | None) -> Iterator[pa.RecordBatch]:
+    """Rows (key, fp), sorted by key, to links (a, b, no key) within each key; rows of keys with over `most` to (fp, nothing, finer key).
+
+    A run may cross batches.  No more than `most` rows of a run are held, if most is given.
+    """
+    keys, fps, passed = np.zeros(0, np.int64), np.zeros(0, np.uint64), None
+
+    def batch_of(a: np.ndarray, b: np.ndarray | None, key: np.ndarray | None) -> pa.RecordBatch:
+        columns = [x if x is None else np.ascontiguousarray(x).view(np.int64) for x in (a, b, key)]
+        return pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()) if x is None else pa.array(x) for x in columns], ["a", "b", "key"])
 
-    def out(k: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
-        a, b = _links_in_runs(k, f)
+    def out(k: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
+        edge = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1], [True]]))
+        length = np.diff(edge)
+        long = np.zeros(len(k), bool) if most is None else np.repeat((length > most) | (k[edge[:-1]] == passed), length)
+        a, b = _links_in_runs(k[~long], f[~long])
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), np.uint64)
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, i]).view(np.int64)) for i in range(2)], ["a", "b"])
+        yield batch_of(pairs[:, 0], pairs[:, 1], None)
+        if long.any():
+            key, fp = _finer(k[long], f[long])
+            yield batch_of(fp, None, key)
 
     for batch in batches:
         k, f = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
@@ -186,15 +215,23 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(keys):
             continue
         whole = int(np.searchsorted(keys, keys[-1], "left"))
-        if whole:
-            yield out(keys[:whole], fps[:whole])
+        if most is not None and len(keys) - whole > most:
+            # The last run is too long already: all of it goes on to finer keys, as will what follows of it.
+            yield from out(keys, fps)
+            passed, keys, fps = keys[-1], keys[:0], fps[:0]
+        elif whole:
+            yield from out(keys[:whole], fps[:whole])
             keys, fps = keys[whole:], fps[whole:]
     if len(keys):
-        yield out(keys, fps)
+        yield from out(keys, fps)
+
 
+def fingerprint_links(distinct: DataFrame, most: int = RUN) -> DataFrame:
+    """(a, b): links of distinct fingerprints `fp`; all of them, but for keys of over 32 fingerprints, of which a spanning forest.
 
-def fingerprint_links(distinct: DataFrame) -> DataFrame:
-    """(a, b): links of distinct fingerprints `fp`; all of them, but for keys of over 32 fingerprints, of which a spanning forest."""
+    Keys of over `most` fingerprints are not compared as they are: their fingerprints are
+    dealt anew, under five finer keys each, so that a dense key is work for many tasks.
+    """
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,33 +241,37 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
                 rows, keys = fuzzy_keys(part.view(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[rows])], ["key", "fp"])
 
-    keys = distinct.select("fp").mapInArrow(keyed, "key long, fp long")
-    return keys.repartition("key").sortWithinPartitions("key").mapInArrow(_verified, "a long, b long").distinct()
+    def links(keys: DataFrame, at_most: int | None) -> DataFrame:
+        in_order = keys.repartition("key").sortWithinPartitions("key")
+        return in_order.mapInArrow(lambda b: _verified(b, at_most), "a long, b long, key long")
+
+    first = checkpointed(links(distinct.select("fp").mapInArrow(keyed, "key long, fp long"), most).distinct())
+    found = first.where("key is null").select("a", "b")
+    dense = first.where("key is not null").select("key", F.col("a").alias("fp"))
+    if dense.isEmpty():
+        return found
+    return found.union(links(dense, None).select("a", "b")).distinct()
 
 
 def simhash_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (the least doc_id that links reach).
 
     Equal texts, and any documents without a word, have equal fingerprints and so one
-    component.  Rows with a null id take part, but never name a component unless no other
-    row can.  Repeated rows stay.  An empty table gives an empty result.
+    component.  Groups are of rows: rows of one id fall into groups by their texts, and rows
+    with a null id link like others, but name no component (component_id is null where no
+    row of it has an id).  Repeated rows stay.  An empty table gives an empty result.
     """
     rows = checkpointed(fingerprints(docs, id_column, text_column))
     distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")))
-    links = checkpointed(fingerprint_links(distinct))
-    ends = distinct.select("fp", "least")
-    named = links.join(ends.select(F.col("fp").alias("a"), F.col("least").alias("x")), "a")
-    named = named.join(ends.select(F.col("fp").alias("b"), F.col("least").alias("y")), "b")
-    components = connected_components(named, "x", "y")
-    shared = (
-        distinct.join(components.select(F.col("node").alias("least"), "component"), "least", "left")
-        .where("n > 1 or component is not null")
-        .select("fp", F.coalesce("component", "least").alias("component"))
-    )
+    components = connected_components(fingerprint_links(distinct))
+    of = distinct.join(components.withColumnRenamed("node", "fp"), "fp", "left").where("n > 1 or component is not null")
+    of = checkpointed(of.select("fp", "least", F.coalesce("component", "fp").alias("component")))
+    names = of.groupBy("component").agg(F.min("least").alias("name"), F.count(F.lit(1)).alias("n"))
+    shared = salted_left_join(of, names.drop("n"), ["component"], "fp", names.select("component", "n")).select("fp", "name")
     return salted_left_join(rows, shared, ["fp"], "doc_id", distinct.select("fp", "n")).select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.coalesce("component", "doc_id").alias("component_id"),
+        F.coalesce("name", "doc_id").alias("component_id"),
     )
 
 
