@@ -2,12 +2,16 @@
 
 import collections
 import math
+import os
 import re
+import shutil
+import threading
 import zlib
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from oracle import connection, rows_of
@@ -180,31 +184,48 @@ def test_classes_hold_a_fixed_count():
 
 def plain_scores(rows, weights):
     mod = lambda i: 0 if i is None else zlib.crc32(str(i).encode()) % 5
+    order = len(weights) + 1
+    counts, contexts = [collections.Counter() for _ in range(order)], [collections.Counter() for _ in range(order)]
+
+    def grams(words):
+        """By token and order: the token with the words before it; a text's first word follows an end."""
+        return [[tuple(words[max(0, i - k) : i + 1]) if i >= k else ("\n", *words[: i + 1]) for k in range(order)] for i in range(len(words))]
+
     tokens = [(i, [*WORD.findall(lower(t or "")), "\n"]) for i, t in rows]
-    single, double = collections.Counter(), collections.Counter()
     for i, t in tokens:
         if mod(i) != 1:
-            single.update(t)
-            double.update(zip(["\n", *t[:-1]], t, strict=True))
-    n, v = sum(single.values()), len(single)
+            for token in grams(t):
+                for k, gram in enumerate(token):
+                    counts[k][len(gram) == k + 1, gram] += 1
+                    contexts[k][len(gram) == k + 1, gram[:-1]] += 1
+    n, v = sum(counts[0].values()), len(counts[0])
     out = []
     for i, t in tokens:
-        base = sum(math.log10((single[x] + 0.5) / (n + 0.5 * (v + 1))) for x in t)
-        score = 0.0
-        for before, x in zip(["\n", *t[:-1]], t, strict=True):
-            w = weights[min(math.frexp(single[before])[1], lm.CONTEXTS - 1)] if single[before] else 0.0
-            score += math.log10(w * double[before, x] / max(1, single[before]) + (1 - w) * (single[x] + 0.5) / (n + 0.5 * (v + 1)))
-        out.append((i, mod(i) == 1, len(t), sum(single[x] > 0 for x in t), n, base, score))
+        base = score = 0.0
+        known = 0
+        for token in grams(t):
+            p = (counts[0][True, token[0]] + 0.5) / (n + 0.5 * (v + 1))
+            known += counts[0][True, token[0]] > 0
+            base += math.log10(p)
+            for k in range(1, order):
+                key = len(token[k]) == k + 1
+                seen = contexts[k][key, token[k][:-1]]
+                w = weights[k - 1][min(math.frexp(seen)[1], lm.CONTEXTS - 1)] if seen else 0.0
+                p = w * counts[k][key, token[k]] / max(1, seen) + (1 - w) * p
+            score += math.log10(p)
+        out.append((i, mod(i) == 1, len(t), known, n, base, score))
     return out
 
 
-@pytest.mark.parametrize("which", ["odd", "small"])
-def test_scores_equal_brute_force(spark, small, odd_documents, which, monkeypatch):
+@pytest.mark.parametrize(("which", "order"), [("odd", 2), ("odd", 3), ("small", 2), ("small", 3), ("odd", 4)])
+def test_scores_equal_brute_force(spark, small, odd_documents, which, order, monkeypatch):
     docs = odd_documents if which == "odd" else documents(spark, small)
     learned = []
+    monkeypatch.setattr(lm, "LEAST_BYTES", 1 << 16)
     monkeypatch.setattr(lm, "mixture_weights", lambda counts, f=lm.mixture_weights: learned.append(f(counts)) or learned[-1])
-    got = sorted(map(tuple, lm.interpolated_scores(docs).collect()), key=repr)
-    expected = sorted(plain_scores([(r["doc_id"], r["text"]) for r in docs.collect()], learned[0]), key=repr)
+    got = sorted(map(tuple, lm.interpolated_scores(docs, order=order).collect()), key=repr)
+    assert len(learned) == order - 1
+    expected = sorted(plain_scores([(r["doc_id"], r["text"]) for r in docs.collect()], learned), key=repr)
     assert len(got) == len(expected)
     key = lambda r: (r[0] is None, r[0] or 0, r[2])
     for a, b in zip(sorted(got, key=key), sorted(expected, key=key), strict=True):
@@ -217,12 +238,30 @@ def test_totals_pass_32_bits():
     import pyarrow as pa
 
     hashes, counts = lm._packed(np.array([5, 4], np.uint64)), lm._packed(np.array([3_000_000_000, 7], np.uint32))
-    rows = [{"bucket": 0, "block": b, "words": hashes, "n_words": counts, "pairs": hashes, "n_pairs": counts} for b in (0, 1, 2)]
+    rows = [{"bucket": 0, "block": b, "checksum": b, "grams": [hashes, hashes], "counts": [counts, counts]} for b in (0, 1, 2)]
     got = {r["block"]: r for batch in lm._answered(iter([pa.RecordBatch.from_pylist(rows)])) for r in batch.to_pylist()}
     assert got[-1]["sums"] == [9_000_000_021, 2, 6_000_000_014, 2]
-    for what in ("words", "pairs"):
-        assert lm._unpacked(got[0][what], np.uint64).tolist() == [9_000_000_000, 21]
-        assert lm._unpacked(got[1][what], np.uint64).tolist() == [9_000_000_000, 21, 3_000_000_000, 7]
+    for k in range(2):
+        assert lm._unpacked(got[0]["totals"][k], np.uint64).tolist() == [9_000_000_000, 21]
+        assert lm._unpacked(got[1]["totals"][k], np.uint64).tolist() == [9_000_000_000, 21, 3_000_000_000, 7]
+
+
+def test_a_changed_block_is_an_error():
+    import pyarrow as pa
+
+    checks = [lm._checksum(lm._tokens(pa.chunked_array([t], pa.string()), 2)[0][0]) for t in (["a b", "c"], ["a", "b c"], ["c", "a b"], ["a b", "c"])]
+    assert checks[0] == checks[3] and len(set(checks)) == 3
+    n = 1
+    columns = [pa.array([0, 0]), pa.array([0, 1], pa.int32()), pa.array([0, 0]), pa.array([None, 1]), pa.array([None, False]), pa.array([None, b"a b"]), pa.array([checks[0], None]), pa.nulls(2, pa.list_(pa.binary()))]
+    rows = pa.Table.from_arrays(columns, ["block", "kind", "at", "doc_id", "held", "text", "checksum", "totals"])
+    with pytest.raises(RuntimeError, match="changed"):
+        lm._Counts(0, rows, n)
+
+
+def test_parcels_grow_with_the_corpus():
+    parcels = lambda size: (size / lm.block_bytes(size)) ** 2
+    assert parcels(1 << 42) / parcels(1 << 38) <= 16.1
+    assert lm.block_bytes(0) == lm.LEAST_BYTES and lm.block_bytes(100 << 40) == lm.MOST_BYTES
 
 
 def test_weights_are_the_likeliest():
@@ -405,7 +444,7 @@ def test_compaction_round_trip(spark, small, odd_documents, tmp_path):
         store = sharding.ShardStore(spark, str(tmp_path / str(i)), small=1 << 14, target=1 << 17)
         got = sharding.compacted(docs, store.path, small=1 << 14, target=1 << 17)
         assert sorted((r["doc_id"], r["n_bytes"]) for r in got.collect() if r["doc_id"] is not None) == sorted((r["doc_id"], len((r["text"] or "").encode())) for r in docs.collect() if r["doc_id"] is not None)
-        back = store.read().drop("_shard")
+        back = store.read()
         assert rows_of(back.select(sorted(back.columns))) == rows_of(docs.select(sorted(docs.columns)))
         live = store.manifest().collect()
         assert sum(r["n_docs"] for r in live) == docs.count()
@@ -413,12 +452,85 @@ def test_compaction_round_trip(spark, small, odd_documents, tmp_path):
         assert all(n < sharding.MERGE for n in tiers.values())
 
 
-def test_a_version_is_committed_once(spark, odd_documents, tmp_path):
+def test_a_version_is_committed_once(spark, odd_documents, tmp_path, monkeypatch):
     store = sharding.ShardStore(spark, str(tmp_path / "s"))
     assert store.append(odd_documents.limit(5)) == 1
+    with pytest.raises(RuntimeError, match="another writer"):
+        store.commit(store.manifest(1), 0)
+    # A rename that moves the folder into the one that is there, as some file systems do.
+    monkeypatch.setattr(store, "_renamed", lambda staged, final: shutil.move(f"{store.path}/{staged}", f"{store.path}/{final}"))
     with pytest.raises(RuntimeError, match="another writer"):
         store.commit(store.manifest(1), 0)
     assert store.version() == 1 and store.manifest(1).count() >= 1
+    assert [n for n in os.listdir(tmp_path / "s" / "manifests") if n.startswith(".staged")] == []
+
+
+def test_of_racing_writers_one_commits(spark, odd_documents, tmp_path):
+    store = sharding.ShardStore(spark, str(tmp_path / "s"))
+    store.append(odd_documents.limit(5))
+    manifest, start, won = store.manifest(1), threading.Barrier(4), []
+
+    def write():
+        start.wait()
+        try:
+            won.append(store.commit(manifest, 1))
+        except RuntimeError:
+            won.append(None)
+
+    writers = [threading.Thread(target=write) for _ in range(4)]
+    for w in writers:
+        w.start()
+    for w in writers:
+        w.join()
+    assert sorted(won, key=str) == [2, None, None, None] and store.manifest(2).count() == manifest.count()
+
+
+def plain_compaction(sizes, new, small, target, ratio, merge):
+    """The sizes of the shards after an arrival, where merged shards are one file each up to the target."""
+    sizes = sorted([*sizes, *new])
+    tier = lambda n: math.ceil(round(math.log(max(1, n / small), ratio), 9))
+    while True:
+        due = collections.Counter(tier(n) for n in sizes if n < target // 2)
+        due = sorted(t for t, n in due.items() if n >= merge)
+        if not due:
+            return sizes
+        merged = [n for n in sizes if n < target // 2 and tier(n) == due[0]]
+        assert sum(merged) <= target
+        sizes = sorted([n for n in sizes if not (n < target // 2 and tier(n) == due[0])] + [sum(merged)])
+
+
+def test_tiers_equal_brute_force(spark, tmp_path):
+    limits = {"small": 64, "target": 4096, "ratio": 4, "merge": 3}
+    store = sharding.ShardStore(spark, str(tmp_path / "s"), **limits)
+    pick, sizes = np.random.default_rng(5), []
+    for k in range(9):
+        n = int(pick.choice([10, 50, 64, 65, 200, 256, 700, 2100]))
+        store.append(spark.createDataFrame([(k, "x" * n)], "doc_id long, text string").coalesce(1))
+        store.compact()
+        sizes = plain_compaction(sizes, [n], **limits)
+        assert sorted(r["n_bytes"] for r in store.manifest().collect()) == sizes
+    assert sorted(r["doc_id"] for r in store.read().collect()) == list(range(9))
+
+
+def test_versions_columns_and_vacuum(spark, tmp_path):
+    store = sharding.ShardStore(spark, str(tmp_path / "s"), merge=2)
+    first = spark.createDataFrame([(1, "a", 7, "u", 1)], "doc_id long, text string, _bytes long, _shard string, _arrival int")
+    store.append(first)
+    store.append(spark.createDataFrame([(None, None), (None, None)], "doc_id long, text string"))
+    store.compact()
+    assert sorted(map(tuple, store.read().select("doc_id", "text", "_bytes", "_shard", "_arrival").collect()), key=str) == [(1, "a", 7, "u", 1), (None, None, None, None, None), (None, None, None, None, None)]
+    assert store.read(1).count() == 1 and store.version() == 3
+    store.vacuum()
+    assert store.read(2).count() == 3
+    store.vacuum(versions=1, seconds=3600)
+    assert store.read(1).count() == 1
+    store.vacuum(versions=1, seconds=-5)
+    assert store.read().count() == 3
+    with pytest.raises(AnalysisException):
+        store.read(1).count()
+    assert {r["shard"] for r in store.manifest().collect()} == {f"data/{p.parent.name}/{p.name}" for p in (tmp_path / "s" / "data").glob("*/*.parquet")}
+    got = sharding.compacted(first.union(first), str(tmp_path / "t")).collect()
+    assert [(r["doc_id"], r["n_bytes"]) for r in got] == [(1, 1), (1, 1)]
 
 
 def test_compaction_of_nothing(no_documents):
