@@ -5,9 +5,11 @@ import math
 import os
 import re
 import shutil
+import textwrap
 import threading
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -540,15 +542,82 @@ def test_compaction_of_nothing(no_documents):
 # Licences and the queries with SQL
 
 
-def test_licence_rules(spark, no_documents):
-    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
-    first, second = mit.split("\n")
-    rows = [(1, f"Some prose. {mit} More."), (2, f"{second}\n{first}"), (3, "LICENSED  under the Apache License, Version 2.0."), (4, "licensed under"), (5, None), (6, ""), (7, "Released under the MIT License. Licensed under CC BY-NC 4.0.\nReleased under the MIT License")]
-    got = {r["doc_id"]: (r["n_sentences"], r["licences"]) for r in licences.licence_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {1: (2, "MIT"), 2: (2, ""), 3: (1, "Apache-2.0"), 4: (0, ""), 5: (0, ""), 6: (0, ""), 7: (3, "CC-BY-NC-4.0;MIT")}
+# A published text of the MIT licence, wrapped as it mostly is.
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY."""
+GPL_NOTICE = """/*
+ * This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation; either version 2 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details.
+ */"""
+BSD_TEXT = """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are met:
+#
+#   1. Redistributions of source code must retain the above copyright notice,
+#      this list of conditions and the following disclaimer.
+#   (b) Redistributions in binary form must reproduce the above copyright
+#      notice, this list of conditions and the following disclaimer in the
+#      documentation and/or other materials provided with the distribution.
+{}
+# THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS\""""
+ENDORSE = """#   3. Neither the name of the copyright holder nor the names of its
+#      contributors may be used to endorse or promote products derived from
+#      this software without specific prior written permission."""
+LICENCE_TEXTS = [
+    (MIT_TEXT, "MIT"), (MIT_TEXT.replace("\n", "\r\n"), "MIT"), (GPL_NOTICE, "GPL-2.0-or-later"), (BSD_TEXT.format("#"), "BSD-2-Clause"), (BSD_TEXT.format(ENDORSE), "BSD-3-Clause"),
+    ("Released under the MIT License", "MIT"), ("Prose here\nReleased under the MIT License\nmore prose", "MIT"), ("This page is released under the MIT License.", "MIT"),
+    ("This page is not released under the MIT License.", ""), ("It was licensed under duress.", ""), ("licensed under", ""), (None, ""), ("", ""),
+    ("LICENSED  under the Apache License, Version 2.0.", "Apache-2.0"), ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0-only"), ("Licensed under CC BY-NC 4.0", "CC-BY-NC-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"), ("Available under the terms of the Mozilla Public License 2.0", "MPL-2.0"),
+    ("// SPDX-License-Identifier: MIT\nint x;", "MIT"), ("/* SPDX-License-Identifier: (GPL-2.0-or-later OR bsd-3-clause) */", "BSD-3-Clause;GPL-2.0-or-later"), ("# SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception", "Apache-2.0"),
+    ("SPDX-License-Identifier: GPL-2.0+", "GPL-2.0-or-later"), ("SPDX-License-Identifier: none", ""), ("x" * 300_000 + "\n" + MIT_TEXT + " y" * 100_000, "MIT"),
+    (MIT_TEXT + "\n\n" + BSD_TEXT.format(ENDORSE) + "\n\nLicensed under CC BY 4.0.", "BSD-3-Clause;CC-BY-4.0;MIT"), ("Released under the MIT License. Licensed under CC BY-NC 4.0.\nReleased under the MIT License", "CC-BY-NC-4.0;MIT"),
+]
+
+
+def test_licences_of_wrapped_texts(spark, no_documents):
+    shapes = [("", ""), ("# ", ""), (" * ", ""), ("// ", ""), ("-- ", ""), ("    ", "")]
+    rows = list(LICENCE_TEXTS)
+    for licence, passage in licences.PASSAGES:
+        for mark, _ in shapes:
+            lines = [x for part in passage.split("\n") for x in textwrap.wrap(part, 60)]
+            rows.append(("\n".join(mark + x for x in ["Copyright 2001", "", *lines, "", "The end"]), licence))
+    df = spark.createDataFrame([(k // 2 if k % 7 else None, t, k, "x") for k, (t, _) in enumerate(rows)], "doc_id long, text string, n_sentences int, licences string")
+    got = licences.licence_scan(df)
+    assert sorted((r["doc_id"], r["licences"]) for r in got.collect() if r["doc_id"] is not None) == sorted((k // 2, licence) for k, (_, licence) in enumerate(rows) if k % 7)
+    con = duckdb.connect()
+    con.register("documents", df.select("doc_id", "text").toPandas())
+    assert rows_of(got) == rows_of(con.sql(licences.licence_sql()).df())
+    assert len({licence for licence, _ in licences.RULES} | set(licences.licence_names().values())) >= 40
     assert licences.licence_scan(no_documents).count() == 0
 
 
+def test_a_rule_wants_its_order(spark):
+    first, second = MIT_TEXT.split("\n\n")[2:4]
+    df = spark.createDataFrame([(1, f"{second}\n\n{first}"), (2, f"{first}\n\nOther words.\n\n{second}"), (3, first)], "doc_id long, text string")
+    assert {r["doc_id"]: (r["n_sentences"], r["licences"]) for r in licences.licence_scan(df).collect()} == {1: (2, ""), 2: (2, "MIT"), 3: (1, "")}
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_its_sql(spark, small, name):
     assert rows_of(queries.QUERIES[name](spark, small)) == rows_of(connection(small).sql(queries.ORACLES[name]).df())
