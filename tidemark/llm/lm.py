@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import checkpointed, crc_mod, finish, in_slices, text_bytes, word_hashes
 
 FOLDS, HELD_OUT, DELETED = 5, 1, 2
-ORDER = 2
+ORDER = 3
 #: Bytes of text of a block, and of the blocks' texts per bucket: the root of GROWTH times the corpus, within these bounds.
 LEAST_BYTES, MOST_BYTES, GROWTH = 4 << 20, 128 << 20, 1 << 10
 SLICE = 1 << 19
