@@ -253,11 +253,11 @@ def test_a_changed_block_is_an_error():
 
     checks = [lm._checksum(lm._tokens(pa.chunked_array([t], pa.string()), 2)[0][0]) for t in (["a b", "c"], ["a", "b c"], ["c", "a b"], ["a b", "c"])]
     assert checks[0] == checks[3] and len(set(checks)) == 3
-    n = 1
-    columns = [pa.array([0, 0]), pa.array([0, 1], pa.int32()), pa.array([0, 0]), pa.array([None, 1]), pa.array([None, False]), pa.array([None, b"a b"]), pa.array([checks[0], None]), pa.nulls(2, pa.list_(pa.binary()))]
-    rows = pa.Table.from_arrays(columns, ["block", "kind", "at", "doc_id", "held", "text", "checksum", "totals"])
+    sent = lm._sent(pa.table({"doc_id": [1], "held": [False], "text": ["a b"]}))
+    columns = [pa.array([0, 0]), pa.array([0, 1], pa.int32()), pa.array([0, 0]), pa.array([None, sent]), pa.array([checks[0], None]), pa.nulls(2, pa.list_(pa.binary()))]
+    rows = pa.Table.from_arrays(columns, ["block", "kind", "at", "documents", "checksum", "totals"])
     with pytest.raises(RuntimeError, match="changed"):
-        lm._Counts(0, rows, n)
+        lm._Counts(0, rows, 1)
 
 
 def test_parcels_grow_with_the_corpus():

@@ -193,19 +193,33 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield answer()
 
 
-_DELIVERY = "block long, kind int, at long, doc_id long, held boolean, text binary, checksum long, totals array<binary>"
+_DELIVERY = "block long, kind int, at long, documents binary, checksum long, totals array<binary>"
+
+
+def _sent(rows: pa.Table) -> bytes:
+    """Rows (doc_id, held, text) as compressed bytes."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _received(parcels: pa.ChunkedArray) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in parcels.to_pylist()])
 
 
 def _texts(batches: Iterator[pa.RecordBatch], size: int, deleted_only: bool) -> Iterator[pa.RecordBatch]:
-    """The documents again, by block: (block, kind 1, at, doc_id, held, text, no answers)."""
+    """The documents again, by block, in slices: (block, kind 1, at, documents, no answers)."""
     for block, rows in _blocks(batches, size):
         if deleted_only and not block & 1:
             continue
-        n = rows.num_rows
-        texts = rows.column("text").cast(pa.binary()).combine_chunks()
-        columns = [pa.array([block] * n, pa.int64()), pa.array([1] * n, pa.int32()), pa.array(range(n), pa.int64())]
-        columns += [rows.column("doc_id").combine_chunks(), rows.column("held").combine_chunks(), texts, pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.binary()))]
-        yield pa.RecordBatch.from_arrays(columns, ["block", "kind", "at", "doc_id", "held", "text", "checksum", "totals"])
+        rows = rows.select(["doc_id", "held", "text"]).combine_chunks()
+        _, offsets = text_bytes(rows.column("text"))
+        parcels = [_sent(rows.slice(a, b - a)) for a, b in in_slices(offsets, SLICE)]
+        n = len(parcels)
+        columns = [pa.array([block] * n, pa.int64()), pa.array([1] * n, pa.int32()), pa.array(range(n), pa.int64()), pa.array(parcels, pa.binary())]
+        columns += [pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.binary()))]
+        yield pa.RecordBatch.from_arrays(columns, ["block", "kind", "at", "documents", "checksum", "totals"])
 
 
 class _Counts:
@@ -213,7 +227,7 @@ class _Counts:
 
     def __init__(self, block: int, rows: pa.Table, order: int) -> None:
         kind = rows.column("kind").to_numpy()
-        docs, answers = rows.filter(pa.array(kind == 1)), rows.filter(pa.array(kind == 0))
+        docs, answers = _received(rows.filter(pa.array(kind == 1)).column("documents")), rows.filter(pa.array(kind == 0))
         grams, self.numbers = _tokens(docs.column("text"), order)
         self.ids, self.held = docs.column("doc_id").combine_chunks(), docs.column("held").combine_chunks()
         if set(answers.column("checksum").to_pylist()) - {_checksum(grams[0])}:
@@ -296,8 +310,7 @@ def interpolated_scores(docs: DataFrame, id_column: str = "doc_id", text_column:
     ordered = asked.repartition("bucket").sortWithinPartitions("bucket", "block")
     answered = checkpointed(ordered.mapInArrow(_answered, _ANSWER))
     n, v, n_kept, v_kept = answered.where("sums is not null").agg(*[F.coalesce(F.sum(F.get("sums", F.lit(i))), F.lit(0)) for i in range(4)]).first()
-    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("held", "boolean"), ("text", "binary"))]
-    answers = answered.where("sums is null").select("block", F.lit(0).alias("kind"), F.col("bucket").alias("at"), *nothing, "checksum", "totals")
+    answers = answered.where("sums is null").select("block", F.lit(0).alias("kind"), F.col("bucket").alias("at"), F.lit(None).cast("binary").alias("documents"), "checksum", "totals")
 
     def by_block(deleted_only: bool) -> DataFrame:
         texts = rows.mapInArrow(lambda b: _texts(b, part, deleted_only), _DELIVERY)
