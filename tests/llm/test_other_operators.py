@@ -144,10 +144,25 @@ def test_pipeline_stages_equal_their_operators(spark, small):
     assert tokens == before.select("doc_id").distinct().count()
 
 
-def test_pipeline_runs_whole(spark, small):
+def test_pipeline_runs_whole_and_leaves_its_result_only(spark, small, tmp_path, monkeypatch):
     import corpus_pipeline
 
+    monkeypatch.setattr(corpus_pipeline, "checkpoint_dir", lambda spark: str(tmp_path))
     assert corpus_pipeline.run(spark, small).count() > 0
+    assert [p.name for p in tmp_path.glob("pipeline-*/*")] == ["4-packing"]
+
+
+def test_columns_of_any_name_stay(spark):
+    """Stages that drop or copy rows, on columns that are called as their own might be."""
+    from tidemark.llm import mixing, simhash
+
+    names = ["_times", "_run", "_copy", "_row_a", "_ROW_B", "fp", "key", "hash", "taken", "least", "component"]
+    rows = [(i, f"w{i} and some more words {i * i}", "ab"[i % 2], *([i] * len(names))) for i in range(20)] + [(None, "the one without an id", None, *([7] * len(names)))] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` int" for n in names))
+    for made in (mixing.mixed(docs), simhash.near_duplicates_removed(docs)):
+        assert made.columns == docs.columns
+        assert set(map(tuple, made.collect())) <= set(rows)
+    assert simhash.near_duplicates_removed(docs).count() == 21
 
 
 def test_pipeline_keeps_rows_of_null_and_repeated_ids(spark, small, tmp_path, monkeypatch):
@@ -165,7 +180,7 @@ def test_pipeline_keeps_rows_of_null_and_repeated_ids(spark, small, tmp_path, mo
     odd.coalesce(3).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{small}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
     monkeypatch.setattr(corpus_pipeline, "checkpoint_dir", lambda spark: str(tmp_path))
-    pieces = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()
+    pieces = corpus_pipeline.run(spark, str(tmp_path), keep=True).select("doc_id").collect()
     (folder,) = tmp_path.glob("pipeline-*")
     rules, kept, mix = (list(map(tuple, spark.read.parquet(f"{folder}/{n}").collect())) for n in ("1-rules", "2-near_duplicates", "3-mixing"))
     at = {c: i for i, c in enumerate(docs.columns)}

@@ -305,6 +305,17 @@ def test_classifier_on_odd_rows_and_without_labels(spark, odd_documents, no_docu
     assert kept.columns == [*odd_documents.columns, "_q"]
 
 
+def test_repeated_ids_teach_once(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    text = lambda good: " ".join(rng.choice(["alpha", "beta", "gamma"] if good else ["x1", "#", "22"], 30))
+    docs = [(i, text(i % 2)) for i in range(60)] + [(0, text(k % 2)) for k in range(500)]
+    frame, labels = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality.Network, "fit", lambda self, x, y, f=quality.Network.fit: seen.append(len(x)) or f(self, x, y))
+    assert quality.quality_scores(frame, labels).count() == 560
+    assert seen[0] <= 60
+
+
 def test_temperature_does_not_change_the_order():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(400, 5))

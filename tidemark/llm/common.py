@@ -49,18 +49,15 @@ def held_out(doc_id: object, modulus: int, remainder: int) -> bool:
     return zlib.crc32(str(doc_id).encode()) % modulus == remainder
 
 
-#: Names of the columns that row_keys makes.
-ROW_KEYS = ("_row_a", "_row_b")
-
-
 def row_keys(columns: list[str]) -> dict[str, Column]:
-    """128 bits of hash over all columns of a row, by name in ROW_KEYS: rows with equal keys are equal, and never null.
+    """128 bits of hash over all columns of a row, as two columns of new names: rows with equal keys are equal, and never null.
 
     Rows of equal or null ids are told apart by them, on every read and in any partition.
     """
     # A hash skips nulls, so which columns are null counts too.
     nulls = [F.col(c).isNull() for c in columns]
-    return {name: F.xxhash64(F.lit(seed), *[F.col(c) for c in columns], *nulls) for seed, name in enumerate(ROW_KEYS, 1)}
+    names = [fresh(name, columns) for name in ("_row_a", "_row_b")]
+    return {name: F.xxhash64(F.lit(seed), *[F.col(c) for c in columns], *nulls) for seed, name in enumerate(names, 1)}
 
 
 def fresh(name: str, columns: Iterable[str]) -> str:

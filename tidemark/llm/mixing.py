@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW_KEYS, checkpointed, row_keys, salted_left_join
+from .common import checkpointed, fresh, row_keys, salted_left_join
 
 WEIGHTS = (5.0, 2.0, 1.0)
 REPEATS = 3
@@ -139,9 +139,13 @@ def mixed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
     Copies belong to rows, whatever their ids; rows that are equal in all columns share theirs.
     """
-    keyed = docs.withColumns(row_keys(docs.columns))
-    plan = _plan(keyed, id_column, text_column, source_column, weights, repeats, seed, ROW_KEYS).where("size > 0 and times > 0").groupBy(*ROW_KEYS).agg(F.sum("times").alias("_times"))
+    keys = row_keys(docs.columns)
+    keyed = docs.withColumns(keys)
+    times, run, copy = (fresh(name, docs.columns) for name in ("_times", "_run", "_copy"))
+    plan = _plan(keyed, id_column, text_column, source_column, weights, repeats, seed, tuple(keys)).where("size > 0 and times > 0")
+    plan = plan.groupBy(*keys).agg(F.sum("times").alias(times))
     # Of equal rows one is joined and copied for all, in runs of bounded length.
-    joined = keyed.dropDuplicates([*ROW_KEYS]).join(plan, [*ROW_KEYS]).withColumn("_run", F.explode(F.sequence(F.lit(0), F.expr("(_times - 1) div 1024"))))
-    copies = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least(F.lit(1024), F.col("_times") - 1024 * F.col("_run")))))
+    runs = F.sequence(F.lit(0), F.floor((F.col(times) - 1) / 1024))
+    joined = keyed.dropDuplicates([*keys]).join(plan, [*keys]).withColumn(run, F.explode(runs))
+    copies = joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.least(F.lit(1024), F.col(times) - 1024 * F.col(run)))))
     return copies.select(docs.columns)

@@ -180,7 +180,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", t
     """Word vectors from all texts, and a network from SAMPLE labelled documents whose crc32(id) mod modulus is not remainder.
 
     Labels that are null, or of documents that are missing, teach nothing; of an id with
-    several labels the greatest counts.
+    several labels the greatest counts, and of an id with several documents one (the least
+    by a hash of its text).
     """
     vectors = word_vectors(docs, text_column)
     chosen = (
@@ -198,7 +199,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", t
         return pd.Series(list(_pooled(pa.array(texts, pa.string()), small.value)))
 
     labelled = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(F.broadcast(chosen), "id")
-    rows = labelled.select("id", "y", pooled("text").alias("x")).toPandas().sort_values("id", kind="stable")
+    # Of rows of one id the least by hash counts, so that the driver gets no more rows than the sample has ids.
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), F.col("x"))).alias("first")
+    rows = labelled.select("id", "y", "text", pooled("text").alias("x")).groupBy("id", "y").agg(one)
+    rows = rows.select("id", "y", F.col("first.x").alias("x")).toPandas().sort_values("id", kind="stable")
     if not len(rows):
         return vectors, Network().fit(np.zeros((1, FEATURES)), np.ones(1))
     rows = rows.sample(frac=1, random_state=1)

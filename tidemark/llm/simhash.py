@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW_KEYS, checkpointed, connected_components, finish, row_keys, salted_left_join
+from .common import checkpointed, connected_components, finish, row_keys, salted_left_join
 
 SHINGLE = 4
 SEED = 42
@@ -281,10 +281,12 @@ def near_duplicates_removed(docs: DataFrame, id_column: str = "doc_id", text_col
     Groups are of rows, not of ids: rows of a null id take part like others, rows of one id
     fall into groups by their texts, and of rows that are equal in all columns one stays.
     """
-    rows = checkpointed(fingerprints(docs.withColumns(row_keys(docs.columns)), id_column, text_column, ROW_KEYS))
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *ROW_KEYS)).alias("least")
+    keys = row_keys(docs.columns)
+    keyed = docs.withColumns(keys)
+    rows = checkpointed(fingerprints(keyed, id_column, text_column, tuple(keys)))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *keys)).alias("least")
     distinct = checkpointed(rows.groupBy("fp").agg(least))
-    components = connected_components(checkpointed(fingerprint_links(distinct)))
+    components = connected_components(fingerprint_links(distinct))
     of = distinct.join(components.withColumnRenamed("node", "fp"), "fp", "left")
-    stay = of.groupBy(F.coalesce("component", "fp")).agg(F.min("least").alias("least")).select(*[F.col(f"least.{x}").alias(x) for x in ROW_KEYS])
-    return docs.withColumns(row_keys(docs.columns)).dropDuplicates([*ROW_KEYS]).join(stay, [*ROW_KEYS], "left_semi").select(docs.columns)
+    stay = of.groupBy(F.coalesce("component", "fp")).agg(F.min("least").alias("least")).select(*[F.col(f"least.{x}").alias(x) for x in keys])
+    return keyed.dropDuplicates([*keys]).join(stay, [*keys], "left_semi").select(docs.columns)
