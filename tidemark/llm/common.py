@@ -33,6 +33,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def removed(spark: SparkSession, folder: str) -> None:
+    """Removes a folder, on whatever file system its path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df, computed once and kept in the shared checkpoint folder, so that lost executors cost no recomputation."""
     checkpoint_dir(df.sparkSession)
