@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpoint_dir, table
+from tidemark.llm.common import checkpoint_dir, removed, table
 from tidemark.llm.mixing import mixed
 from tidemark.llm.packing import packed
 from tidemark.llm.quality import THRESHOLD, with_quality
@@ -50,11 +50,19 @@ STAGES = [("quality", quality), ("rules", rules), ("near_duplicates", near_dupli
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each written to the shared checkpoint folder and read again as the next one's input."""
+def run(spark: SparkSession, sf_dir: str, keep: bool = False) -> DataFrame:
+    """All stages over `documents`, each written to the shared checkpoint folder and read again as the next one's input.
+
+    Once a stage is written, its input is removed, unless `keep`; the result stays, for the caller to read and remove.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for i, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}-{name}")
-        docs = spark.read.parquet(f"{folder}/{i}-{name}")
+        written = f"{folder}/{i}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(written)
+        docs = spark.read.parquet(written)
+        if before and not keep:
+            removed(spark, before)
+        before = written
     return docs
