@@ -1,8 +1,9 @@
 """Quality rules: repetition and symbol counts, and divergence from language references.
 
-A document's character-class histogram and its histogram of common words (with one bin for
-all other words) are held against fixed histograms of its language by Jensen-Shannon
-distance, so that a verdict depends on the document alone, not on the table it is in.
+A document's character-class histogram, that of its marks alone (which letters would
+swamp: a table's bars are few among its letters, but most of its marks) and its histogram
+of common words (with one bin for all other words) are held against fixed histograms of its
+language by Jensen-Shannon distance, so that a verdict depends on the document alone, not on the table it is in.
 Documents of other or no language are held against one pooled reference, for which all
 letters are one class.  Short documents, whose histograms say little, are not judged by
 distance.  All of it is SQL expressions on the row; nothing is shuffled.
@@ -27,6 +28,10 @@ WINDOW = 8
 #: Distances above these reject a document of at least MIN_WORDS words or MIN_CHARS characters.
 MAX_CHARACTER_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.45
 MIN_CHARS, MIN_WORDS = 200, 50
+#: The like for documents of at least MIN_MARKS marks; reached where three of ten marks are not those of sentences.
+MAX_MARK_DISTANCE, MIN_MARKS = 0.40, 20
+# Classes of marks within the last two of CHARACTER_CLASSES: those of sentences, bars, symbols; all others are the last bin.
+BAR, SYMBOLS = "|", "[#*$%&<>]"
 # Mean histograms of the documents of sf0.1 labelled as good, of MIN_WORDS words at least and an even crc32 of the id.
 # The shares of the character classes and of the common words; what they leave is that of all others.
 REFERENCE_CHARACTERS = {
@@ -35,6 +40,8 @@ REFERENCE_CHARACTERS = {
     "es": (0.7218, 0.0132, 0.0009, 0.1617, 0.0244, 0.0000),
     "fr": (0.7065, 0.0109, 0.0021, 0.1662, 0.0244, 0.0001),
 }
+#: Marks of sentences, bars and symbols, of documents with MIN_MARKS marks at least.
+REFERENCE_MARKS = {"de": (0.9993, 0.0, 0.0), "en": (0.9993, 0.0, 0.0), "es": (0.9993, 0.0, 0.0), "fr": (0.9980, 0.0, 0.0)}
 REFERENCE_WORDS = {
     "de": {"the": 0.0001, "in": 0.0177, "der": 0.0546, "die": 0.0290, "und": 0.0225, "den": 0.0144, "von": 0.0113, "zu": 0.0096, "das": 0.0094, "mit": 0.0078, "des": 0.0068, "ist": 0.0053, "de": 0.0001},
     "en": {"the": 0.0558, "of": 0.0288, "and": 0.0234, "to": 0.0171, "in": 0.0121, "is": 0.0104, "that": 0.0090, "it": 0.0083, "was": 0.0071, "with": 0.0056, "as": 0.0054, "on": 0.0066, "a": 0.0137},
@@ -103,9 +110,11 @@ def _shares(counts: Column, total: Column) -> Column:
 
 
 def character_counts(text: Column) -> Column:
-    """How many characters there are of each class.  The first class, that of most characters, goes first, so that the others have little to look through."""
+    """How many characters there are of each class, then bars and symbols.  The first class, that of most characters, goes first, so that the others have little to look through."""
     first, *others = CHARACTER_CLASSES
-    counts = lambda rest, size: F.array((size - F.length(rest)).cast("double"), *[F.regexp_count(rest, F.lit(c)).cast("double") for c in others])
+    bars = lambda rest: F.length(rest) - F.length(F.replace(rest, F.lit(BAR), F.lit("")))
+    found = lambda rest: [*[F.regexp_count(rest, F.lit(c)) for c in others], bars(rest), F.regexp_count(rest, F.lit(SYMBOLS))]
+    counts = lambda rest, size: F.array((size - F.length(rest)).cast("double"), *[c.cast("double") for c in found(rest)])
     return bound(F.regexp_replace(text, F.lit(f"{first}+"), F.lit("")), lambda rest: counts(rest, F.length(text)))
 
 
@@ -118,16 +127,21 @@ def common_word_counts(words: Column) -> Column:
 
 
 def histograms(text: Column, words: Column) -> dict[str, Column]:
-    """`chars` and `common`; null for a text without characters or words."""
+    """`chars`, `marks` and `common`, null for a text without any; and the number of marks."""
     text = F.coalesce(text, F.lit(""))
-    return {"chars": _shares(character_counts(text), F.length(text).cast("double")), "common": _shares(common_word_counts(words), F.size(words).cast("double"))}
+    n = len(CHARACTER_CLASSES)
+    chars = lambda c: _shares(F.slice(c, 1, n), F.length(text).cast("double"))
+    marks = lambda c: c[n - 2] + c[n - 1]
+    of_marks = lambda c: _shares(F.array(c[n - 2], c[n], c[n + 1]), marks(c))
+    counted = bound(character_counts(text), lambda c: F.struct(chars(c).alias("chars"), of_marks(c).alias("marks"), marks(c).alias("n_marks")))
+    return {"counted": counted, "common": _shares(common_word_counts(words), F.size(words).cast("double"))}
 
 
 def distance(p: Column, q: Column) -> Column:
-    """The Jensen-Shannon distance (base 2, 0 to 1) of two arrays of shares."""
+    """The Jensen-Shannon distance (base 2, 0 to 1) of two arrays of shares; null if one is."""
     part = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
     terms = F.zip_with(p, q, lambda a, b: (part(a, (a + b) / 2) + part(b, (a + b) / 2)) / 2)
-    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)))
+    return F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x, lambda acc: F.sqrt(F.greatest(F.lit(0.0), acc)))
 
 
 def _language(lang: Column) -> Column:
@@ -141,41 +155,49 @@ def _folded(shares: list[float]) -> list[float]:
     return [shares[0] + shares[-1], *shares[1:-1], 0.0]
 
 
-def reference_histograms() -> dict[str, tuple[list[float], list[float]]]:
-    """Shares of character classes and of common words by language; by `` the means of all languages, with all letters in the first class."""
+def reference_histograms() -> dict[str, tuple[list[float], list[float], list[float]]]:
+    """Shares of character classes, marks and common words by language; by `` the means of all languages, with all letters in the first class."""
     whole = lambda x: [*x, max(0.0, 1 - sum(x))]
-    found = {lang: (whole(shares), whole([REFERENCE_WORDS[lang].get(w, 0.0) for w in COMMON_WORDS])) for lang, shares in REFERENCE_CHARACTERS.items()}
-    mean = [[sum(x) / len(found) for x in zip(*(pair[i] for pair in found.values()), strict=True)] for i in range(2)]
-    return found | {"": (_folded(mean[0]), mean[1])}
+    common = lambda lang: [REFERENCE_WORDS[lang].get(w, 0.0) for w in COMMON_WORDS]
+    found = {lang: (whole(shares), whole(REFERENCE_MARKS[lang]), whole(common(lang))) for lang, shares in REFERENCE_CHARACTERS.items()}
+    mean = [[sum(x) / len(found) for x in zip(*(of[i] for of in found.values()), strict=True)] for i in range(3)]
+    return found | {"": (_folded(mean[0]), mean[1], mean[2])}
 
 
 def _reference(language: Column, i: int) -> Column:
     rows = reference_histograms()
-    return F.element_at(F.create_map(*[x for name, pair in rows.items() for x in (F.lit(name), F.array(*map(F.lit, pair[i])))]), language)
+    return F.element_at(F.create_map(*[x for name, of in rows.items() for x in (F.lit(name), F.array(*map(F.lit, of[i])))]), language)
 
 
 def far_from_reference(m: Column) -> Column:
     """Whether a long enough document lies too far from its language's reference."""
-    far_chars = (m["char_distance"] > MAX_CHARACTER_DISTANCE) & (m["n_chars_seen"] >= MIN_CHARS)
-    far_words = (m["word_distance"] > MAX_WORD_DISTANCE) & (m["n_words"] >= MIN_WORDS)
-    return F.coalesce(far_chars, F.lit(False)) | F.coalesce(far_words, F.lit(False))
+    far = (
+        (m["char_distance"] > MAX_CHARACTER_DISTANCE) & (m["n_chars_seen"] >= MIN_CHARS),
+        (m["mark_distance"] > MAX_MARK_DISTANCE) & (m["n_marks"] >= MIN_MARKS),
+        (m["word_distance"] > MAX_WORD_DISTANCE) & (m["n_words"] >= MIN_WORDS),
+    )
+    return F.coalesce(far[0], F.lit(False)) | F.coalesce(far[1], F.lit(False)) | F.coalesce(far[2], F.lit(False))
 
 
 def judged(text: Column, lang: Column, names: tuple[str, ...]) -> Column:
-    """A struct of the measures of these names, n_chars_seen, char_distance and word_distance; each is computed once a row."""
+    """A struct of the measures of these names, n_chars_seen, n_marks, char_distance, mark_distance and word_distance; each is computed once a row."""
     language = _language(lang)
-    folded = lambda h: F.when(language == "", F.concat(F.array(h[0] + F.element_at(h, -1)), F.slice(h, 2, len(CHARACTER_CLASSES) - 1), F.array(F.lit(0.0)))).otherwise(h)
+    letters = lambda h: F.concat(F.array(h[0] + F.element_at(h, -1)), F.slice(h, 2, len(CHARACTER_CLASSES) - 1), F.array(F.lit(0.0)))
+    folded = lambda h: F.when(language == "", letters(h)).otherwise(h)
 
     def of(words: Column) -> Column:
         found, h = measures(text, words), histograms(text, words)
-        distances = {"char_distance": bound(h["chars"], lambda x: distance(folded(x), _reference(language, 0))), "word_distance": bound(h["common"], lambda x: distance(x, _reference(language, 1)))}
-        return F.struct(*[found[n].alias(n) for n in names], F.coalesce(F.length(text), F.lit(0)).alias("n_chars_seen"), *[c.alias(n) for n, c in distances.items()])
+        by_chars = bound(h["counted"], lambda c: F.struct(c["n_marks"].alias("n"), distance(folded(c["chars"]), _reference(language, 0)).alias("chars"), distance(c["marks"], _reference(language, 1)).alias("marks")))
+        by_words = bound(h["common"], lambda x: distance(x, _reference(language, 2)))
+        base = [found[n].alias(n) for n in names]
+        seen = F.coalesce(F.length(text), F.lit(0)).alias("n_chars_seen")
+        return bound(by_chars, lambda d: F.struct(*base, seen, d["n"].alias("n_marks"), d["chars"].alias("char_distance"), d["marks"].alias("mark_distance"), by_words.alias("word_distance")))
 
     return bound(words_array(text), of)
 
 
 def quality_rules(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> DataFrame:
-    """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, char_distance, word_distance.
+    """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, char_distance, mark_distance, word_distance.
 
     A null text has no words, and so fails the base rules.  Documents without a language or
     of one without a reference are held against the pooled one.  Repeated rows stay.
@@ -184,7 +206,7 @@ def quality_rules(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     rows = docs.select(F.col(id_column).alias("doc_id"), judged(F.col(text_column), F.col(lang_column), names).alias("_m"))
     m = F.col("_m")
     failed = base_failed(m["n_words"], m["n_repeat_words"])
-    return rows.select("doc_id", *[m[n].alias(n) for n in names], failed.alias("base_failed"), (~failed & ~far_from_reference(m)).alias("kept"), m["char_distance"].alias("char_distance"), m["word_distance"].alias("word_distance"))
+    return rows.select("doc_id", *[m[n].alias(n) for n in names], failed.alias("base_failed"), (~failed & ~far_from_reference(m)).alias("kept"), *[m[n].alias(n) for n in ("char_distance", "mark_distance", "word_distance")])
 
 
 def good_documents(docs: DataFrame, text_column: str = "text", lang_column: str = "lang") -> DataFrame:
