@@ -48,7 +48,7 @@ def test_smallest_mode_breaks_ties(spark):
 
 def test_spread(spark):
     df = spark.createDataFrame([(1, float(v)) for v in (1, 2, 4, 8)], "k int, v double")
-    row = stats.spread(df, ["k"], "v", "v").first()
+    row = stats.spread(stats.value_numbers(df, ["k"], F.col("v")), ["k"], "v").first()
     assert (row["v_p50"], row["v_mad"]) == (3.0, 1.5)
 
 
@@ -115,3 +115,27 @@ def test_colours(spark):
     assert one(spark, S.palette_colour(F.lit(0.25), palette)) == [50, 50, 50, 210]
     assert one(spark, S.palette_colour(F.lit(1.0), palette))[:3] == [200, 0, 0]
     assert one(spark, S.palette_position(F.lit(1.0), F.lit(2.0), F.lit(2.0))) == 0.5
+
+
+@pytest.mark.parametrize("octave", [1, 4096])
+def test_quantiles_equal_numpy(spark, monkeypatch, octave):
+    monkeypatch.setattr(stats, "OCTAVE", octave)
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"g": rng.integers(0, 4, 400), "a": np.round(rng.normal(size=400), 1), "b": rng.normal(size=400)})
+    pdf.loc[pdf.g == 3, "b"] = np.nan
+    pdf.loc[pdf.index % 7 == 0, "a"] = np.nan
+    pdf.loc[len(pdf)] = (0, np.inf, 1.0)
+    rows = [(None if r.g == 2 else int(r.g), float(r.a), float(r.b)) for r in pdf.itertuples()]
+    df = spark.createDataFrame(rows, "g int, a double, b double")
+    levels = (0.0, 0.1, 0.5, 0.75, 1.0)
+    wanted = [(f"{f}{i}", f, p) for f in "ab" for i, p in enumerate(levels)]
+    got = {r["g"]: r for r in stats.quantiles(df, ["g"], {"a": F.col("a"), "b": F.col("b")}, wanted).collect()}
+    assert set(got) == {0, 1, None, 3}
+    for g, part in pdf.groupby("g"):
+        row = got[None if g == 2 else int(g)]
+        for name, field, p in wanted:
+            known = part[field][np.isfinite(part[field])]
+            assert row[name] == (pytest.approx(np.quantile(known, p)) if len(known) else None)
+    whole = stats.quantiles(df, [], {"a": F.col("a")}, [("m", "a", 0.5)]).first()["m"]
+    assert whole == pytest.approx(np.median(pdf.a[np.isfinite(pdf.a)]))
+    assert stats.medians(df.limit(0), {"a": F.col("a")}).first()["a"] is None

@@ -160,14 +160,45 @@ def test_bathymetry_features(spark):
 
 def test_pixel_masks(spark):
     rows = [
-        ("cloud", 0.1, 0.2, 0.05, 0.05, 0.02, 9), ("shadow", 0.1, 0.2, 0.05, 0.05, 0.02, 3), ("land", 0.1, 0.2, 0.05, 0.05, 0.02, 4), ("glint", 0.1, 0.2, 0.1, 0.15, 0.05, 6),
-        ("whitewater", 0.2, 0.2, 0.2, 0.05, 0.02, 6), ("dark", 0.01, 0.015, 0.01, 0.005, 0.002, 6), ("valid", 0.1, 0.2, 0.05, 0.02, 0.01, 6), ("none", None, 0.2, None, None, None, 6),
+        ("cloud", 0.1, 0.2, 0.05, 0.05, 0.02, 9), ("shadow", 0.1, 0.2, 0.05, 0.05, 0.02, 3), ("land", 0.1, 0.2, 0.05, 0.05, 0.02, 4), ("glint_risk", 0.1, 0.2, 0.1, 0.15, 0.05, 6),
+        ("whitewater", 0.2, 0.2, 0.2, 0.05, 0.02, 6), ("dark_shadow", 0.01, 0.015, 0.01, 0.005, 0.002, 6), ("valid_water", 0.1, 0.2, 0.05, 0.02, 0.01, 6), ("invalid_input", None, 0.2, None, 0.02, 0.01, 6),
     ]
     df = spark.createDataFrame(rows, "k string, blue double, green double, red double, nir double, swir double, scl int")
     masks = optical.pixel_masks(*[F.col(c) for c in ("blue", "green", "red", "nir", "swir", "scl")])
     for r in df.select("k", *[c.alias(n) for n, c in masks.items()]).collect():
-        assert r["k"] == "none" and not r["valid"] or r[r["k"]], r
-        assert r["valid"] == (r["k"] == "valid")
+        assert r[r["k"]], r
+        assert r["valid_water"] == (r["k"] == "valid_water")
+    on_land = optical.pixel_masks(*[F.col(c) for c in ("blue", "green", "red", "nir", "swir", "scl")], F.lit(True))
+    assert df.where(on_land["valid_water"]).count() == 0 and df.where(on_land["land"]).count() == len(rows)
+
+
+def test_observations_and_their_gates(spark):
+    good, cloud, few = (0.1, 0.2, 0.05, 0.02, 0.01, 6), (0.1, 0.2, 0.05, 0.02, 0.01, 9), (0.2, 0.1, 0.05, 0.02, 0.2, 6)
+    zones = {"a": [good] * 10, "b": [good] * 6 + [cloud] * 14, "c": [good] * 2 + [few] * 8, "d": [good] * 10, "f": [good] * 6 + [few] * 60}
+    rows = [("s", z, *p) for z, pixels in zones.items() for p in pixels]
+    pixels = spark.createDataFrame(rows, "scene_id string, zone_id string, blue double, green double, red double, nir double, swir1 double, scene_classification int")
+    spine = spark.createDataFrame([("s", z, "nearshore", "empty_after_land_exclusion" if z == "d" else "valid") for z in "abcdef"], "scene_id string, zone_id string, zone_type string, zone_status string")
+    got = {r["zone_id"]: r for r in optical.scene_observations(spine, pixels).collect()}
+    reasons = {z: (r["valid"], r["invalid_reason"], r["observation_invalid_reasons"]) for z, r in got.items()}
+    assert reasons == {
+        "a": (True, "valid", ""),
+        "b": (False, "cloud_contaminated", "cloud_contaminated"),
+        "c": (False, "insufficient_valid_pixels:spectral_water", "insufficient_valid_pixels:spectral_water"),
+        "d": (False, "empty_after_land_exclusion", "empty_after_land_exclusion"),
+        "e": (False, "empty_zone", "empty_zone"),
+        "f": (False, "insufficient_valid_pixel_share", "insufficient_valid_pixel_share"),
+    }
+    assert got["b"]["cloud_excluded_share"] == 0.7 and got["d"]["cloud_excluded_share"] is None and got["d"]["water_mask_method"] == "not_evaluated"
+
+
+def test_texture_is_a_gradient(spark):
+    image = np.random.default_rng(2).normal(size=(6, 7))
+    image[2, 3] = np.nan
+    down, across = np.gradient(image)
+    df = spark.createDataFrame([("s", r, c, float(v)) for (r, c), v in np.ndenumerate(image)], "scene_id string, row int, col int, green double")
+    got = {(r["row"], r["col"]): r["texture"] for r in optical.texture_gradient(df).collect()}
+    for at, length in np.ndenumerate(np.hypot(down, across)):
+        assert got[at] is None if np.isnan(length) else got[at] == pytest.approx(length)
 
 
 def seasonal(spark, rows, **options):
@@ -181,7 +212,7 @@ def test_seasonal_features(spark):
     e = got["extended"]
     assert (e["valid_scene_count"], e["valid_year_count"], e["clear_water_observation_share"], e["clarity_data_confidence"]) == (6, 3, 0.5, "low")
     best = optical.best_months(seasonal(spark, rows)).first()
-    assert best["best_clarity_month"] == "june"
+    assert best["best_month"] == "june"
 
 
 def test_persistence_is_of_months(spark):

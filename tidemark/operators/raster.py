@@ -21,8 +21,8 @@ def sent(grid: DataFrame, keys: Sequence[str], offsets: Sequence[tuple[int, int]
     return grid.select(*keys, "row", "col", F.col(value).alias("value"), to).select(*keys, (F.col("row") - F.col("o.dr")).alias("row"), (F.col("col") - F.col("o.dc")).alias("col"), F.col("o.dr").alias("dr"), F.col("o.dc").alias("dc"), "value")
 
 
-def slope(grid: DataFrame, keys: Sequence[str] = (), resolution: float = 1.0, value: str = "value") -> DataFrame:
-    """slope_deg per cell: central differences, one-sided at the edges of the grid, null next to missing values; 0 to 90 degrees."""
+def gradients(grid: DataFrame, keys: Sequence[str] = (), value: str = "value") -> DataFrame:
+    """Per cell: keys, row, col, value, and `across` and `down`, its differences per cell: central, one-sided at the rim of the grid, null next to missing values."""
     around = sent(grid, keys, ((0, 0), (-1, 0), (1, 0), (0, -1), (0, 1)), value).groupBy(*keys, "row", "col")
     at = lambda a, b: (F.col("dr") == a) & (F.col("dc") == b)
     cells = around.agg(
@@ -31,12 +31,18 @@ def slope(grid: DataFrame, keys: Sequence[str] = (), resolution: float = 1.0, va
         *[F.coalesce(F.bool_or(at(a, b)), F.lit(False)).alias(n) for n, a, b in (("_hn", -1, 0), ("_hs", 1, 0), ("_hw", 0, -1), ("_he", 0, 1))],
     )
 
-    def gradient(before: str, after: str, has_before: str, has_after: str) -> Column:
+    def difference(before: str, after: str, has_before: str, has_after: str) -> Column:
         two = (F.col(after) - F.col(before)) / 2
-        return F.when(F.col(has_before) & F.col(has_after), two).when(F.col(has_after), F.col(after) - F.col("_c")).when(F.col(has_before), F.col("_c") - F.col(before)) / resolution
+        return F.when(F.col(has_before) & F.col(has_after), two).when(F.col(has_after), F.col(after) - F.col("_c")).when(F.col(has_before), F.col("_c") - F.col(before))
+
+    return cells.where("_own").select(*keys, "row", "col", F.col("_c").alias("value"), difference("_w", "_e", "_hw", "_he").alias("across"), difference("_n", "_s", "_hn", "_hs").alias("down"))
 
-    steep = F.degrees(F.atan(F.hypot(gradient("_n", "_s", "_hn", "_hs"), gradient("_w", "_e", "_hw", "_he"))))
-    return cells.where("_own").withColumn("_steep", steep).select(*keys, "row", "col", F.when(F.col("_c").isNotNull() & F.col("_steep").isNotNull(), F.least(F.lit(90.0), F.greatest(F.lit(0.0), F.col("_steep")))).alias("slope_deg"))
+
+def slope(grid: DataFrame, keys: Sequence[str] = (), resolution: float = 1.0, value: str = "value") -> DataFrame:
+    """slope_deg per cell, 0 to 90 degrees, by gradients; null where the cell is missing or next to a missing one."""
+    steep = F.degrees(F.atan(F.hypot(F.col("across") / resolution, F.col("down") / resolution)))
+    cells = gradients(grid, keys, value).withColumn("_steep", steep)
+    return cells.select(*keys, "row", "col", F.when(F.col("value").isNotNull() & F.col("_steep").isNotNull(), F.least(F.lit(90.0), F.greatest(F.lit(0.0), F.col("_steep")))).alias("slope_deg"))
 
 
 def window_radius(metres: float, pixel: float) -> int:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import version_key
-from ..functions.stats import percentile_ranks, value_counts
+from ..functions.stats import percentile_ranks, quantiles, value_counts
 from ..operators import catalogue, optical
 from .registry import query
 from .views import GRID, OBSERVATIONS, PERIODS, SEASONAL, SEASONAL_DOUBLES, grid, observations, rounded, table, tidy
@@ -51,16 +53,16 @@ def q05_confidence_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 BEST = """, months AS (SELECT * FROM seasonal WHERE period_id IN ('may', 'june', 'july', 'august', 'september') AND clarity_percentile_p50 IS NOT NULL),
 best AS (
-  SELECT segment_id, first(period_id ORDER BY clarity_percentile_p50 DESC, period_id) AS best_clarity_month, first(period_id ORDER BY valid_scene_count DESC, period_id) AS most_reliable_month FROM months GROUP BY ALL
+  SELECT segment_id, first(period_id ORDER BY clarity_percentile_p50 DESC, period_id) AS best_month, first(period_id ORDER BY valid_scene_count DESC, period_id) AS most_reliable_month FROM months GROUP BY ALL
 )"""
 
 
-@query(SEASONAL + BEST + " SELECT s.segment_id, best_clarity_month, most_reliable_month FROM (SELECT DISTINCT segment_id FROM seasonal) s LEFT JOIN best USING (segment_id)")
+@query(SEASONAL + BEST + " SELECT s.segment_id, best_month, most_reliable_month FROM (SELECT DISTINCT segment_id FROM seasonal) s LEFT JOIN best USING (segment_id)")
 def q06_best_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return optical.best_months(seasonal(spark, sf_dir))
 
 
-@query(rounded(SEASONAL + BEST + """--SELECT SELECT n.segment_id, clarity_percentile_p50, valid_scene_count, coalesce(clarity_quality_flag, 'insufficient') AS clarity_quality_flag, clarity_summer_p50, best_clarity_month, most_reliable_month
+@query(rounded(SEASONAL + BEST + """--SELECT SELECT n.segment_id, clarity_percentile_p50, valid_scene_count, coalesce(clarity_quality_flag, 'insufficient') AS clarity_quality_flag, clarity_summer_p50, best_month, most_reliable_month
 FROM (SELECT 'seg_' || n_nationkey AS segment_id FROM nation UNION SELECT 'seg_none') n LEFT JOIN (
   SELECT segment_id, max(CASE WHEN period_id = 'extended' THEN clarity_percentile_p50 END) AS clarity_percentile_p50, max(CASE WHEN period_id = 'extended' THEN valid_scene_count END) AS valid_scene_count,
     max(CASE WHEN period_id = 'extended' THEN clarity_quality_flag END) AS clarity_quality_flag, max(CASE WHEN period_id = 'summer_jja' THEN clarity_percentile_p50 END) AS clarity_summer_p50
@@ -102,11 +104,14 @@ def q09_version_tuple_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(parts.withColumn("n", place).where("n <= 3").drop("n"))
 
 
-@query(OBSERVATIONS + """ SELECT scene_id, count(*) AS observation_count, count(*) FILTER (WHERE valid) AS valid_observation_count, count(DISTINCT CASE WHEN valid THEN segment_id END) AS valid_segment_count,
-coalesce(bool_or(glint_excluded_share > 0.3), false) AS glint_risk,
-CASE WHEN count(*) FILTER (WHERE valid) = 0 THEN 'no_valid_observations' WHEN coalesce(bool_or(glint_excluded_share > 0.3), false) THEN 'glint_risk' ELSE 'usable' END AS scene_quality_flag FROM obs GROUP BY scene_id""")
+@query(OBSERVATIONS + """, scenes AS (SELECT scene_id, scene_id NOT LIKE '%Q4' AS selected FROM obs GROUP BY 1 UNION ALL SELECT '1900Q1', true),
+audit AS (SELECT scene_id, count(*) FILTER (WHERE valid) AS n, count(DISTINCT CASE WHEN valid THEN segment_id END) AS m, coalesce(bool_or(glint_excluded_share > 0.41), false) AS g FROM obs WHERE o_orderkey % 97 = 0 GROUP BY 1)
+SELECT scene_id, selected, coalesce(n, 0) AS scene_valid_observation_count, coalesce(m, 0) AS scene_valid_segment_count, coalesce(g, false) AS scene_glint_risk,
+CASE WHEN NOT selected THEN 'not_selected' WHEN coalesce(n, 0) = 0 THEN 'insufficient' WHEN g THEN 'glint_limited' ELSE 'usable' END AS scene_quality_flag FROM scenes LEFT JOIN audit USING (scene_id)""")
 def q10_scene_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return optical.scene_features(observations(spark, sf_dir), glint_limit=0.3)
+    rows = observations(spark, sf_dir)
+    scenes = rows.select("scene_id", (~F.col("scene_id").like("%Q4")).alias("selected")).distinct().union(spark.range(1).select(F.lit("1900Q1"), F.lit(True)))
+    return optical.scene_features(scenes, rows.where("o_orderkey % 97 = 0").withColumn("scene_glint_risk", F.col("glint_excluded_share") > 0.41))
 
 
 @query(rounded(GRID + """, cells AS (SELECT label AS segment_id, row % 8 AS scene_id, row // 8 AS r, col, value FROM grid WHERE value IS NOT NULL),
@@ -115,40 +120,122 @@ pairs AS (
   FROM cells x JOIN cells y ON x.segment_id = y.segment_id AND x.r = y.r AND x.col = y.col AND x.scene_id < y.scene_id GROUP BY x.segment_id, x.scene_id, y.scene_id
 ), found AS (SELECT segment_id, count(*) AS pair_count, avg((r >= 0.05)::INT) AS texture_persistence, quantile_cont(r, 0.5) AS correlation_p50 FROM pairs WHERE n >= 9 AND sx > 0 AND sy > 0 GROUP BY segment_id)
 --SELECT SELECT s.segment_id, coalesce(pair_count, 0) AS pair_count, texture_persistence, correlation_p50,
-  CASE WHEN pair_count IS NULL THEN 'insufficient' WHEN texture_persistence >= 0.5 THEN 'repeatable' ELSE 'not_repeatable' END AS texture_status
+  CASE WHEN pair_count IS NULL THEN 'insufficient' WHEN texture_persistence >= 0.5 THEN 'repeatable' ELSE 'unstable' END AS texture_status
 FROM (SELECT DISTINCT label AS segment_id FROM grid) s LEFT JOIN found USING (segment_id)""", "texture_persistence", "correlation_p50"))
 def q33_pair_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = grid(spark, sf_dir).select(F.col("label").alias("segment_id"), (F.col("row") % 8).alias("scene_id"), F.floor(F.col("row") / 8).alias("row"), "col", "value")
     return tidy(optical.pair_repeatability(cells, least=0.05))
 
 
-PIXELS = """
+MEASURED = """
 WITH pixels AS (
-  SELECT l_suppkey AS zone_id, CAST(l_linenumber AS BIGINT) AS zone_type, l_quantity / 250 AS blue, (50 - l_quantity + l_linenumber) / 250 AS green, l_tax AS red, l_discount / 2 AS nir, l_tax / 3 AS swir1, CAST(floor(l_extendedprice) AS BIGINT) % 16 AS scl
+  SELECT l_suppkey AS zone_id, CAST(l_linenumber AS BIGINT) AS zone_type, l_quantity / 250 AS blue, (50 - l_quantity + l_linenumber) / 250 AS green, CASE WHEN l_orderkey % 17 <> 0 THEN l_tax END AS red, l_discount / 2 AS nir, l_tax / 3 AS swir1,
+    CAST(floor(l_extendedprice) AS BIGINT) % 16 AS scl, l_orderkey % 23 = 0 AS vector_land, l_extendedprice AS texture
   FROM lineitem
 ), m AS (
-  SELECT *, coalesce(green > 1.05 * nir AND green > 1.15 * swir1, false) AS water, scl IN (8, 9) AS cloud, scl IN (2, 3) AS shadow, scl = 10 AS cirrus, scl IN (0, 1, 4, 5, 11) AS land,
-    greatest(blue, green, red) - least(blue, green, red) AS spread FROM pixels
+  SELECT *, coalesce(green > 1.05 * nir AND green > 1.15 * swir1, false) AS spectral_water, scl IN (8, 9) AS cloud, scl IN (2, 3) AS shadow, scl = 10 AS cirrus, scl IN (0, 1, 4, 5, 11) OR vector_land AS land, red IS NULL AS invalid_input,
+    CASE WHEN red IS NOT NULL THEN greatest(blue, green, red) - least(blue, green, red) END AS spread FROM pixels
 ), m2 AS (
-  SELECT *, water AND blue + green + red < 0.045 AS dark, water AND green > 0.12 AND spread < 0.035 AND nir > 0.04 AS whitewater, green > swir1 AND nir > 0.06 AND swir1 > 0.025 AND nir / (green + 1e-6) > 0.45 AS glint FROM m
-), m3 AS (SELECT *, water AND NOT (cloud OR shadow OR cirrus OR land OR dark OR whitewater OR glint) AS ok FROM m2),
+  SELECT *, coalesce(spectral_water AND blue + green + red < 0.045, false) AS dark_shadow, coalesce(spectral_water AND green > 0.12 AND spread < 0.035 AND nir > 0.04, false) AS whitewater,
+    green > swir1 AND nir > 0.06 AND swir1 > 0.025 AND nir / (green + 1e-6) > 0.45 AS glint_risk FROM m
+), m3 AS (SELECT *, spectral_water AND NOT (cloud OR shadow OR cirrus OR land OR dark_shadow OR whitewater OR glint_risk OR invalid_input) AS ok FROM m2),
 g AS (
-  SELECT zone_id, zone_type, count(*) AS pixel_count, count(*) FILTER (WHERE ok) AS valid_pixel_count, avg(water::INT) AS water_share, avg(cloud::INT) AS cloud_share, avg(shadow::INT) AS shadow_share, avg(cirrus::INT) AS cirrus_share,
-    avg(land::INT) AS land_share, avg(dark::INT) AS dark_share, avg(whitewater::INT) AS whitewater_share, avg(glint::INT) AS glint_share, avg(ok::INT) AS valid_share,
-    quantile_cont(CASE WHEN ok AND green <> 0 THEN blue / green END, 0.5) AS blue_green_ratio, quantile_cont(CASE WHEN ok AND red + green <> 0 THEN (red - green) / (red + green) END, 0.5) AS ndti, quantile_cont(CASE WHEN ok THEN nir END, 0.5) AS nir_reflectance
+  SELECT zone_id, zone_type, count(*) AS zone_pixel_count, count(*) FILTER (WHERE ok) AS valid_pixel_count, count(*) FILTER (WHERE spectral_water) AS water_pixel_count,
+    """ + ", ".join(f"avg({m}::INT) AS {m}_share" for m in optical.MASKS) + """, avg(ok::INT) AS valid_water_share,
+    quantile_cont(CASE WHEN ok AND green <> 0 THEN blue / green END, 0.5) AS blue_green_ratio, quantile_cont(CASE WHEN ok AND red + green <> 0 THEN (red - green) / (red + green) END, 0.5) AS ndti,
+    quantile_cont(CASE WHEN ok THEN nir END, 0.5) AS nir_reflectance, quantile_cont(CASE WHEN ok THEN texture END, 0.5) AS apparent_texture_strength
   FROM m3 GROUP BY ALL
-), d AS (SELECT *, greatest(water_share, cloud_share, shadow_share, cirrus_share, land_share, dark_share, whitewater_share, glint_share) AS top FROM g)
---SELECT SELECT * EXCLUDE (top), CASE WHEN valid_pixel_count >= 20 THEN 'valid' ELSE 'insufficient_valid_pixels:' || CASE top WHEN water_share THEN 'water' WHEN cloud_share THEN 'cloud' WHEN shadow_share THEN 'shadow' WHEN cirrus_share THEN 'cirrus'
-  WHEN land_share THEN 'land' WHEN dark_share THEN 'dark' WHEN whitewater_share THEN 'whitewater' ELSE 'glint' END END AS validity_reason FROM d"""
+), d AS (SELECT *, greatest(""" + ", ".join(f"{m}_share" for m in optical.MASKS) + """) AS top FROM g),
+measured AS (
+  SELECT * EXCLUDE (top), CASE WHEN valid_pixel_count >= 20 THEN 'valid' ELSE 'insufficient_valid_pixels:' || CASE top """ + " ".join(f"WHEN {m}_share THEN '{m}'" for m in optical.MASKS) + """ END END AS validity_reason FROM d
+)"""
+MEASURES = [f"{n}_share" for n in (*optical.MASKS, "valid_water")] + ["blue_green_ratio", "ndti", "nir_reflectance", "apparent_texture_strength"]
 
 
-@query(rounded(PIXELS, *[f"{n}_share" for n in (*optical.MASK_ORDER, "valid")], "blue_green_ratio", "ndti", "nir_reflectance"))
-def q39_radiometry_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").alias("zone_id"), F.col("l_linenumber").cast("long").alias("zone_type"), (F.col("l_quantity") / 250).alias("blue"), ((50 - F.col("l_quantity") + F.col("l_linenumber")) / 250).alias("green"),
-        F.col("l_tax").alias("red"), (F.col("l_discount") / 2).alias("nir"), (F.col("l_tax") / 3).alias("swir1"), (F.floor("l_extendedprice") % 16).alias("scene_classification"),
+def _pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col
+    return table(spark, sf_dir, "lineitem").select(
+        c("l_suppkey").alias("zone_id"), c("l_linenumber").cast("long").alias("zone_type"), (c("l_quantity") / 250).alias("blue"), ((50 - c("l_quantity") + c("l_linenumber")) / 250).alias("green"),
+        F.when(c("l_orderkey") % 17 != 0, c("l_tax")).alias("red"), (c("l_discount") / 2).alias("nir"), (c("l_tax") / 3).alias("swir1"), (F.floor("l_extendedprice") % 16).alias("scene_classification"),
+        (c("l_orderkey") % 23 == 0).alias("vector_land"), c("l_extendedprice").alias("texture"),
     )
-    return tidy(optical.mask_shares(rows, ("zone_id", "zone_type"), 20))
+
+
+@query(rounded(MEASURED + "--SELECT SELECT * FROM measured", *MEASURES))
+def q39_radiometry_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(optical.mask_shares(_pixels(spark, sf_dir), ("zone_id", "zone_type"), 20))
+
+
+LIMITS = optical.Limits(minimum_pixels=20, minimum_share=0.2, cloud=0.21, shadow=0.17, glint=0.02, land=0.37, whitewater=0.05, risk=0.01)
+# Every fifth zone has a status of its own; zone type 8 has no pixels.
+OBSERVED = MEASURED + """, spine AS (
+  SELECT s_suppkey AS zone_id, t AS zone_type, 'seg_' || s_suppkey % 20 AS segment_id, 'scene_' || t AS scene_id, CASE WHEN s_suppkey % 5 = 0 THEN 'ambiguous_orientation' ELSE 'valid' END AS zone_status FROM supplier, (SELECT CAST(unnest(range(1, 9)) AS BIGINT) AS t)
+), j AS (
+  SELECT spine.*, zone_status = 'valid' AS usable, coalesce(validity_reason, 'empty_zone') AS base, coalesce(valid_pixel_count / zone_pixel_count, 0.0) AS vs, measured.* EXCLUDE (zone_id, zone_type), coalesce(cloud_share + cirrus_share, 0) AS cl, coalesce(shadow_share + dark_shadow_share, 0) AS sh
+  FROM spine LEFT JOIN measured USING (zone_id, zone_type)
+), r AS (
+  SELECT *, base = 'valid' AND vs < 0.2 AS small, list_filter([CASE WHEN base <> 'valid' THEN base END, CASE WHEN cl > 0.21 THEN 'cloud_contaminated' END, CASE WHEN sh > 0.17 THEN 'shadow_contaminated' END, CASE WHEN glint_risk_share > 0.02 THEN 'glint_contaminated' END,
+    CASE WHEN land_share > 0.37 THEN 'land_contaminated' END, CASE WHEN whitewater_share > 0.05 THEN 'whitewater_contaminated' END, CASE WHEN base = 'valid' AND vs < 0.2 THEN 'insufficient_valid_pixel_share' END], lambda x: x IS NOT NULL) AS reasons FROM j
+), observed AS (
+  SELECT zone_id, zone_type, segment_id, scene_id, zone_status, usable AND len(reasons) = 0 AS valid,
+    CASE WHEN NOT usable THEN zone_status WHEN len(reasons) = 0 THEN 'valid' WHEN small THEN 'insufficient_valid_pixel_share' ELSE reasons[1] END AS invalid_reason,
+    CASE WHEN usable AND len(reasons) = 0 THEN 'valid' ELSE 'invalid' END AS observation_status, CASE WHEN usable THEN array_to_string(reasons, ';') ELSE zone_status END AS observation_invalid_reasons,
+    CASE WHEN usable THEN coalesce(valid_pixel_count, 0) ELSE 0 END AS valid_pixel_count, CASE WHEN usable THEN coalesce(zone_pixel_count, 0) ELSE 0 END AS zone_pixel_count, CASE WHEN usable THEN coalesce(water_pixel_count, 0) END AS water_pixel_count,
+    CASE WHEN usable THEN vs ELSE 0 END AS valid_pixel_share, CASE WHEN usable THEN 'vector-land exclusion plus green/NIR/SWIR spectral validation v1' ELSE 'not_evaluated' END AS water_mask_method, CASE WHEN usable THEN 'NIR/SWIR risk exclusion v1' ELSE 'not_evaluated' END AS glint_method,
+    """ + ", ".join(f"CASE WHEN usable THEN coalesce({x}, 0) END AS {n}" for n, x in {
+        "water_mask_valid_share": "spectral_water_share", "land_mixed_pixel_share": "land_share", "cloud_excluded_share": "cl", "cloud_excluded_pixel_share": "cloud_share", "cloud_shadow_excluded_pixel_share": "shadow_share",
+        "cirrus_excluded_pixel_share": "cirrus_share", "invalid_excluded_pixel_share": "invalid_input_share", "shadow_excluded_share": "sh", "dark_shadow_excluded_pixel_share": "dark_shadow_share", "glint_excluded_share": "glint_risk_share",
+        "land_excluded_share": "land_share", "land_excluded_pixel_share": "land_share", "whitewater_excluded_share": "whitewater_share", "whitewater_excluded_pixel_share": "whitewater_share"}.items()) + """,
+    usable AND coalesce(dark_shadow_share > 0.01, false) AS dark_shadow_risk, usable AND coalesce(glint_risk_share > 0.01, false) AS scene_glint_risk, usable AND coalesce(whitewater_share > 0.01, false) AS whitewater_risk,
+    CASE WHEN usable THEN blue_green_ratio END AS blue_green_ratio, CASE WHEN usable THEN ndti END AS ndti, CASE WHEN usable THEN nir_reflectance END AS nir_reflectance, CASE WHEN usable THEN apparent_texture_strength END AS apparent_texture_strength FROM r
+)"""
+OBSERVED_DOUBLES = (
+    "valid_pixel_share water_mask_valid_share land_mixed_pixel_share cloud_excluded_share cloud_excluded_pixel_share cloud_shadow_excluded_pixel_share cirrus_excluded_pixel_share invalid_excluded_pixel_share shadow_excluded_share "
+    "dark_shadow_excluded_pixel_share glint_excluded_share land_excluded_share land_excluded_pixel_share whitewater_excluded_share whitewater_excluded_pixel_share blue_green_ratio ndti nir_reflectance apparent_texture_strength"
+).split()
+
+
+def _observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    types = spark.range(1, 9).withColumnRenamed("id", "zone_type")
+    zones = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("zone_id"), F.concat(F.lit("seg_"), F.col("s_suppkey") % 20).alias("segment_id"), F.when(F.col("s_suppkey") % 5 == 0, "ambiguous_orientation").otherwise("valid").alias("zone_status"))
+    spine = zones.crossJoin(F.broadcast(types)).withColumn("scene_id", F.concat(F.lit("scene_"), "zone_type"))
+    return optical.scene_observations(spine, _pixels(spark, sf_dir), ("zone_id", "zone_type"), LIMITS)
+
+
+@query(rounded(OBSERVED + "--SELECT SELECT * FROM observed", *OBSERVED_DOUBLES))
+def q63_scene_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each supplier as a zone in eight scenes."""
+    return tidy(_observed(spark, sf_dir))
+
+
+_RANK = "CASE WHEN {c} IS NULL OR count({c}) OVER w < {least} THEN NULL WHEN min({c}) OVER w = max({c}) OVER w AND {least} > 0 THEN 50.0 ELSE (rank() OVER (PARTITION BY scene_id, zone_type ORDER BY {c} {way} NULLS LAST) + (count(*) OVER (PARTITION BY scene_id, zone_type, {c}) - 1) / 2.0) / count({c}) OVER w * 100 END"
+RANKED = OBSERVED + ", ranks AS (SELECT *, " + ", ".join(f"{_RANK.format(c=c, least=5, way='ASC' if d > 0 else 'DESC')} AS {c}_clarity_percentile" for c, d in optical.COMPONENTS) + f", {_RANK.format(c='apparent_texture_strength', least=0, way='ASC')} AS apparent_texture_percentile" + """ FROM observed WINDOW w AS (PARTITION BY scene_id, zone_type)),
+c AS (SELECT *, list_filter([blue_green_ratio_clarity_percentile, ndti_clarity_percentile, nir_reflectance_clarity_percentile], lambda x: x IS NOT NULL) AS known FROM ranks),
+p AS (SELECT * EXCLUDE (known), CAST(len(known) AS BIGINT) AS valid_clarity_component_count, CASE WHEN len(known) > 0 THEN list_sum(known) / len(known) END AS cp FROM c)"""
+
+
+@query(rounded(RANKED + """--SELECT SELECT zone_id, zone_type, segment_id, scene_id, valid AND valid_clarity_component_count >= 3 AS valid, CASE WHEN invalid_reason = 'valid' AND valid_clarity_component_count < 3 THEN 'insufficient_regional_components' ELSE invalid_reason END AS invalid_reason,
+  CASE WHEN valid_clarity_component_count >= 3 THEN cp END AS clarity_percentile, apparent_texture_percentile, blue_green_ratio_clarity_percentile AS blue_green_clarity_percentile, ndti_clarity_percentile AS inverse_ndti_percentile,
+  CASE WHEN valid_clarity_component_count >= 3 THEN cp END AS clarity_proxy_percentile, valid_clarity_component_count AS clarity_component_count,
+  valid AND coalesce(cp >= 60 AND apparent_texture_percentile >= 75 AND glint_excluded_share <= 0.02 AND whitewater_excluded_share <= 0.05, false) AS apparent_bottom_texture_valid FROM p""",
+    "clarity_percentile", "apparent_texture_percentile", "blue_green_clarity_percentile", "inverse_ndti_percentile", "clarity_proxy_percentile"))
+def q64_ranked_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations among those of their scene and zone type, with the aliases."""
+    limits = replace(LIMITS, minimum_components=3, clear=60.0)
+    rows = optical.ranked_observations(_observed(spark, sf_dir), limits)
+    aliases = ("blue_green_clarity_percentile", "inverse_ndti_percentile", "clarity_proxy_percentile", "clarity_component_count", "apparent_bottom_texture_valid")
+    return tidy(rows.select("zone_id", "zone_type", "segment_id", "scene_id", "valid", "invalid_reason", "clarity_percentile", "apparent_texture_percentile", *aliases))
+
+
+@query(rounded(GRID + """, n AS (SELECT row, col, label, value AS c, lag(value) OVER r AS w, lead(value) OVER r AS e, lag(value) OVER k AS u, lead(value) OVER k AS d, lag(1) OVER r AS hw, lead(1) OVER r AS he, lag(1) OVER k AS hu, lead(1) OVER k AS hd FROM grid WINDOW r AS (PARTITION BY row ORDER BY col), k AS (PARTITION BY col ORDER BY row)),
+g AS (SELECT label, c, CASE WHEN hw = 1 AND he = 1 THEN (e - w) / 2 WHEN he = 1 THEN e - c ELSE c - w END AS gx, CASE WHEN hu = 1 AND hd = 1 THEN (d - u) / 2 WHEN hd = 1 THEN d - c ELSE c - u END AS gy FROM n)
+--SELECT SELECT label, quantile_cont(sqrt(gx * gx + gy * gy), 0.5) AS apparent_texture_strength, count(gx + gy) AS pixels FROM g WHERE c IS NOT NULL GROUP BY 1""", "apparent_texture_strength"))
+def q65_texture_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The embeddings as an image; its gradient's median length by label, over pixels that have a value."""
+    image = optical.texture_gradient(grid(spark, sf_dir), (), "value").where("value is not null")
+    at = quantiles(image, ["label"], {"t": F.col("texture")}, [("apparent_texture_strength", "t", 0.5)])
+    counts = image.groupBy("label").agg(F.count("texture").alias("pixels"))
+    return tidy(counts.join(at, "label", "left"))
 
 
 @query(rounded(SEASONAL + """--SELECT SELECT 'seg_' || n_nationkey AS segment_id, n_name, s.* EXCLUDE (segment_id, zone_type) FROM nation LEFT JOIN (SELECT * FROM seasonal WHERE period_id = 'june' AND zone_type = '2-HIGH') s ON s.segment_id = 'seg_' || n_nationkey""", *SEASONAL_DOUBLES))
