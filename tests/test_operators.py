@@ -152,7 +152,13 @@ def test_bathymetry_features(spark):
     rows = [("s", t, float(d), 5 + 0.05 * d) for t in ("t1", "t2") for d in (0, 100, 250, 500)]
     samples = spark.createDataFrame(rows, "segment_id string, transect_id string, distance_m double, depth_m double")
     segments = spark.createDataFrame([("s",), ("none",)], "segment_id string")
-    got = {r["segment_id"]: r for r in bathymetry.bathymetry_features(segments, bathymetry.depth_profile(samples, (100, 250, 500), (5, 10, 20)), (100, 250, 500), (5, 10, 20)).collect()}
+    depths = bathymetry.Depths(targets=(100, 250, 500), platform_depth=31)
+    with_flags = samples.withColumns({"interpolation_flag": (F.col("distance_m") > 200).cast("int"), "source_reference": F.lit(3)})
+    got = {r["segment_id"]: r for r in bathymetry.bathymetry_features(segments, bathymetry.depth_profile(samples, depths), depths, with_flags).collect()}
+    assert got["s"]["broad_shallow_platform_proxy"] and got["s"]["interpolated_cell_share"] == 0.5 and got["s"]["gradient_250_1000m_p50"] is None
+    assert got["s"]["depth_below_10m_at_500m_share"] == 0 and got["none"]["bathymetry_source_reference_count"] == 0
+    assert bathymetry.sample_distances(25.0, 60.0, 200.0, (100,)) == [0.0, 60.0, 100.0, 120.0, 180.0, 200.0]
+    assert bathymetry.search_distances(30.0, 45.0) == [0.0, 15.0, 30.0, 45.0]
     s = got["s"]
     assert s["gradient_100_500m_p50"] == pytest.approx(0.05) and s["distance_to_20m_depth_p50_m"] == 500 and s["bathymetry_valid_transect_share"] == 1 and s["deepening_transect_share"] == 1
     assert got["none"]["bathymetry_screening_class"] == "insufficient" and got["none"]["bathymetry_transect_count"] == 0 and got["none"]["depth_100m_valid_transect_share"] == 0
@@ -308,7 +314,7 @@ def test_geojson_and_writers(spark, tmp_path):
 def test_phases_on_a_rectangular_island(spark, tmp_path):
     ring = [(0.0, 0.0), (1000.0, 0.0), (1000.0, 500.0), (0.0, 500.0)]
     parts = line_table(spark, [*ring, ring[0]])
-    region, store = Region("isle", G.ring_edges(ring)), folder_store(spark, str(tmp_path))
+    region, store = Region("isle", G.ring_edges(ring), limits=optical.Limits(minimum_population=3)), folder_store(spark, str(tmp_path))
     y = 750 - 20 * (np.arange(50) + 0.5)
     elevation = cells(spark, np.repeat(y[:, None] + 300, 80, 1))
     out = terrain_phase(store, parts, elevation, region, -250.0, 750.0, 20.0)
@@ -317,9 +323,12 @@ def test_phases_on_a_rectangular_island(spark, tmp_path):
     depth = cells(spark, np.full((60, 90), 7.0))
     deep = bathymetry_phase(store, out["coast_segments"], depth, region, -700.0, 1000.0, 25.0)["bathymetry_features"].collect()
     assert len(deep) == 12 and max(r["bathymetry_valid_transect_share"] for r in deep) == 1.0
-    rows = [(f"s{s}", float(x), float(-y), 0.1, 0.2, 0.05 + x / 1e5 + s / 1e3, 0.02, 0.01, 6) for s in range(2) for x in range(5, 1000, 40) for y in range(25, 100, 20)]
-    pixels = spark.createDataFrame(rows, "scene_id string, x double, y double, blue double, green double, red double, nir double, swir1 double, scene_classification int")
-    scenes = spark.createDataFrame([("s0", 2020, 6), ("s1", 2021, 7)], "scene_id string, year int, month int")
+    rows = [(f"s{s}", y // 20, x // 40, float(x), float(-y), 0.1, 0.2, 0.05 + x / 1e5 + s / 1e3, 0.02, 0.01, 6) for s in range(2) for x in range(5, 1000, 40) for y in range(25, 100, 20)]
+    pixels = spark.createDataFrame(rows, "scene_id string, row int, col int, x double, y double, blue double, green double, red double, nir double, swir1 double, scene_classification int")
+    scenes = spark.createDataFrame([("s0", True, 2020, 6), ("s1", True, 2021, 7), ("s2", False, 2021, 8)], "scene_id string, selected boolean, year int, month int")
     clarity = clarity_phase(store, out["coast_segments"], pixels, scenes, region)
     assert clarity["clarity_features"].count() == 12
-    assert clarity["clarity_observations"].where("valid and zone_type = 'nearshore'").count() == 8
+    observed = clarity["clarity_observations"]
+    assert observed.count() == 2 * 12 * 3 and observed.where("valid and zone_type = 'nearshore'").count() == 8
+    assert observed.where("invalid_reason = 'empty_zone'").count() > 0 and observed.where("valid and apparent_texture_strength is null").count() == 0
+    assert {r["scene_quality_flag"] for r in clarity["clarity_scenes"].collect()} == {"usable", "not_selected"}

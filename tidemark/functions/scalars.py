@@ -51,9 +51,9 @@ def version_key(version: Column) -> Column:
     return F.when(F.exists(parts, lambda x: x.isNull()) | version.isNull(), F.array(F.lit(0))).otherwise(parts)
 
 
-def resolution_class(ratio_: Column) -> Column:
+def resolution_class(ratio_: Column, minimum: float = 1.0) -> Column:
     """How well a distance is resolved, from its ratio to the native resolution."""
-    return F.when(ratio_.isNull(), "unavailable").when(ratio_ < 1, "below_native_resolution").when(ratio_ < 2, "marginally_resolved").otherwise("well_resolved")
+    return F.when(finite(ratio_).isNull(), "unavailable").when(ratio_ < minimum, "below_native_resolution").when(ratio_ < 2 * minimum, "marginally_resolved").otherwise("well_resolved")
 
 
 def format_value(value: Column, kind: str = "number", unit: str = "", missing: str = "Not available") -> Column:

@@ -2,102 +2,181 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import close, number_label, resolution_class
-from ..functions.stats import holds, share, smallest_mode
+from ..functions.stats import finite, holds, share, smallest_mode
 
+# Near and far distances of gradients, slopes of a trend, depths and distances of shares, and screening classes.
 GRADIENTS = ((100.0, 500.0), (250.0, 1000.0))
 TREND = 0.0025
 RAPID_DEPTH, RAPID_DISTANCE = 20.0, 250.0
+SHALLOWER = ((5.0, 250.0), (10.0, 500.0))
 CLASSES = ("insufficient", "background_only", "regional_screening", "coastal_context", "local_morphology_candidate")
+QUALITY_FIELDS = (("quality_index", "quality_index"), ("observation_count", "observation_count"), ("depth_std_m", "depth_std"))
+
+
+@dataclass(frozen=True)
+class Depths:
+    """What depth features ask for: distances, depths, the source's native resolution and limits."""
+
+    targets: Sequence[float] = (100.0, 250.0, 500.0, 1000.0)
+    contours: Sequence[float] = (5.0, 10.0, 20.0)
+    native: float = 50.0
+    gap: float = 200.0
+    minimum_share: float = 0.6
+    minimum_ratio: float = 1.0
+    ceiling: str = "regional_screening"
+    platform_distance: float = 500.0
+    platform_depth: float = 10.0
+    platform_share: float = 0.6
+    source: Mapping[str, str] = field(default_factory=dict)
+
+
+def sample_distances(spacing: float, native: float, maximum: float, targets: Sequence[float]) -> list[float]:
+    """The distances to sample, in order and once each: regular ones, no finer than the native resolution, the targets and the end."""
+    step = max(spacing, native)
+    regular = [round(i * step, 6) for i in range(math.floor((maximum + 0.01) / step) + 1)]
+    return sorted({*(d for d in regular if d < maximum + 0.01), *map(float, targets), float(maximum)})
+
+
+def search_distances(native: float, maximum: float) -> list[float]:
+    """Where the first valid sample is looked for: every 25 m, or half the native resolution if that is less."""
+    step = min(25.0, native / 2)
+    return [i * step for i in range(math.floor((maximum + 0.01) / step) + 1) if i * step < maximum + 0.01]
 
 
 def transect_status(first: DataFrame, native: float, gap: float, distance: str = "first_valid_distance_m") -> DataFrame:
-    """Adds bathymetry_transect_status from the distance of the first valid sample."""
+    """Adds bathymetry_origin_status from the distance of the first valid sample."""
     d = F.col(distance)
-    status = F.when(d.isNull(), "no_valid_bathymetry").when(d <= native / 2, "exact").when(d > gap, "large_coastal_gap").otherwise("shifted_offshore")
-    return first.withColumn("bathymetry_transect_status", status)
+    status = F.when(d.isNull(), "no_valid_bathymetry").when(d <= native / 2, "exact_or_near_coast").when(d > gap, "large_coastal_gap").otherwise("shifted_offshore")
+    return first.withColumn("bathymetry_origin_status", status)
+
 
+def _needed(depths: Depths) -> list[float]:
+    return sorted({*depths.targets, depths.platform_distance})
 
-def depth_profile(samples: DataFrame, targets: Sequence[float], contours: Sequence[float], keys: Sequence[str] = ("segment_id", "transect_id"), distance: str = "distance_m", depth: str = "depth_m") -> DataFrame:
+
+def depth_profile(samples: DataFrame, depths: Depths, keys: Sequence[str] = ("segment_id", "transect_id"), distance: str = "distance_m", depth: str = "depth_m") -> DataFrame:
     """Per transect: depth at each target (d_100, ...) and the distance of the first sample as deep as each contour (c_5, ...)."""
     d, z = F.col(distance), F.col(depth)
-    at = {x: z for x in sorted({*targets, *(y for pair in GRADIENTS for y in pair)})}
     return samples.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("sample_count"),
         F.min(F.when(z.isNotNull(), d)).alias("first_valid_distance_m"),
-        *[F.max(F.when(close(d, x), z)).alias(f"d_{number_label(x)}") for x in at],
-        *[F.min(F.when(holds(z >= c), d)).alias(f"c_{number_label(c)}") for c in sorted({*contours, RAPID_DEPTH})],
+        *[F.max(F.when(close(d, x), z)).alias(f"d_{number_label(x)}") for x in _needed(depths)],
+        *[F.min(F.when(holds(z >= c), d)).alias(f"c_{number_label(c)}") for c in sorted({*depths.contours, RAPID_DEPTH})],
+    )
+
+
+def _quantile_columns(value: str | Column, names: Mapping[float, str]) -> Column:
+    """An array of percentiles, one hash table for all of them."""
+    return F.percentile(value, F.array(*map(F.lit, names)))
+
+
+def sample_features(samples: DataFrame, reference: str = "source_reference", depth: str = "depth_m") -> DataFrame:
+    """Per segment, over valid samples: shares of interpolated and measured cells, source references, and quantiles of the quality fields that there are."""
+    valid = samples.where(F.col(depth).isNotNull())
+    flag = F.col("interpolation_flag")
+    there = [(f, n) for f, n in QUALITY_FIELDS if f in samples.columns]
+    grouped = valid.groupBy("segment_id").agg(
+        share(flag == 1, flag.isNotNull()).alias("interpolated_cell_share"),
+        F.lit(None).cast("double").alias("extrapolated_cell_share"),
+        share(flag == 0, flag.isNotNull()).alias("measured_or_source_supported_cell_share"),
+        F.lit(1.0).alias("unknown_source_share"),
+        *[_quantile_columns(finite(F.col(f)), {0.1: "", 0.5: "", 0.9: ""}).alias(f"_{n}") for f, n in there],
     )
+    levels = [F.get(f"_{n}", F.lit(i)).alias(f"{n}_p{p}") for _, n in there for i, p in enumerate((10, 50, 90))]
+    grouped = grouped.select("*", *levels).drop(*[f"_{n}" for _, n in there])
+    return grouped.join(dominant_reference(valid, ["segment_id"], reference), "segment_id", "left")
 
 
-def bathymetry_features(
-    segments: DataFrame, profiles: DataFrame, targets: Sequence[float], contours: Sequence[float], native: float = 50.0, gap: float = 100.0,
-    minimum_share: float = 0.6, ceiling: str = "regional_screening", platform_depth: float = 5.0, gradient_minimum_ratio: float = 1.0,
-) -> DataFrame:
-    """One row per segment from depth_profile rows: target depths, gradients, trends, contours, screening class and quality.
+def bathymetry_features(segments: DataFrame, profiles: DataFrame, depths: Depths, samples: DataFrame | None = None) -> DataFrame:
+    """One row per segment from depth_profile rows: target depths, gradients, trends, contours, platform, screening class and quality; with samples, sample_features too.
 
-    Segments without transects have counts and shares of 0 and the class `insufficient`.
-    A gradient needs both depths, and its far distance to be resolved.
+    Segments without transects have counts and shares of 0 and the class `insufficient`.  A
+    gradient needs both distances among the targets, both depths, and its near distance to be
+    resolved.
     """
-    rows = transect_status(profiles, native, gap)
-    resolved = lambda far: far / native >= gradient_minimum_ratio
+    rows = transect_status(profiles, depths.native, depths.gap)
     gradient = {}
     for near, far in GRADIENTS:
         a, b = number_label(near), number_label(far)
-        value = (F.col(f"d_{b}") - F.col(f"d_{a}")) / (far - near)
-        gradient[f"g_{a}_{b}"] = value if resolved(far) else F.lit(None).cast("double")
+        known = {near, far} <= set(depths.targets) and near / depths.native >= depths.minimum_ratio
+        value = (F.col(f"d_{b}") - F.col(f"d_{a}")) / (far - near) if known else F.lit(None).cast("double")
+        gradient[f"g_{a}_{b}"] = value
     rows = rows.withColumns(gradient)
     trend = F.col("g_100_500")
     count = F.count(F.lit(1))
     over_all = lambda p: F.count_if(holds(p)) / count
+    at = lambda x: F.col(f"d_{number_label(x)}")
+    levels: dict[str, tuple[str, dict[float, str]]] = {"_first": ("first_valid_distance_m", {0.5: "bathymetry_first_valid_distance_p50_m", 0.9: "bathymetry_first_valid_distance_p90_m"})}
+    for x in depths.targets:
+        n = number_label(x)
+        levels[f"_d{n}"] = (f"d_{n}", {p: f"depth_{n}m_p{round(100 * p)}_m" for p in (0.1, 0.5, 0.9)})
+    for name in gradient:
+        levels[f"_{name}"] = (name, {p: f"gradient_{name[2:]}m_p{round(100 * p)}" for p in (0.5, 0.9)})
+    for c in depths.contours:
+        n = number_label(c)
+        levels[f"_c{n}"] = (f"c_{n}", {0.5: f"distance_to_{n}m_depth_p50_m"})
     aggregates = [
         count.alias("bathymetry_transect_count"),
-        F.count_if(F.col("bathymetry_transect_status") != "no_valid_bathymetry").alias("bathymetry_valid_transect_count"),
-        F.percentile("first_valid_distance_m", 0.5).alias("bathymetry_first_valid_distance_p50_m"),
-        F.percentile("first_valid_distance_m", 0.9).alias("bathymetry_first_valid_distance_p90_m"),
-        over_all(F.col("bathymetry_transect_status") == "large_coastal_gap").alias("bathymetry_large_coastal_gap_share"),
-    ]
-    for x in targets:
-        n, z = number_label(x), F.col(f"d_{number_label(x)}")
-        aggregates += [F.percentile(z, p).alias(f"depth_{n}m_p{round(100 * p)}_m") for p in (0.1, 0.5, 0.9)]
-        aggregates.append(over_all(z.isNotNull()).alias(f"depth_{n}m_valid_transect_share"))
-    for name in gradient:
-        aggregates += [F.percentile(name, p).alias(f"gradient_{name[2:]}m_p{round(100 * p)}") for p in (0.5, 0.9)]
-    aggregates += [
+        F.count_if(F.col("bathymetry_origin_status") != "no_valid_bathymetry").alias("bathymetry_valid_transect_count"),
+        over_all(F.col("bathymetry_origin_status") == "large_coastal_gap").alias("bathymetry_large_coastal_gap_share"),
+        *[_quantile_columns(value, names).alias(key) for key, (value, names) in levels.items()],
+        *[over_all(at(x).isNotNull()).alias(f"depth_{number_label(x)}m_valid_transect_share") for x in depths.targets],
+        *[over_all(F.col(f"c_{number_label(c)}").isNotNull()).alias(f"reaches_{number_label(c)}m_depth_transect_share") for c in depths.contours],
         share(trend > TREND, trend.isNotNull()).alias("deepening_transect_share"),
         share(trend < -TREND, trend.isNotNull()).alias("shoaling_transect_share"),
         share(F.abs(trend) <= TREND, trend.isNotNull()).alias("flat_or_uncertain_transect_share"),
+        over_all(F.col(f"c_{number_label(RAPID_DEPTH)}") <= RAPID_DISTANCE).alias("rapid_deepening_to_20m_share"),
+        share(at(depths.platform_distance) < depths.platform_depth, at(depths.platform_distance).isNotNull()).alias("_platform"),
+        over_all(at(depths.platform_distance).isNotNull()).alias("_platform_valid"),
     ]
-    for c in contours:
-        n, reach = number_label(c), F.col(f"c_{number_label(c)}")
-        aggregates += [F.percentile(reach, 0.5).alias(f"distance_to_{n}m_depth_p50_m"), over_all(reach.isNotNull()).alias(f"reaches_{n}m_depth_transect_share")]
-    aggregates.append(over_all(F.col(f"c_{number_label(RAPID_DEPTH)}") <= RAPID_DISTANCE).alias("rapid_deepening_to_20m_share"))
+    for deep, x in SHALLOWER:
+        known = share(at(x) < deep, at(x).isNotNull()) if x in depths.targets else F.lit(None).cast("double")
+        aggregates.append(known.alias(f"depth_below_{number_label(deep)}m_at_{number_label(x)}m_share"))
     grouped = rows.groupBy("segment_id").agg(*aggregates)
+    shown = [F.get(key, F.lit(i)).alias(name) for key, (_, names) in levels.items() for i, name in enumerate(names.values())]
+    grouped = grouped.select("*", *shown).drop(*levels)
     out = segments.select("segment_id").join(grouped, "segment_id", "left")
     shares = [c for c in out.columns if c.endswith("_transect_share") and not c.startswith(("deepening", "shoaling", "flat"))]
     out = out.na.fill(0, ["bathymetry_transect_count", "bathymetry_valid_transect_count"]).na.fill(0.0, [*shares, "bathymetry_large_coastal_gap_share", "rapid_deepening_to_20m_share"])
     valid = F.coalesce(F.try_divide("bathymetry_valid_transect_count", "bathymetry_transect_count"), F.lit(0.0))
-    out = out.withColumn("bathymetry_valid_transect_share", valid)
+    platform = holds(F.col("_platform") >= depths.platform_share) & holds(F.col("_platform_valid") >= depths.minimum_share)
+    out = out.withColumns({"bathymetry_valid_transect_share": valid, "broad_shallow_platform_proxy": platform}).drop("_platform", "_platform_valid")
     extra = {}
-    for x in targets:
+    for x in depths.targets:
         n = number_label(x)
-        extra |= {f"depth_{n}m_resolution_ratio": F.lit(x / native), f"depth_{n}m_resolution_class": resolution_class(F.lit(x / native))}
-    extra |= {f"distance_to_{number_label(c)}m_depth_uncertainty_m": F.lit(float(native)) for c in contours}
-    return out.withColumns(extra | screening(F.col("bathymetry_valid_transect_share"), minimum_share, ceiling))
-
-
-def screening(valid_share, minimum_share: float, ceiling: str) -> dict:  # noqa: ANN001
-    """Screening class (regional_screening, lowered to the ceiling, never raised) and quality flag."""
-    base = CLASSES[min(CLASSES.index("regional_screening"), CLASSES.index(ceiling))]
-    poor = ~holds(valid_share >= minimum_share)
+        resolution = F.lit(x / depths.native)
+        extra |= {f"depth_{n}m_resolution_ratio": resolution, f"depth_{n}m_resolution_class": resolution_class(resolution, depths.minimum_ratio)}
+    extra |= {f"distance_to_{number_label(c)}m_depth_uncertainty_m": F.lit(float(depths.native)) for c in depths.contours}
+    extra |= {name: F.lit(value) for name, value in depths.source.items()} | {"bathymetry_native_resolution_m": F.lit(float(depths.native))}
+    out = out.withColumns(extra | screening(F.col("bathymetry_valid_transect_share"), depths))
+    if samples is None:
+        return out
+    constants = {"survey_source_share": 0.0, "composite_dtm_source_share": 0.0, "satellite_derived_source_share": 0.0}
+    out = out.join(sample_features(samples), "segment_id", "left").na.fill(0, ["bathymetry_source_reference_count"])
+    fixed = {n: F.lit(v) for n, v in constants.items()} | {"global_fallback_source_share": F.lit(None).cast("double"), "bathymetry_dominant_source_type": F.lit("unknown")}
+    return out.withColumns(fixed)
+
+
+def screening(valid_share: Column, depths: Depths) -> dict[str, Column]:
+    """Screening class (regional_screening, lowered to the ceiling, never raised), why (JSON), and a quality flag."""
+    base = CLASSES[min(CLASSES.index("regional_screening"), CLASSES.index(depths.ceiling))]
+    poor = ~holds(valid_share >= depths.minimum_share)
+    lowered = [f"source_assessment_ceiling={depths.ceiling}"] if base != "regional_screening" else []
+    shown = F.concat(F.lit("valid_transect_share="), F.regexp_replace(F.format_number(valid_share, 3), ",", ""))
+    reasons = lambda last: F.concat(F.array(F.lit(f"native_resolution_m={depths.native:g}"), shown, F.lit("regional_proxy_not_site_safety_evidence")), F.array(*map(F.lit, last)).cast("array<string>"))
+    flag = F.when(valid_share < 0.9, "partial").otherwise("usable_with_resolution_limits")
     return {
         "bathymetry_screening_class": F.when(poor, "insufficient").otherwise(base),
-        "bathymetry_quality_flag": F.when(poor, "insufficient").when(valid_share < 0.9, "partial").otherwise("usable_with_resolution_limits"),
+        "bathymetry_screening_reasons": F.to_json(F.when(poor, reasons(["below_minimum_valid_transect_share"])).otherwise(reasons(lowered))),
+        "bathymetry_quality_flag": F.when(poor | F.lit(base == "insufficient"), "insufficient").otherwise(flag),
     }
 
 

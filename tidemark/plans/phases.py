@@ -41,10 +41,10 @@ class Region:
     depth_spacing: float = 100.0
     depth_length: float = 500.0
     depth_step: float = 25.0
-    targets: Sequence[float] = (100.0, 250.0, 500.0)
-    contours: Sequence[float] = (5.0, 10.0, 20.0)
-    native: float = 50.0
-    gap: float = 100.0
+    depth_search: float = 200.0
+    depths: bathymetry.Depths = field(default_factory=lambda: bathymetry.Depths(targets=(100.0, 250.0, 500.0)))
+    land_buffer: float = 0.0
+    limits: optical.Limits = field(default_factory=optical.Limits)
     zones: Sequence[tuple[str, float, float]] = (("nearshore", 20, 100), ("coastal", 100, 300), ("context", 300, 750))
     periods: Mapping[str, Sequence[int]] = field(default_factory=lambda: {"extended": (5, 6, 7, 8, 9), "summer_jja": (6, 7, 8)})
 
@@ -87,25 +87,55 @@ def terrain_phase(store: Store, parts: DataFrame, elevation: DataFrame, region:
 
 
 def bathymetry_phase(store: Store, segments: DataFrame, depth: DataFrame, region: Region, left: float, top: float, resolution: float) -> dict[str, DataFrame]:
-    """Oriented segments and a depth grid to depth samples and segment features."""
+    """Oriented segments and a depth grid to depth samples and segment features.
+
+    The first valid depth is searched for finely; samples lie no closer than the native resolution.
+    """
     lines = store("bathymetry_transects", coast.seaward_transects(segments, region.depth_spacing, region.depth_length))
-    points = positions_along(lines.withColumnRenamed("bathymetry_transect_id", "transect_id"), "transect_id", region.depth_length, region.depth_step, "distance_m")
+    regular = bathymetry.sample_distances(region.depth_step, region.depths.native, region.depth_length, region.depths.targets)
+    search = bathymetry.search_distances(region.depths.native, region.depth_search)
+    every = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(d in set(regular)).alias("sampled"), F.lit(d in set(search)).alias("searched")) for d in sorted({*regular, *search})])
+    points = lines.select("segment_id", F.col("bathymetry_transect_id").alias("transect_id"), "line", F.explode(every).alias("_d"))
+    points = points.withColumn("_p", G.interpolate(F.col("line"), F.col("_d.d"))).select("segment_id", "transect_id", F.col("_d.d").alias("distance_m"), "_d.sampled", "_d.searched", "_p.x", "_p.y")
     keyed = points.withColumn("_k", F.concat_ws("@", "transect_id", "distance_m"))
     sampled = store("bathymetry_samples", raster.bilinear(keyed, depth, "_k", left, top, resolution, "depth_m").drop("_k", "x", "y"))
-    profiles = bathymetry.depth_profile(sampled, region.targets, region.contours)
-    features = store("bathymetry_features", bathymetry.bathymetry_features(segments, profiles, region.targets, region.contours, region.native, region.gap))
-    return {"bathymetry_transects": lines, "bathymetry_samples": sampled, "bathymetry_features": features}
-
-
-def clarity_phase(store: Store, segments: DataFrame, pixels: DataFrame, scenes: DataFrame, region: Region, minimum_pixels: int = 5) -> dict[str, DataFrame]:
-    """Oriented segments, band pixels (scene_id, x, y and bands) and scenes (scene_id, year, month) to observations and features."""
+    first = sampled.where("searched").groupBy("transect_id").agg(F.min(F.when(F.col("depth_m").isNotNull(), F.col("distance_m"))).alias("first_valid_distance_m"))
+    profiles = bathymetry.depth_profile(sampled.where("sampled"), region.depths).drop("first_valid_distance_m").join(first, "transect_id", "left")
+    features = store("bathymetry_features", bathymetry.bathymetry_features(segments, profiles, region.depths))
+    return {"bathymetry_transects": lines, "bathymetry_samples": sampled.where("sampled").drop("sampled", "searched"), "bathymetry_features": features}
+
+
+def optical_zones(segments: DataFrame, region: Region) -> tuple[DataFrame, DataFrame]:
+    """All zones of all segments with zone_status, and the strips of those that are oriented."""
+    kinds = F.explode(F.array(*[F.struct(F.lit(n).alias("t"), F.lit(float(a)).alias("a"), F.lit(float(b)).alias("b")) for n, a, b in region.zones])).alias("z")
+    clear = (F.col("orientation_status") != "ambiguous") & F.col("seaward_bearing_deg").isNotNull()
+    zones = segments.select("segment_id", "orientation_status", clear.alias("_clear"), kinds).select(
+        F.concat_ws("_", "segment_id", "z.t").alias("zone_id"), "segment_id", F.col("z.t").alias("zone_type"), F.col("z.a").alias("inner_distance_m"), F.col("z.b").alias("outer_distance_m"),
+        "orientation_status", F.when(F.col("_clear"), "valid").otherwise("ambiguous_orientation").alias("zone_status"),
+    )
     strips = coast.zone_strips(coast.seaward_transects(segments, region.depth_spacing, 1.0), region.zones, region.depth_spacing)
-    spots = pixels.select("x", "y").distinct().withColumn("spot", F.concat_ws("_", "x", "y")).withColumn("p", G.point(F.col("x"), F.col("y")))
-    member = coast.zone_membership(spots, "spot", strips)
-    zoned = pixels.withColumn("spot", F.concat_ws("_", "x", "y")).join(member, "spot")
-    measured = optical.mask_shares(zoned, ("scene_id", "segment_id", "zone_type"), minimum_pixels)
-    observations = measured.withColumn("valid", F.col("validity_reason") == "valid").withColumns({f"{m}_excluded_share": F.col(f"{m}_share") for m in ("cloud", "shadow", "glint", "land", "whitewater")})
-    observations = store("clarity_measures", observations.join(scenes.select("scene_id", "year", "month"), "scene_id"))
-    observations = store("clarity_observations", optical.regional_percentiles(observations))
+    return zones, strips
+
+
+def clarity_phase(store: Store, segments: DataFrame, pixels: DataFrame, scenes: DataFrame, region: Region) -> dict[str, DataFrame]:
+    """Oriented segments, band pixels (scene_id, row, col, x, y and bands) and scenes (scene_id, selected, year, month) to observations and features.
+
+    A zone is the union of its strips less the land and what lies within its buffer.
+    """
+    zones, strips = optical_zones(segments, region)
+    zones = store("optical_zones", zones)
+    at = G.point(F.col("x"), F.col("y"))
+    spots = pixels.select("x", "y").distinct().withColumn("spot", F.concat_ws("_", "x", "y")).withColumn("p", at)
+    spots = spots.where(~G.let(F.col("p"), lambda p: G.covered_by(p, list(region.land), max(1e-9, region.land_buffer))))
+    member = store("optical_zone_pixels", coast.zone_membership(spots, "spot", strips).select("spot", "zone_id"))
+    textured = optical.texture_gradient(pixels)
+    zoned = textured.withColumn("spot", F.concat_ws("_", "x", "y")).join(member, "spot")
+    # The result holds each selected scene with each zone.
+    spine = scenes.where("selected").select("scene_id", "year", "month").crossJoin(zones.select("zone_id", "segment_id", "zone_type", "zone_status"))
+    observations = store("clarity_measures", optical.scene_observations(spine, zoned, limits=region.limits))
+    observations = store("clarity_observations", optical.ranked_observations(observations, region.limits))
     seasonal = store("clarity_seasonal_features", optical.seasonal_features(observations, region.periods))
-    return {"clarity_observations": observations, "clarity_scenes": optical.scene_features(observations), "clarity_seasonal_features": seasonal, "clarity_features": optical.headline(seasonal, segments)}
+    return {
+        "optical_zones": zones, "clarity_observations": observations, "clarity_scenes": optical.scene_features(scenes, observations),
+        "clarity_seasonal_features": seasonal, "clarity_features": optical.headline(seasonal, segments),
+    }

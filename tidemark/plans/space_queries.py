@@ -70,35 +70,42 @@ def q20_terrain_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(terrain.terrain_features(spine, _terrain_samples(spark, sf_dir), RELIEF, 5.0, STEEP, 0.5))
 
 
-TARGETS, CONTOURS, SCALE = (100.0, 250.0, 500.0), (5.0, 10.0, 20.0), 20
+SCALE = 20
+DEPTHS = bathymetry.Depths(native=50.0, gap=100.0, minimum_share=0.5, platform_depth=20.0, source={"bathymetry_source_id": "line_items"})
+TARGETS, CONTOURS = (100, 250, 500, 1000), (5, 10, 20)
 
 
-def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = samples(spark, sf_dir).select("segment_id", "transect_id", (F.col("distance") * SCALE).alias("distance_m"), (F.col("z") / 1999.3).alias("depth_m"))
-    return bathymetry.depth_profile(rows, TARGETS, CONTOURS)
+def _depth_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples with a depth, the flags of which go by distance."""
+    d = F.col("distance")
+    return samples(spark, sf_dir).select(
+        "segment_id", "transect_id", (d * SCALE).alias("distance_m"), (F.col("z") / 1999.3).alias("depth_m"), F.when(d % 5 != 0, (d % 2).cast("int")).alias("interpolation_flag"),
+        F.when(d % 7 != 0, (d % 3).cast("int")).alias("source_reference"), F.col("rough").alias("quality_index"), F.col("slope").alias("depth_std_m"), F.when(d % 3 != 0, d).alias("observation_count"),
+    )
 
 
 PROFILES = (
     SAMPLES
     + """, profiles AS (
   SELECT segment_id, transect_id, count(*) AS sample_count, min(CASE WHEN z IS NOT NULL THEN distance * 20 END) AS first_valid_distance_m, """
-    + ", ".join(f"max(CASE WHEN distance * 20 = {d} THEN z / 1999.3 END) AS d_{d}" for d in (100, 250, 500, 1000))
+    + ", ".join(f"max(CASE WHEN distance * 20 = {d} THEN z / 1999.3 END) AS d_{d}" for d in TARGETS)
     + ", "
-    + ", ".join(f"min(CASE WHEN z / 1999.3 >= {c} THEN distance * 20 END) AS c_{c}" for c in (5, 10, 20))
+    + ", ".join(f"min(CASE WHEN z / 1999.3 >= {c} THEN distance * 20 END) AS c_{c}" for c in CONTOURS)
     + """ FROM samples GROUP BY ALL
 ), g AS (
-  SELECT *, (d_500 - d_100) / 400 AS g1, (d_1000 - d_250) / 750 AS g2, CASE WHEN first_valid_distance_m IS NULL THEN 'no_valid_bathymetry' WHEN first_valid_distance_m <= 25 THEN 'exact' WHEN first_valid_distance_m > 100 THEN 'large_coastal_gap' ELSE 'shifted_offshore' END AS status FROM profiles
+  SELECT *, (d_500 - d_100) / 400 AS g1, (d_1000 - d_250) / 750 AS g2, CASE WHEN first_valid_distance_m IS NULL THEN 'no_valid_bathymetry' WHEN first_valid_distance_m <= 25 THEN 'exact_or_near_coast' WHEN first_valid_distance_m > 100 THEN 'large_coastal_gap' ELSE 'shifted_offshore' END AS status FROM profiles
 )"""
 )
-_DEPTHS = ", ".join([f"quantile_cont(d_{d}, {p}) AS depth_{d}m_p{round(100 * p)}_m" for d in (100, 250, 500) for p in (0.1, 0.5, 0.9)] + [f"count(d_{d}) / count(*) AS depth_{d}m_valid_transect_share" for d in (100, 250, 500)])
+_DEPTHS = ", ".join([f"quantile_cont(d_{d}, {p}) AS depth_{d}m_p{round(100 * p)}_m" for d in TARGETS for p in (0.1, 0.5, 0.9)] + [f"count(d_{d}) / count(*) AS depth_{d}m_valid_transect_share" for d in TARGETS])
 _GRADIENTS = ", ".join(f"quantile_cont({g}, {p}) AS gradient_{n}m_p{round(100 * p)}" for g, n in (("g1", "100_500"), ("g2", "250_1000")) for p in (0.5, 0.9))
 _TRENDS = "avg(CASE WHEN g1 IS NOT NULL THEN (g1 > 0.0025)::INT END) AS deepening_transect_share, avg(CASE WHEN g1 IS NOT NULL THEN (g1 < -0.0025)::INT END) AS shoaling_transect_share, avg(CASE WHEN g1 IS NOT NULL THEN (abs(g1) <= 0.0025)::INT END) AS flat_or_uncertain_transect_share"
-DEPTH_COLUMNS = [f"depth_{d}m_{x}" for d in (100, 250, 500) for x in ("p10_m", "p50_m", "p90_m", "valid_transect_share")] + [f"gradient_{n}m_p{p}" for n in ("100_500", "250_1000") for p in (50, 90)] + ["deepening_transect_share", "shoaling_transect_share", "flat_or_uncertain_transect_share"]
+DEPTH_COLUMNS = [f"depth_{d}m_{x}" for d in TARGETS for x in ("p10_m", "p50_m", "p90_m", "valid_transect_share")] + [f"gradient_{n}m_p{p}" for n in ("100_500", "250_1000") for p in (50, 90)] + ["deepening_transect_share", "shoaling_transect_share", "flat_or_uncertain_transect_share"]
 
 
-def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _features(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
     spine = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("segment_id"))
-    return bathymetry.bathymetry_features(spine, _profiles(spark, sf_dir), TARGETS, CONTOURS, minimum_share=0.5)
+    rows = _depth_samples(spark, sf_dir)
+    return bathymetry.bathymetry_features(spine, bathymetry.depth_profile(rows, DEPTHS), DEPTHS, rows if whole else None)
 
 
 @query(rounded(PROFILES + f"--SELECT SELECT segment_id, {_DEPTHS}, {_GRADIENTS}, {_TRENDS} FROM g GROUP BY segment_id", *DEPTH_COLUMNS))
@@ -106,22 +113,40 @@ def q22_depth_targets_gradients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(_features(spark, sf_dir).where("bathymetry_transect_count > 0").select("segment_id", *DEPTH_COLUMNS))
 
 
-CONTOUR_COLUMNS = [x for c in (5, 10, 20) for x in (f"distance_to_{c}m_depth_p50_m", f"reaches_{c}m_depth_transect_share")]
+CONTOUR_COLUMNS = [x for c in CONTOURS for x in (f"distance_to_{c}m_depth_p50_m", f"reaches_{c}m_depth_transect_share")]
 
 
-@query(rounded(PROFILES + "--SELECT SELECT segment_id, " + ", ".join(f"quantile_cont(c_{c}, 0.5) AS distance_to_{c}m_depth_p50_m, count(c_{c}) / count(*) AS reaches_{c}m_depth_transect_share" for c in (5, 10, 20)) + ", avg(coalesce(c_20 <= 250, false)::INT) AS rapid_deepening_to_20m_share FROM g GROUP BY 1", *CONTOUR_COLUMNS, "rapid_deepening_to_20m_share"))
+@query(rounded(PROFILES + "--SELECT SELECT segment_id, " + ", ".join(f"quantile_cont(c_{c}, 0.5) AS distance_to_{c}m_depth_p50_m, count(c_{c}) / count(*) AS reaches_{c}m_depth_transect_share" for c in CONTOURS) + ", avg(coalesce(c_20 <= 250, false)::INT) AS rapid_deepening_to_20m_share FROM g GROUP BY 1", *CONTOUR_COLUMNS, "rapid_deepening_to_20m_share"))
 def q23_contour_first_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(_features(spark, sf_dir).where("bathymetry_transect_count > 0").select("segment_id", *CONTOUR_COLUMNS, "rapid_deepening_to_20m_share"))
 
 
 @query(rounded(PROFILES + """, s AS (SELECT segment_id, count(*) AS n, count(*) FILTER (WHERE status <> 'no_valid_bathymetry') AS v, avg((status = 'large_coastal_gap')::INT) AS gap FROM g GROUP BY 1)
 --SELECT SELECT CAST(s_suppkey AS VARCHAR) AS segment_id, coalesce(n, 0) AS bathymetry_transect_count, coalesce(v / n, 0.0) AS bathymetry_valid_transect_share, coalesce(gap, 0.0) AS bathymetry_large_coastal_gap_share, CASE WHEN coalesce(v / n, 0) >= 0.5 THEN 'regional_screening' ELSE 'insufficient' END AS bathymetry_screening_class,
-  CASE WHEN coalesce(v / n, 0) < 0.5 THEN 'insufficient' WHEN v / n < 0.9 THEN 'partial' ELSE 'usable_with_resolution_limits' END AS bathymetry_quality_flag, 'well_resolved' AS depth_100m_resolution_class FROM supplier LEFT JOIN s ON segment_id = CAST(s_suppkey AS VARCHAR)""", "bathymetry_valid_transect_share", "bathymetry_large_coastal_gap_share"))
+  CASE WHEN coalesce(v / n, 0) < 0.5 THEN 'insufficient' WHEN v / n < 0.9 THEN 'partial' ELSE 'usable_with_resolution_limits' END AS bathymetry_quality_flag, 'well_resolved' AS depth_100m_resolution_class,
+  '["native_resolution_m=50","valid_transect_share=' || printf('%.3f', coalesce(v / n, 0.0)) || '","regional_proxy_not_site_safety_evidence"' || CASE WHEN coalesce(v / n, 0) < 0.5 THEN ',"below_minimum_valid_transect_share"' ELSE '' END || ']' AS bathymetry_screening_reasons
+  FROM supplier LEFT JOIN s ON segment_id = CAST(s_suppkey AS VARCHAR)""", "bathymetry_valid_transect_share", "bathymetry_large_coastal_gap_share"))
 def q24_screening_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = ("bathymetry_transect_count", "bathymetry_valid_transect_share", "bathymetry_large_coastal_gap_share", "bathymetry_screening_class", "bathymetry_quality_flag", "depth_100m_resolution_class")
+    columns = ("bathymetry_transect_count", "bathymetry_valid_transect_share", "bathymetry_large_coastal_gap_share", "bathymetry_screening_class", "bathymetry_quality_flag", "depth_100m_resolution_class", "bathymetry_screening_reasons")
     return tidy(_features(spark, sf_dir).select("segment_id", *columns))
 
 
+_QUALITY = (("quality_index", "rough"), ("depth_std", "slope"), ("observation_count", "CASE WHEN distance % 3 <> 0 THEN distance END"))
+SAMPLE_COLUMNS = ["interpolated_cell_share", "measured_or_source_supported_cell_share", "depth_below_5m_at_250m_share", "depth_below_10m_at_500m_share", *[f"{n}_p{p}" for n, _ in _QUALITY for p in (10, 50, 90)]]
+
+
+@query(rounded(PROFILES + """, v AS (SELECT segment_id, distance, rough, slope, CASE WHEN distance % 5 <> 0 THEN CAST(distance AS BIGINT) % 2 END AS flag, CASE WHEN distance % 7 <> 0 THEN CAST(distance AS BIGINT) % 3 END AS ref FROM samples WHERE z IS NOT NULL),
+r AS (SELECT segment_id, ref, count(*) AS n FROM v WHERE ref IS NOT NULL GROUP BY ALL), d AS (SELECT segment_id, count(*) AS refs, first(ref ORDER BY n DESC, ref) AS top FROM r GROUP BY 1),
+q AS (SELECT segment_id, avg((flag = 1)::INT) AS interpolated_cell_share, avg((flag = 0)::INT) AS measured_or_source_supported_cell_share, """ + ", ".join(f"quantile_cont({c}, {p / 100}) AS {n}_p{p}" for n, c in _QUALITY for p in (10, 50, 90)) + """ FROM v GROUP BY 1),
+p AS (SELECT segment_id, avg((d_250 < 5)::INT) AS depth_below_5m_at_250m_share, avg((d_500 < 10)::INT) AS depth_below_10m_at_500m_share, coalesce(avg((d_500 < 20)::INT) >= 0.6, false) AND count(d_500) / count(*) >= 0.5 AS platform FROM g GROUP BY 1)
+--SELECT SELECT CAST(s_suppkey AS VARCHAR) AS segment_id, 'line_items' AS bathymetry_source_id, interpolated_cell_share, measured_or_source_supported_cell_share, coalesce(refs, 0) AS bathymetry_source_reference_count, top AS bathymetry_dominant_source_reference, depth_below_5m_at_250m_share, depth_below_10m_at_500m_share,
+  coalesce(platform, false) AS broad_shallow_platform_proxy, """ + ", ".join(f"{n}_p{p}" for n, _ in _QUALITY for p in (10, 50, 90)) + """ FROM supplier LEFT JOIN q ON q.segment_id = CAST(s_suppkey AS VARCHAR) LEFT JOIN d ON d.segment_id = CAST(s_suppkey AS VARCHAR) LEFT JOIN p ON p.segment_id = CAST(s_suppkey AS VARCHAR)""", *SAMPLE_COLUMNS))
+def q66_depth_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What depths rest on: platform, shares of shallow transects and of interpolated cells, sources, and quantiles of the quality fields."""
+    columns = ("segment_id", "bathymetry_source_id", "bathymetry_source_reference_count", "bathymetry_dominant_source_reference", "broad_shallow_platform_proxy")
+    return tidy(_features(spark, sf_dir, whole=True).select(*columns, *SAMPLE_COLUMNS))
+
+
 @query("""WITH r AS (SELECT l_suppkey, CASE WHEN l_linenumber <> 3 THEN 'ref_' || CAST(l_quantity AS BIGINT) % 5 END AS ref FROM lineitem), c AS (SELECT l_suppkey, ref, count(*) AS n FROM r WHERE ref IS NOT NULL GROUP BY ALL)
 SELECT l_suppkey, count(*) AS bathymetry_source_reference_count, first(ref ORDER BY n DESC, ref) AS bathymetry_dominant_source_reference FROM c GROUP BY 1""")
 def q25_dominant_reference_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
