@@ -130,3 +130,19 @@ def segment_flags(df: DataFrame) -> DataFrame:
     fallback += [holds(F.col("bathymetry_screening_class") == "background_only")] if has("bathymetry_screening_class") else []
     flags["global_fallback"] = reduce(lambda a, b: a | b, fallback, F.lit(False))
     return df.withColumns(flags)
+
+
+# Parts of names of coast classes that are built, not natural, and want a look.
+REVIEW_TOKENS = ("MUELLE", "ROMPEOLAS", "SLCONS", "VARADERO", "RIVER")
+
+
+def class_review(df: DataFrame, field: str, tokens: Sequence[str] = REVIEW_TOKENS) -> DataFrame:
+    """Rows per class that holds any of the tokens: class and count."""
+    upper = F.upper(F.col(field).cast("string"))
+    found = df.where(reduce(lambda a, b: a | b, (F.contains(upper, F.lit(t)) for t in tokens)))
+    return found.groupBy(F.col(field).alias("class")).agg(F.count(F.lit(1)).alias("count"))
+
+
+def analysis_period(when: Column, historical_end: str) -> Column:
+    """partial_current_year after the end of the historical period, else historical_baseline; null for an unknown time."""
+    return F.when(when.isNull(), None).when(when.cast("date") > F.lit(historical_end).cast("date"), "partial_current_year").otherwise("historical_baseline")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.stats import placed
+
 
 class ContractError(ValueError):
     """Tables do not fit each other as a join demands."""
@@ -58,6 +60,22 @@ def union_once(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> Data
     return first.unionByName(second.join(first.select(*keys), list(keys), "left_anti"))
 
 
+def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Of the rows of each key, the first in an order: one aggregation, no window over a key's rows."""
+    rest = [c for c in df.columns if c not in keys]
+    firsts = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+    return firsts.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(df.columns)
+
+
 def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     """n rows in the order of a hash of the key: the same ones each time."""
     return df.orderBy(F.xxhash64(key), key).limit(n)
+
+
+def spread_sample(df: DataFrame, order: str, n: int) -> DataFrame:
+    """n rows at equal steps of an order, the first and the last among them, by ranks taken range by range; fewer if there are fewer.  order holds each value once."""
+    ranks = placed(df.groupBy(F.col(order).alias("_v")).agg(F.count(F.lit(1)).alias("_n")), [])
+    # The row of rank r is the k-th chosen if floor(k (rows - 1) / (n - 1)) = r.
+    k = F.ceil(F.col("_below") * (n - 1) / F.greatest(F.lit(1), F.col("_total") - 1))
+    chosen = ranks.where(F.floor(k * (F.col("_total") - 1) / max(1, n - 1)) == F.col("_below")).select(F.col("_v").alias(order))
+    return df.join(chosen, order, "left_semi")

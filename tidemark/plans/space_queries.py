@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import scalars as S
+from ..functions.stats import quantiles
 from ..operators import bathymetry, coast, raster, terrain
 from .registry import query
 from .views import GRID, SAMPLES, VERTICES, grid, lines, rounded, samples, table, tidy
@@ -247,10 +248,13 @@ def q44_orientation_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(_oriented(spark, sf_dir).select("vec_id", "orientation_status", "landward_bearing_deg"))
 
 
-@query(rounded(ORIENTED + """, origins AS (SELECT vec_id, b, l, len, x1, y1, ux, uy, step AS k, step * 50 AS d FROM oriented, unnest(range(0, 100)) AS t(step) WHERE l IS NOT NULL AND step * 50 <= len + 1e-7
+TRANSECTS = ORIENTED + """, origins AS (SELECT vec_id, b, l, len, x1, y1, ux, uy, step AS k, step * 50 AS d FROM oriented, unnest(range(0, 100)) AS t(step) WHERE l IS NOT NULL AND step * 50 <= len + 1e-7
   UNION ALL SELECT vec_id, b, l, len, x1, y1, ux, uy, CAST(floor((len + 1e-7) / 50) AS BIGINT) + 1, len FROM oriented WHERE l IS NOT NULL AND len - floor((len + 1e-7) / 50) * 50 > 1e-6),
-dirs AS (SELECT *, CASE WHEN l = (direction = 'inland') THEN -1 ELSE 1 END AS side, CASE direction WHEN 'inland' THEN 100.0 ELSE 200.0 END AS length_m FROM origins, (VALUES ('inland'), ('offshore')) t(direction))
---SELECT SELECT vec_id || printf('_t%03d_', k + 1) || direction AS transect_id, d AS origin_distance_m, (b + 360 + side * 90) % 360 AS bearing_deg, x1 + ux * d + side * uy * length_m AS end_x, y1 + uy * d - side * ux * length_m AS end_y FROM dirs""", "origin_distance_m", "bearing_deg", "end_x", "end_y"))
+dirs AS (SELECT *, CASE WHEN l = (direction = 'inland') THEN -1 ELSE 1 END AS side, CASE direction WHEN 'inland' THEN 100.0 ELSE 200.0 END AS length_m FROM origins, (VALUES ('inland'), ('offshore')) t(direction)),
+transects AS (SELECT vec_id || printf('_t%03d_', k + 1) || direction AS transect_id, direction, d AS origin_distance_m, (b + 360 + side * 90) % 360 AS bearing_deg, x1 + ux * d + side * uy * length_m AS end_x, y1 + uy * d - side * ux * length_m AS end_y FROM dirs)"""
+
+
+@query(rounded(TRANSECTS + "--SELECT SELECT * EXCLUDE (direction) FROM transects", "origin_distance_m", "bearing_deg", "end_x", "end_y"))
 def q43_transect_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = coast.transects(_oriented(spark, sf_dir), 50.0, 100.0, 200.0)
     end = F.get("line", F.lit(1))
@@ -265,7 +269,7 @@ def q45_zone_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     seaward = rows.select("segment_id", F.array(F.get("line", F.lit(0))).alias("line"), F.col("seaward_bearing_deg").alias("bearing_deg"))
     strips = coast.zone_strips(seaward, (("nearshore", 20, 100), ("coastal", 100, 300)), 100.0)
     points = lines(spark, sf_dir, 2).select(F.col("vec_id").alias("point_id"), F.get("line", F.lit(1)).alias("p"))
-    return coast.zone_membership(points, "point_id", strips).select("point_id", "zone_id")
+    return coast.zone_membership(points, "point_id", strips, cell=60.0).select("point_id", "zone_id")
 
 
 @query(rounded(CROSS + "--SELECT SELECT a.vec_id AS start_id, b.vec_id AS end_id, sqrt((a.x1 - b.x2) * (a.x1 - b.x2) + (a.y1 - b.y2) * (a.y1 - b.y2)) AS distance FROM line a, line b WHERE sqrt((a.x1 - b.x2) * (a.x1 - b.x2) + (a.y1 - b.y2) * (a.y1 - b.y2)) <= 10", "distance"))
@@ -321,5 +325,5 @@ def q60_parent_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT row, col, CASE WHEN value IS NOT NULL THEN CAST(round_even(least(1.0, greatest(0.0, (value - lo) / (hi - lo))) * 255, 0) AS BIGINT) END AS shade FROM grid, q""")
 def q61_display_stretch(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = grid(spark, sf_dir)
-    bounds = cells.agg(F.percentile("value", 0.02).alias("lo"), F.percentile("value", 0.98).alias("hi"))
+    bounds = quantiles(cells, [], {"v": F.col("value")}, [("lo", "v", 0.02), ("hi", "v", 0.98)])
     return tidy(cells.crossJoin(F.broadcast(bounds)).select("row", "col", S.stretched(F.col("value"), F.col("lo"), F.col("hi")).alias("shade")))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..functions.stats import distribution, value_counts
+from ..functions.stats import distribution, quantiles, value_counts
 from ..operators import filters, joins, quality
 from .registry import query
 from .views import SAMPLES, rounded, samples, table, tidy
@@ -146,7 +146,7 @@ def q40_depth_canonicalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT c_custkey, CAST(CASE WHEN pos < 1 THEN round_even(0 * (1 - pos) + 100 * pos, 0) ELSE round_even(100 * (2 - pos) + 255 * (pos - 1), 0) END AS BIGINT) AS red, CAST(CASE WHEN pos < 1 THEN round_even(50 * (1 - pos) + 200 * pos, 0) ELSE round_even(200 * (2 - pos) + 40 * (pos - 1), 0) END AS BIGINT) AS green FROM p UNION ALL SELECT c_custkey, 150, 150 FROM s WHERE v IS NULL""")
 def q48_color_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_custkey") % 10 != 0, F.col("c_acctbal")).alias("v"))
-    bounds = rows.agg(F.percentile("v", 0.05).alias("lo"), F.percentile("v", 0.95).alias("hi"))
+    bounds = quantiles(rows, [], {"v": F.col("v")}, [("lo", "v", 0.05), ("hi", "v", 0.95)])
     colour = S.palette_colour(S.palette_position(F.col("v"), F.col("lo"), F.col("hi")), [(0, 50, 0), (100, 200, 50), (255, 40, 0)])
     rows = rows.crossJoin(F.broadcast(bounds)).withColumn("rgba", colour)
     return tidy(rows.select("c_custkey", F.get("rgba", F.lit(0)).alias("red"), F.get("rgba", F.lit(1)).alias("green")))
@@ -178,9 +178,11 @@ def q50_qa_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH ids AS (SELECT DISTINCT c_name AS id FROM customer), parts AS (SELECT substr(sha256(id), 1, 3) AS range, sha256(string_agg(id, chr(10) ORDER BY id)) AS digest, count(*) AS n FROM ids GROUP BY 1)
-SELECT sha256(string_agg(digest, chr(10) ORDER BY range)) AS checksum, CAST(sum(n) AS BIGINT) AS count FROM parts""")
+SELECT (SELECT sha256(string_agg(id, chr(10) ORDER BY id)) FROM ids) AS checksum, sha256(string_agg(digest, chr(10) ORDER BY range)) AS ranged_checksum, CAST(sum(n) AS BIGINT) AS count FROM parts""")
 def q51_id_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.ids_checksum(table(spark, sf_dir, "customer"), "c_name")
+    customers = table(spark, sf_dir, "customer")
+    whole = quality.id_set_sha256(customers, "c_name").drop("count")
+    return whole.crossJoin(quality.ids_checksum(customers, "c_name").withColumnRenamed("checksum", "ranged_checksum"))
 
 
 @query("""WITH e AS (SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, value FROM events)
