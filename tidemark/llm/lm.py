@@ -36,6 +36,8 @@ FOLDS, HELD_OUT, DELETED = 5, 1, 2
 ORDER = 3
 #: Bytes of text of a block, and of the blocks' texts per bucket: the root of GROWTH times the corpus, within these bounds.
 LEAST_BYTES, MOST_BYTES, GROWTH = 4 << 20, 128 << 20, 1 << 10
+#: Blocks, or buckets, to a task.
+PER_TASK = 8
 SLICE = 1 << 19
 CONTEXTS = 48
 #: Steps of the ratio of the estimates to a factor of two, in the held-out counts.
@@ -306,8 +308,10 @@ def interpolated_scores(docs: DataFrame, id_column: str = "doc_id", text_column:
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     part = block_bytes(size)
     shift = 64 - max(4, int(np.ceil(np.log2(max(1, size / part)))))
+    # As the corpus grows, more tasks and not larger ones: each has a few blocks' worth of text.
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(np.ceil(size / (PER_TASK * part))))
     asked = rows.mapInArrow(lambda b: _asked(b, part, shift, order), _PARCEL)
-    ordered = asked.repartition("bucket").sortWithinPartitions("bucket", "block")
+    ordered = asked.repartition(tasks, "bucket").sortWithinPartitions("bucket", "block")
     answered = checkpointed(ordered.mapInArrow(_answered, _ANSWER))
     n, v, n_kept, v_kept = answered.where("sums is not null").agg(*[F.coalesce(F.sum(F.get("sums", F.lit(i))), F.lit(0)) for i in range(4)]).first()
     answers = answered.where("sums is null").select("block", F.lit(0).alias("kind"), F.col("bucket").alias("at"), F.lit(None).cast("binary").alias("documents"), "checksum", "totals")
@@ -315,7 +319,7 @@ def interpolated_scores(docs: DataFrame, id_column: str = "doc_id", text_column:
     def by_block(deleted_only: bool) -> DataFrame:
         texts = rows.mapInArrow(lambda b: _texts(b, part, deleted_only), _DELIVERY)
         both = texts.union(answers.where("block % 2 = 1") if deleted_only else answers)
-        return both.repartition("block").sortWithinPartitions("block", "kind", "at")
+        return both.repartition(tasks, "block").sortWithinPartitions("block", "kind", "at")
 
     weights: list[np.ndarray] = []
 
