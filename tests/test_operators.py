@@ -245,7 +245,7 @@ def test_scene_selection(spark):
     from tidemark.functions.scalars import version_key
 
     got = catalogue.select_scenes(df, [("missing_required_asset", F.col("assets") == 0)], "g", (version_key(F.col("v")).desc(), F.col("id")), (F.col("id"),), 1)
-    assert {r["id"]: r["selection_reason"] for r in got.collect()} == {"old": "duplicate_lower_preference", "new": "maximum_items_limit", "bare": "missing_required_asset", "late": "selected"}
+    assert {r["id"]: r["selection_reason"] for r in got.collect()} == {"old": "duplicate_lower_preference", "new": "maximum_items_limit", "bare": "missing_required_asset", "late": "candidate"}
 
 
 def test_filters_with_missing_columns_and_values(spark):

@@ -9,8 +9,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import close, number_label, resolution_class
+from ..functions.scalars import canonical_depth, close, number_label, resolution_class
 from ..functions.stats import finite, holds, share, smallest_mode
+from .raster import cells, resampled, snapped
 
 # Near and far distances of gradients, slopes of a trend, depths and distances of shares, and screening classes.
 GRADIENTS = ((100.0, 500.0), (250.0, 1000.0))
@@ -21,6 +22,11 @@ CLASSES = ("insufficient", "background_only", "regional_screening", "coastal_con
 QUALITY_FIELDS = (("quality_index", "quality_index"), ("observation_count", "observation_count"), ("depth_std_m", "depth_std"))
 
 
+# Layers of a prepared depth grid by the name that a source's variables are given under.
+DEPTH_LAYERS = {"mean_depth": "depth_mean_m", "minimum_depth": "depth_min_m", "maximum_depth": "depth_max_m", "standard_deviation": "depth_std_m"}
+OTHER_LAYERS = {name: name for name in ("observation_count", "interpolation_flag", "source_reference", "quality_index")}
+
+
 @dataclass(frozen=True)
 class Depths:
     """What depth features ask for: distances, depths, the source's native resolution and limits."""
@@ -38,6 +44,50 @@ class Depths:
     source: Mapping[str, str] = field(default_factory=dict)
 
 
+def is_continuous(layer: str) -> bool:
+    """Whether a layer is interpolated when it is resampled; categories, flags and counts are not."""
+    return layer in DEPTH_LAYERS.values()
+
+
+def prepared_layers(source: DataFrame, variables: Mapping[str, str], sign: str = "positive_down", zero_is_valid: bool = True, nodata: float | None = None) -> DataFrame:
+    """A source grid (row, col, variables) with its layers by their own names, null where there is no data: depths canonical, deviations from 0 on.
+
+    variables names the source's column of each layer that it has.
+    """
+    names = DEPTH_LAYERS | OTHER_LAYERS
+    unknown = sorted(set(variables) - set(names))
+    if unknown or "mean_depth" not in variables:
+        raise ValueError(f"unknown variables {unknown}" if unknown else "a source of depths has a mean_depth")
+    missing = sorted(set(variables.values()) - set(source.columns))
+    if missing:
+        raise ValueError(f"absent variables {missing}; there are {source.columns}")
+
+    def layer(name: str, column: str) -> Column:
+        if name == "standard_deviation":
+            value = finite(F.col(column).cast("double"))
+            return F.when(value >= 0, value)
+        if name in DEPTH_LAYERS:
+            return canonical_depth(F.col(column).cast("double"), sign, zero_is_valid)
+        return F.col(column) if nodata is None else F.when(F.col(column) != nodata, F.col(column))
+
+    return source.select("row", "col", *[layer(n, c).alias(names[n]) for n, c in variables.items()])
+
+
+def prepared_depth(
+    source: DataFrame, variables: Mapping[str, str], corridor: tuple[float, float, float, float], native: float, left: float = 0.0, top: float = 0.0, resolution: float = 1.0,
+    sign: str = "positive_down", zero_is_valid: bool = True, nodata: float | None = None,
+) -> DataFrame:
+    """All layers of a source on the grid of its native resolution over a corridor: row, col, x, y and the layers.
+
+    The corridor is widened to whole cells.  Both grids have the same coordinates; left, top
+    and resolution are the source's.
+    """
+    layers = prepared_layers(source, variables, sign, zero_is_valid, nodata)
+    names = [c for c in layers.columns if c not in ("row", "col")]
+    target = cells(source.sparkSession, snapped(corridor, native), native)
+    return resampled(target, layers, [c for c in names if is_continuous(c)], [c for c in names if not is_continuous(c)], left, top, resolution)
+
+
 def sample_distances(spacing: float, native: float, maximum: float, targets: Sequence[float]) -> list[float]:
     """The distances to sample, in order and once each: regular ones, no finer than the native resolution, the targets and the end."""
     step = max(spacing, native)

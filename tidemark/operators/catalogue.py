@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import holds
 
-SELECTED, DUPLICATE, CAPPED = "selected", "duplicate_lower_preference", "maximum_items_limit"
+SELECTED, DUPLICATE, CAPPED = "candidate", "duplicate_lower_preference", "maximum_items_limit"
 
 
 def first_reason(reasons: Sequence[tuple[str, Column]], otherwise: str = SELECTED) -> Column:
@@ -17,6 +17,21 @@ def first_reason(reasons: Sequence[tuple[str, Column]], otherwise: str = SELECTE
     return F.coalesce(*[F.when(holds(failed), F.lit(name)) for name, failed in reasons], F.lit(otherwise))
 
 
+def candidate_reasons(available: Column, month: Column, months: Sequence[int], cloud: Column, maximum_cloud: float, coverage: Column, period: Column, partial_year: bool) -> list[tuple[str, Column]]:
+    """The rules of a scene in their order, each with the column that holds where it fails.
+
+    Unknown assets are missing, an unknown month is outside, an unknown cloud cover is 100 %
+    and an unknown coverage none.
+    """
+    return [
+        ("missing_required_asset", ~holds(available)),
+        ("outside_configured_months", ~holds(month.isin(*months))),
+        ("catalogue_cloud_cover_above_limit", F.coalesce(cloud, F.lit(100.0)) > maximum_cloud),
+        ("no_aoi_overlap", ~holds(coverage > 0)),
+        ("partial_current_year_disabled", holds(period == "partial_current_year") & F.lit(not partial_year)),
+    ]
+
+
 def select_scenes(scenes: DataFrame, reasons: Sequence[tuple[str, Column]], duplicate_group: str, preference: Sequence[Column], order: Sequence[Column], maximum: int | None = None) -> DataFrame:
     """Adds selection_reason and selected.
 

@@ -7,9 +7,10 @@ depends on the number of cells and not on the width of the grid.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.stats import finite
@@ -98,6 +99,44 @@ def bilinear(points: DataFrame, grid: DataFrame, key: str, left: float = 0.0, to
     return points.join(sums, key, "left")
 
 
+def snapped(box: tuple[float, float, float, float], resolution: float) -> tuple[float, float, float, float]:
+    """A box widened to whole multiples of the resolution."""
+    low, high = (lambda v: math.floor(v / resolution) * resolution), (lambda v: math.ceil(v / resolution) * resolution)
+    return low(box[0]), low(box[1]), high(box[2]), high(box[3])
+
+
+def cells(spark: SparkSession, box: tuple[float, float, float, float], resolution: float) -> DataFrame:
+    """The cells of a snapped box: row, col, and x and y of their centres; made by the tasks, so that a grid of any size is."""
+    rows, cols = round((box[3] - box[1]) / resolution), round((box[2] - box[0]) / resolution)
+    at = spark.range(rows * cols).select(F.floor(F.col("id") / cols).alias("row"), (F.col("id") % cols).alias("col"))
+    return at.withColumns({"x": F.lit(box[0]) + (F.col("col") + 0.5) * resolution, "y": F.lit(box[3]) - (F.col("row") + 0.5) * resolution})
+
+
+def resampled(target: DataFrame, source: DataFrame, continuous: Sequence[str], categorical: Sequence[str], left: float = 0.0, top: float = 0.0, resolution: float = 1.0) -> DataFrame:
+    """target (row, col, x, y) with all layers of a source grid on it, in one join and one aggregation.
+
+    Continuous layers are means of the known ones of the four cell centres around, weighted
+    as bilinear does; categorical ones are those of the cell that the point lies in.  All
+    are null where the point lies outside the source's cells.
+    """
+    u, v = (F.col("x") - F.lit(left)) / resolution - 0.5, (F.lit(top) - F.col("y")) / resolution - 0.5
+    placed = target.withColumns({"_c": F.floor(u), "_r": F.floor(v)}).withColumns({"_fx": u - F.col("_c"), "_fy": v - F.col("_r")})
+    down, right = (F.col("_fy") >= 0.5).cast("int"), (F.col("_fx") >= 0.5).cast("int")
+
+    def corner(a: int, b: int) -> Column:
+        weight = (F.col("_fy") if a else 1 - F.col("_fy")) * (F.col("_fx") if b else 1 - F.col("_fx"))
+        return F.struct((F.col("_r") + a).cast("long").alias("_sr"), (F.col("_c") + b).cast("long").alias("_sc"), weight.alias("_w"), ((down == a) & (right == b)).alias("_in"))
+
+    corners = placed.select("row", "col", F.explode(F.array(*[corner(a, b) for a in (0, 1) for b in (0, 1)])).alias("k")).select("row", "col", "k.*")
+    layers = source.select(F.col("row").cast("long").alias("_sr"), F.col("col").cast("long").alias("_sc"), *continuous, *categorical)
+    w = F.col("_w")
+    mean = lambda c: F.try_divide(F.sum(w * F.col(c)), F.sum(F.when(F.col(c).isNotNull(), w)))
+    found = corners.join(layers, ["_sr", "_sc"]).groupBy("row", "col").agg(
+        F.bool_or("_in").alias("_inside"), *[mean(c).alias(c) for c in continuous], *[F.max(F.when(F.col("_in"), F.col(c))).alias(c) for c in categorical]
+    )
+    return target.join(found.where("_inside").drop("_inside"), ["row", "col"], "left")
+
+
 def parent_cells(grid: DataFrame, factor: int = 2) -> DataFrame:
     """Row and column of the coarser cell that each cell lies in."""
     return grid.withColumns({"parent_row": F.floor(F.col("row") / factor).cast("long"), "parent_col": F.floor(F.col("col") / factor).cast("long")})

@@ -76,13 +76,13 @@ def q07_headline_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 CATALOGUE = """
 WITH scenes AS (
   SELECT event_id, user_id || '_' || CAST(CAST(ts AS DATE) AS VARCHAR) AS duplicate_group, value, ts,
-    CASE WHEN event_type = 'error' THEN 'missing_required_asset' WHEN day(ts) > 28 THEN 'outside_months' WHEN value > 60 THEN 'cloud_above_limit' ELSE 'selected' END AS reason
+    CASE WHEN event_type = 'error' THEN 'missing_required_asset' WHEN day(ts) > 28 THEN 'outside_months' WHEN value > 60 THEN 'cloud_above_limit' ELSE 'candidate' END AS reason
   FROM events
 ), placed AS (
-  SELECT *, CASE WHEN reason = 'selected' THEN row_number() OVER (PARTITION BY duplicate_group, reason = 'selected' ORDER BY value DESC, event_id DESC) END AS place FROM scenes
+  SELECT *, CASE WHEN reason = 'candidate' THEN row_number() OVER (PARTITION BY duplicate_group, reason = 'candidate' ORDER BY value DESC, event_id DESC) END AS place FROM scenes
 ), unique_ AS (SELECT *, CASE WHEN place > 1 THEN 'duplicate_lower_preference' ELSE reason END AS reason2 FROM placed),
-capped AS (SELECT *, CASE WHEN reason2 = 'selected' THEN row_number() OVER (PARTITION BY reason2 ORDER BY ts, event_id) END AS n FROM unique_)
-SELECT event_id, duplicate_group, CASE WHEN n > 150 THEN 'maximum_items_limit' ELSE reason2 END AS selection_reason, reason2 = 'selected' AND n <= 150 AS selected FROM capped"""
+capped AS (SELECT *, CASE WHEN reason2 = 'candidate' THEN row_number() OVER (PARTITION BY reason2 ORDER BY ts, event_id) END AS n FROM unique_)
+SELECT event_id, duplicate_group, CASE WHEN n > 150 THEN 'maximum_items_limit' ELSE reason2 END AS selection_reason, reason2 = 'candidate' AND n <= 150 AS selected FROM capped"""
 
 
 @query(CATALOGUE)

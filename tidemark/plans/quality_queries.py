@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import scalars as S
-from ..operators import bathymetry, coast, filters, joins, optical, quality
+from ..operators import bathymetry, catalogue, coast, filters, joins, optical, quality
+from ..sources.tiles import tile_checks
 from . import clarity_queries as clarity
 from . import space_queries as space
+from .metrics import metric_summary
 from .registry import query
-from .views import OBSERVATIONS, PERIODS, SAMPLES, SEASONAL, lines, observations, rounded, samples, table, tidy
+from .views import GRID, OBSERVATIONS, PERIODS, SAMPLES, SEASONAL, grid, lines, observations, rounded, samples, table, tidy
 
 
 def _report_sql(ctes: str, *rows: tuple[str, str, str, str]) -> str:
@@ -184,3 +188,66 @@ def q80_depth_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = samples(spark, sf_dir).withColumn("at", F.when(F.col("distance").isin(bathymetry.search_distances(20.0, 50.0)) & F.col("z").isNotNull(), F.col("distance")))
     first = rows.groupBy("transect_id").agg(F.min("at").alias("first_valid_distance_m"))
     return tidy(bathymetry.transect_status(first, 20.0, 30.0).select("transect_id", "bathymetry_origin_status", "first_valid_distance_m"))
+
+
+TILES = """WITH tiles AS (SELECT 'Tile_' || s_suppkey AS path, CASE WHEN s_suppkey % 50 <> 0 THEN 'c' || s_nationkey % 2 END AS crs, 2 + s_suppkey % 3 * 1e-5 AS rx, 2.0 AS ry,
+  CASE WHEN s_suppkey % 4 = 0 THEN ' M' ELSE 'm' END AS units, s_acctbal AS min_x, s_nationkey * 300 AS min_y FROM supplier),
+near AS (SELECT * FROM tiles WHERE min_x <= 5000 AND min_x + 100 >= 0 AND min_y <= 5000 AND min_y + 100 >= 0)"""
+_OFF = "SELECT greatest(max(rx) - first(rx ORDER BY lower(path), path), first(rx ORDER BY lower(path), path) - min(rx)) / (1e-6 + 1e-6 * first(rx ORDER BY lower(path), path)) FROM near"
+
+
+@query(_report_sql(
+    TILES, ("tiles_without_crs", "SELECT count(*) FROM tiles WHERE crs IS NULL", "NULL", "0"), ("tiles_without_resolution", "0", "NULL", "0"), ("tiles_in_box", "SELECT count(*) FROM near", "1", "NULL"),
+    ("mixed_crs", "SELECT (count(DISTINCT crs) > 1)::INT FROM near", "NULL", "0"), ("resolution_difference", _OFF, "NULL", "1"), ("mixed_units", "0", "NULL", "0"),
+))
+def q81_tile_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as tiles."""
+    k, x, y = F.col("s_suppkey"), F.col("s_acctbal"), F.col("s_nationkey") * 300
+    tiles = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("Tile_"), k).alias("path"), F.when(k % 50 != 0, F.concat(F.lit("c"), F.col("s_nationkey") % 2)).alias("crs"), (2 + k % 3 * F.lit(1e-5)).alias("resolution_x"), F.lit(2.0).alias("resolution_y"),
+        F.when(k % 4 == 0, " M").otherwise("m").alias("units"), x.alias("min_x"), y.alias("min_y"), (x + 100).alias("max_x"), (y + 100).alias("max_y"),
+    )
+    return tidy(tile_checks(tiles, (0.0, 0.0, 5000.0, 5000.0)))
+
+
+@query("""WITH s AS (SELECT c_custkey, CASE WHEN c_custkey % 9 > 0 THEN c_custkey % 7 > 0 END AS available, 1 + c_custkey % 12 AS month, CASE WHEN c_custkey % 10 > 0 THEN abs(c_acctbal) / 100 END AS cloud,
+  c_nationkey % 5 / 4.0 AS coverage, c_custkey % 3 = 0 AS late FROM customer)
+SELECT c_custkey, CASE WHEN available IS DISTINCT FROM true THEN 'missing_required_asset' WHEN month NOT BETWEEN 3 AND 11 THEN 'outside_configured_months' WHEN coalesce(cloud, 100) > 60 THEN 'catalogue_cloud_cover_above_limit'
+  WHEN coverage <= 0 THEN 'no_aoi_overlap' WHEN late THEN 'partial_current_year_disabled' ELSE 'candidate' END AS selection_reason FROM s""")
+def q82_scene_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as scenes, held against the five rules in their order."""
+    k = F.col("c_custkey")
+    period = F.when(k % 3 == 0, "partial_current_year").otherwise("historical_baseline")
+    cloud = F.when(k % 10 > 0, F.abs("c_acctbal") / 100)
+    rules = catalogue.candidate_reasons(F.when(k % 9 > 0, k % 7 > 0), 1 + k % 12, range(3, 12), cloud, 60.0, F.col("c_nationkey") % 5 / 4, period, partial_year=False)
+    return table(spark, sf_dir, "customer").select("c_custkey", catalogue.first_reason(rules).alias("selection_reason"))
+
+
+@query(rounded(GRID + """, size AS (SELECT ceil((max(row) + 1) / 1.5) AS n FROM grid), src AS (SELECT row, col, CASE WHEN value < 0 THEN -value * 10 END AS z, CASE WHEN label <> 3 THEN label END AS q FROM grid),
+target AS (SELECT r AS row, c AS col, (c + 0.5) * 1.5 AS x, (r + 0.5 - n) * -1.5 AS y, n FROM size, range(0, CAST(n AS BIGINT)) a(r), range(0, 43) b(c)),
+uv AS (SELECT *, x - 0.5 AS u, n * 1.5 - y - 0.5 AS v FROM target), k AS (SELECT uv.row, uv.col, CAST(floor(v) AS BIGINT) + a AS sr, CAST(floor(u) AS BIGINT) + b AS sc,
+  (CASE a WHEN 1 THEN v - floor(v) ELSE 1 - (v - floor(v)) END) * (CASE b WHEN 1 THEN u - floor(u) ELSE 1 - (u - floor(u)) END) AS w FROM uv, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) t(a, b)),
+m AS (SELECT k.row, k.col, sum(w * z) / sum(CASE WHEN z IS NOT NULL THEN w END) AS z FROM k JOIN src ON sr = src.row AND sc = src.col GROUP BY ALL)
+--SELECT SELECT t.row, t.col, x, y, CASE WHEN own.row IS NOT NULL THEN m.z END AS depth_mean_m, own.q AS quality_index FROM target t LEFT JOIN m USING (row, col)
+LEFT JOIN src own ON own.row = CAST(floor(n * 1.5 - y) AS BIGINT) AND own.col = CAST(floor(x) AS BIGINT)""", "x", "y", "depth_mean_m"))
+def q83_depth_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components as elevations, of which depths are the negative ones, and labels as quality, on a coarser grid; label 3 is no data."""
+    source = grid(spark, sf_dir).withColumn("elevation", F.col("value") * 10)
+    height = math.ceil((source.agg(F.max("row")).first()[0] + 1) / 1.5) * 1.5
+    return tidy(bathymetry.prepared_depth(source, {"mean_depth": "elevation", "quality_index": "label"}, (0.0, 0.0, 64.0, height), 1.5, 0.0, height, 1.0, "negative_elevation", zero_is_valid=False, nodata=3))
+
+
+_METRIC = "SELECT '{c}' AS category, '{f}' AS field, {u} AS unit, count(*) AS rows, count({v}) AS known, {lo} AS least, {hi} AS most FROM t"
+
+
+@query(rounded("WITH t AS (SELECT CASE WHEN s_suppkey % 6 > 0 THEN s_acctbal / 100 END AS slope, s_acctbal AS depth, CASE WHEN s_suppkey % 4 > 0 THEN 'ok' END AS flag FROM supplier) --SELECT " + " UNION ALL ".join((
+    _METRIC.format(c="terrain", f="slope_p50_deg", u="'°'", v="slope", lo="min(slope)", hi="max(slope)"), _METRIC.format(c="bathymetry", f="depth_100m_p50_m", u="'m'", v="depth", lo="min(depth)", hi="max(depth)"),
+    _METRIC.format(c="quality", f="terrain_quality_flag", u="NULL", v="flag", lo="CAST(NULL AS DOUBLE)", hi="CAST(NULL AS DOUBLE)"),
+)), "least", "most"))
+def q84_metric_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as segments with three metrics and a field that is none."""
+    k = F.col("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").select(
+        k, F.when(k % 6 > 0, F.col("s_acctbal") / 100).alias("slope_p50_deg"), F.col("s_acctbal").alias("depth_100m_p50_m"), F.when(k % 4 > 0, "ok").alias("terrain_quality_flag")
+    )
+    return tidy(metric_summary(rows))

@@ -81,13 +81,13 @@ def source_warnings(sources: DataFrame, fields: Sequence[str]) -> DataFrame:
     return sources.withColumn("metadata_warnings", F.array_compact(F.array(*poor)))
 
 
-def scene_items(spark: SparkSession, path: str) -> DataFrame:
-    """Scenes of item-collection JSON files: scene_id, collection, datetime, year, month, tile, version, cloud, box and asset sizes by key."""
+def scene_items(spark: SparkSession, path: str, line_each: bool = False) -> DataFrame:
+    """Scenes of item-collection JSON files, each one collection (or one on each line): scene_id, collection, datetime, year, month, tile, version, cloud, box and asset sizes by key."""
     schema = (
         "features array<struct<id:string,collection:string,bbox:array<double>,properties:struct<datetime:timestamp,`grid:code`:string,`processing:version`:string,`eo:cloud_cover`:double>,"
         "assets:map<string,struct<href:string,`file:size`:bigint>>>>"
     )
-    f = spark.read.option("multiLine", True).schema(schema).json(path).select(F.explode("features").alias("f"))
+    f = spark.read.option("multiLine", not line_each).schema(schema).json(path).select(F.explode("features").alias("f"))
     when = F.col("f.properties.datetime")
     return f.select(
         F.col("f.id").alias("scene_id"), F.col("f.collection").alias("collection"), when.alias("datetime"), F.year(when).alias("year"), F.month(when).alias("month"),
