@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import chat_sql
+from .codes import codes_sql
 from .common import table
 from .licences import licence_sql
+from .spelling import SPELLING_SQL
 
 
 def op1_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +73,24 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_scan(table(spark, sf_dir, "documents"))
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .codes import vector_codes
+
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat import chat_digests
+
+    return chat_digests(table(spark, sf_dir, "conversations"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,5 +110,9 @@ WITH u AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM r WHERE k = 1
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_pq, op2_packing, op3_lm, op4_quality, op5_simhash, op6_sharding, op7_rules, op8_urls, op9_mixing, op10_licences, pipeline)}
-ORACLES: dict[str, str] = {"op8_urls": OP8_SQL, "op10_licences": licence_sql()}
+_ALL = (
+    op1_pq, op2_packing, op3_lm, op4_quality, op5_simhash, op6_sharding, op7_rules, op8_urls, op9_mixing, op10_licences,
+    op11_codes, op12_chat, op13_spelling, pipeline,
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in _ALL}
+ORACLES: dict[str, str] = {"op8_urls": OP8_SQL, "op10_licences": licence_sql(), "op11_codes": codes_sql(), "op12_chat": chat_sql(), "op13_spelling": SPELLING_SQL}
