@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 #: A key is hot if it holds over 1/MOST_HOT of all rows, and HOT_ROWS at least; so there are fewer than MOST_HOT hot keys.
 MOST_HOT, HOT_ROWS = 512, 20_000
@@ -55,15 +56,36 @@ def held_out(doc_id: object, modulus: int, remainder: int) -> bool:
     return zlib.crc32(str(doc_id).encode()) % modulus == remainder
 
 
-def row_keys(columns: list[str]) -> dict[str, Column]:
+def row_keys(rows: DataFrame) -> dict[str, Column]:
     """128 bits of hash over all columns of a row, as two columns of new names: rows with equal keys are equal, and never null.
 
     Rows of equal or null ids are told apart by them, on every read and in any partition.
+    Maps are equal if they have the same entries, in any order.
     """
+    columns = rows.columns
     # A hash skips nulls, so which columns are null counts too.
-    nulls = [F.col(c).isNull() for c in columns]
+    nulls = [F.col(f"`{c}`").isNull() for c in columns]
     names = [fresh(name, columns) for name in ("_row_a", "_row_b")]
-    return {name: F.xxhash64(F.lit(seed), *[F.col(c) for c in columns], *nulls) for seed, name in enumerate(names, 1)}
+    values = [_hashable(F.col(f"`{f.name}`"), f.dataType) for f in rows.schema]
+    return {name: F.xxhash64(F.lit(seed), *values, *nulls) for seed, name in enumerate(names, 1)}
+
+
+def _holds_map(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _holds_map(kind.elementType)
+    return isinstance(kind, MapType) or isinstance(kind, StructType) and any(_holds_map(f.dataType) for f in kind)
+
+
+def _hashable(value: Column, kind: DataType) -> Column:
+    """A value with each map within it as the sorted array of its entries' texts, which can be hashed."""
+    if not _holds_map(kind):
+        return value
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: _hashable(x, kind.elementType))
+    if isinstance(kind, StructType):
+        return F.when(value.isNotNull(), F.struct(*[_hashable(value[f.name], f.dataType).alias(f"f{i}") for i, f in enumerate(kind)]))
+    entry = lambda e: F.to_json(F.struct(e["key"].alias("k"), _hashable(e["value"], kind.valueType).alias("v")))
+    return F.array_sort(F.transform(F.map_entries(value), entry))
 
 
 def fresh(name: str, columns: Iterable[str]) -> str:
@@ -130,6 +152,16 @@ def _one_up(pointers: DataFrame, parent: DataFrame) -> DataFrame:
     return salted_left_join(pointers, above, ["up"], "node", counts).select("node", F.coalesce("top", "up").alias("up"))
 
 
+def least_by_hash(rows: DataFrame, h: Column, most: int, n: int) -> DataFrame:
+    """The `most` rows of least h, a 64-bit hash, of n rows; ties in any order.
+
+    A bound on h that leaves few more rows comes first, as each task hands `most` rows on to be ordered otherwise.
+    """
+    share = (most + 8 * most**0.5 + 64) / max(n, 1)
+    near = rows if share >= 1 else rows.where(h < F.lit(int(-(2**63) + share * 2**64)))
+    return near.orderBy(h).limit(most)
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of an Arrow string column and the n + 1 offsets of its rows; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

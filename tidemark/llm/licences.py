@@ -29,6 +29,7 @@ _BSD = """Redistribution and use in source and binary forms, with or without mod
 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
 """
 _NEITHER = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_AUTHOR = "The name of the author may not be used to endorse or promote products derived from this software without specific prior written permission."
 _ADVERTISING = "All advertising materials mentioning features or use of this software must display the following acknowledgement: "
 _GNU = "you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
 _GNU_ONLY = "you can redistribute it and/or modify it under the terms of the GNU {} version {} as published by the Free Software Foundation."
@@ -41,6 +42,7 @@ PASSAGES = (
     ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
     ("BSD-2-Clause", _BSD),
     ("BSD-3-Clause", f"{_BSD}3. {_NEITHER}"),
+    ("BSD-3-Clause", f"{_BSD}3. {_AUTHOR}"),
     ("BSD-4-Clause", f"{_BSD}3. {_ADVERTISING}"),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at'),
     ("Apache-2.0", "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form."),
@@ -103,6 +105,8 @@ STEPS = (
     (r"\n[ \t]*(?:/\*+|\*+/|\*+|//+|#+|--+|;+|%+|<!--|>+|\|)[ \t]*", "\n"),
     (r"\n[ \t]*(?:\(?(?:[0-9]{1,2}|[a-z]|[ivx]{2,4})[.)]|-|•)[ \t]+", "\n\n"),
     (r"https?://(?:www\.)?", ""),
+    # The name of a holder, dots in it included.
+    (r"neither[ \t\n]+the[ \t\n]+names?[ \t\n]+of[^!?;:]{1,400}?[ \t\n]nor[ \t\n]+(?:the[ \t\n]+)?names?[ \t\n]+of[ \t\n]+(?:its|any|their|the)[ \t\n]+contributors", "neither the name of the copyright holder nor the names of its contributors"),
     (r"[.!?;:]+([ \t\n]|$)", "\n\n{1}"),
 )
 SENTENCE_BREAK, LINE_BREAK = r"\n[ \t]*\n[ \t\n]*", r"\n[ \t\n]*"

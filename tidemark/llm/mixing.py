@@ -19,8 +19,8 @@ from .common import checkpointed, fresh, row_keys, salted_left_join
 WEIGHTS = (5.0, 2.0, 1.0)
 REPEATS = 3
 SEED = 9
-#: Hash ranges into which the documents of one length are dealt, so that no length is one task's work.
-RANGES = 64
+#: The documents of one length are dealt to hash ranges of about so many, so that no length is one task's work; there are MOST_RANGES at most.
+PER_RANGE, MOST_RANGES = 50_000, 1 << 20
 #: Words of a source's budget that are left to the dynamic programme.
 LAST_WORDS = 1 << 16
 
@@ -88,11 +88,11 @@ def _fitted(lengths: np.ndarray, counts: np.ndarray, budget: int, times: int = 1
     return take
 
 
-def _fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
+def _fit_group(pdf: pd.DataFrame, repeats: int) -> pd.DataFrame:
     """The length counts of one source to the number to take of each length."""
     pdf = pdf.sort_values("size").reset_index(drop=True)
     budget = int(round(pdf["target"].iloc[0] - pdf["whole"].iloc[0] * pdf["source_size"].iloc[0]))
-    return pdf.assign(take=_fitted(pdf["size"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64), max(0, budget), max(1, REPEATS - int(pdf["whole"].iloc[0]))))[["source", "size", "n", "take"]]
+    return pdf.assign(take=_fitted(pdf["size"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64), max(0, budget), max(1, repeats - int(pdf["whole"].iloc[0]))))[["source", "size", "n", "take"]]
 
 
 def mix_plan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS, seed: int = SEED) -> DataFrame:
@@ -114,7 +114,10 @@ def _plan(docs: DataFrame, id_column: str, text_column: str, source_column: str,
     )
     # The source as a key that equals itself when null.
     rows = checkpointed(rows.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))))
-    ranges = checkpointed(rows.withColumn("range", F.shiftrightunsigned("hash", 58)).groupBy("key", "source", "size", "range").agg(F.count(F.lit(1)).alias("n")))
+    # At most twice as many ranges as the rows would fill if all were of one length, which any length may be.
+    bits = max(6, min(MOST_RANGES, rows.count() // PER_RANGE).bit_length())
+    range_of = F.shiftrightunsigned("hash", 64 - bits)
+    ranges = checkpointed(rows.withColumn("range", range_of).groupBy("key", "source", "size", "range").agg(F.count(F.lit(1)).alias("n")))
     lengths = ranges.groupBy("key", "source", "size").agg(F.sum("n").alias("n"))
     targets = source_targets(lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, repeats)
     targets = checkpointed(
@@ -123,12 +126,12 @@ def _plan(docs: DataFrame, id_column: str, text_column: str, source_column: str,
         .drop("source")
     )
     # One group per source: its distinct lengths, whose number is bounded by the longest document, not by rows.
-    taken = lengths.drop("source").join(targets, "key").withColumnRenamed("key", "source").groupBy("source").applyInPandas(_fit_group, "source string, size long, n long, take long").select(F.col("source").alias("key"), "size", F.expr("take div n").alias("every"), F.expr("take % n").alias("take"))
+    taken = lengths.drop("source").join(targets, "key").withColumnRenamed("key", "source").groupBy("source").applyInPandas(lambda pdf: _fit_group(pdf, repeats), "source string, size long, n long, take long").select(F.col("source").alias("key"), "size", F.expr("take div n").alias("every"), F.expr("take % n").alias("take"))
     # The first `take` documents of a length by hash: whole ranges up to some range, and a part of that one.
     in_order = Window.partitionBy("key", "size").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     quota = ranges.join(taken, ["key", "size"]).withColumn("quota", F.greatest(F.lit(0), F.least(F.col("n"), F.col("take") - F.coalesce(F.sum("n").over(in_order), F.lit(0)))))
     partial = quota.where("quota > 0 or every > 0").select("key", "size", "range", "quota", "every")
-    ranked = rows.withColumn("range", F.shiftrightunsigned("hash", 58)).withColumn("place", F.row_number().over(Window.partitionBy("key", "size", "range").orderBy("hash", "doc_id", *carried)))
+    ranked = rows.withColumn("range", range_of).withColumn("place", F.row_number().over(Window.partitionBy("key", "size", "range").orderBy("hash", "doc_id", *carried)))
     chosen = ranked.join(partial, ["key", "size", "range"], "left").withColumn("extra", F.coalesce((F.col("place") <= F.col("quota")).cast("long") + F.col("every"), F.lit(0)))
     out = salted_left_join(chosen.select("key", "doc_id", "size", "extra", "hash", *carried), targets, ["key"], "hash", lengths.groupBy("key").agg(F.sum("n").alias("n")))
     return out.select("doc_id", "size", "source_size", "target", F.least(F.lit(repeats), F.col("whole") + F.col("extra")).alias("times"), *carried)
@@ -139,7 +142,7 @@ def mixed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
     Copies belong to rows, whatever their ids; rows that are equal in all columns share theirs.
     """
-    keys = row_keys(docs.columns)
+    keys = row_keys(docs)
     keyed = docs.withColumns(keys)
     times, run, copy = (fresh(name, docs.columns) for name in ("_times", "_run", "_copy"))
     plan = _plan(keyed, id_column, text_column, source_column, weights, repeats, seed, tuple(keys)).where("size > 0 and times > 0")

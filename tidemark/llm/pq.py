@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, connected_components, salted_left_join
+from .common import checkpointed, connected_components, least_by_hash, salted_left_join
 
 COSINE = 0.98
 #: Vectors and bytes of vectors that the index of one width is fitted on, at most.
@@ -288,7 +288,7 @@ def _fitted(distinct: DataFrame, cosine: float, per_list: int, most: tuple[int,
     found = {}
     for width, n in sorted(distinct.groupBy("width").count().toLocalIterator()):
         at_most = int(np.clip(SAMPLE_BYTES // (4 * width), 1, SAMPLE))
-        chosen = distinct.where(F.col("width") == width).orderBy(F.xxhash64("x", F.lit(1)), "id").limit(at_most)
+        chosen = least_by_hash(distinct.where(F.col("width") == width), F.xxhash64("x", F.lit(1)), at_most, n)
         sample = chosen.select(F.col("x").cast("array<double>")).toArrow().column(0).combine_chunks()
         lists = int(np.clip(n // per_list, 1, most[0]))
         sub_lists = int(np.clip(n // (per_list * lists), 1, most[1]))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, crc_mod, in_slices, run_hashes, text_bytes
+from .common import checkpointed, crc_mod, in_slices, least_by_hash, run_hashes, text_bytes
 
 BUCKETS, DIMENSIONS, NONZERO, WINDOW = 1 << 14, 32, 4, 2
 FEATURES = 2 * DIMENSIONS + 4
@@ -189,9 +189,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", t
         .where("id is not null and y is not null")
         .where(crc_mod("id", modulus) != remainder)
         .groupBy("id").agg(F.max("y").alias("y"))
-        .orderBy(F.xxhash64("id", F.lit(3)), "id").limit(SAMPLE)
     )
-    chosen = checkpointed(chosen)
+    chosen = checkpointed(least_by_hash(chosen, F.xxhash64("id", F.lit(3)), SAMPLE, chosen.count()))
     small = docs.sparkSession.sparkContext.broadcast(vectors)
 
     @F.pandas_udf("array<double>")

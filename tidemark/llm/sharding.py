@@ -17,6 +17,7 @@ shards that it reads or rewrites, as Spark's own file listing does.
 
 from __future__ import annotations
 
+import json
 import math
 import time
 import uuid
@@ -26,6 +27,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .common import checkpoint_dir, fresh
 
@@ -65,12 +67,45 @@ class ShardStore:
             return self.spark.createDataFrame([], _MANIFEST)
         return self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifests/v{version:08d}")
 
-    def commit(self, shards: DataFrame, base: int) -> int:
-        """Writes the manifest of version base + 1, all of it or nothing; an error if another writer has committed that version."""
+    def schema(self, version: int | None = None) -> StructType:
+        """The columns of a version's documents, as its manifest keeps them; none of an empty store."""
+        version = self.version() if version is None else version
+        if not version:
+            return StructType()
+        kept = self._file(f"manifests/v{version:08d}/_schema.json")
+        if not self._fs.exists(kept):  # a manifest that came before schemas were kept
+            return self._documents(self.manifest(version)).schema
+        with_ = self._fs.open(kept)
+        try:
+            text = bytes(x & 0xFF for x in self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(with_)).decode()
+        finally:
+            with_.close()
+        return StructType.fromJson(json.loads(text))
+
+    def _joined(self, base: int, arrival: StructType) -> StructType:
+        """The columns of version base and of an arrival; an error if one has another type there.  No widening is done: not of int to long, nor any other."""
+        known = self.schema(base)
+        kinds = {f.name.lower(): f for f in known}
+        for f in arrival:
+            before = kinds.get(f.name.lower())
+            if before is not None and before.dataType.simpleString() != f.dataType.simpleString():
+                raise ValueError(f"column {f.name} is {f.dataType.simpleString()}, but {before.dataType.simpleString()} in {self.path}")
+        return StructType([*known, *(StructField(f.name, f.dataType) for f in arrival if f.name.lower() not in kinds)])
+
+    def commit(self, shards: DataFrame, base: int, schema: StructType | None = None) -> int:
+        """Writes the manifest of version base + 1, all of it or nothing; an error if another writer has committed that version.
+
+        That holds where renaming a folder is one step that fails if the new name exists, as on
+        HDFS and local disks; on an object store without such renames, writers need a lock of their own.
+        """
+        schema = self.schema(base) if schema is None else schema
         mark, final = f"_by-{uuid.uuid4().hex}", f"manifests/v{base + 1:08d}"
         staged = f"manifests/.staged{mark}"
         shards.write.parquet(f"{self.path}/{staged}")
         self._fs.create(self._file(f"{staged}/{mark}"), False).close()
+        out = self._fs.create(self._file(f"{staged}/_schema.json"), False)
+        out.write(bytearray(schema.json().encode()))
+        out.close()
         self._renamed(staged, final)
         if not self._fs.exists(self._file(f"{final}/{mark}")):
             for left in (staged, f"{final}/.staged{mark}"):
@@ -104,20 +139,24 @@ class ShardStore:
         return f"data/run-{version:08d}-{uuid.uuid4().hex[:8]}"
 
     def append(self, arrival: DataFrame) -> int:
-        """Adds the rows of an arrival as small shards, one or more for each of its tasks, and commits."""
+        """Adds the rows of an arrival as small shards, one or more for each of its tasks, and commits.
+
+        It may lack columns, and have new ones; a column of another type than before is an error, before anything is written.
+        """
         base = self.version()
-        run = self._new_run(base + 1)
+        schema, run = self._joined(base, arrival.schema), self._new_run(base + 1)
         arrival.write.option("compression", "zstd").parquet(f"{self.path}/{run}")
-        return self.commit(self.manifest(base).unionByName(self._written(run, base + 1)), base)
+        return self.commit(self.manifest(base).unionByName(self._written(run, base + 1)), base, schema)
 
     def arrivals(self, docs: DataFrame, column: str) -> Iterator[int]:
         """Writes all rows once, by the value of a column of whole numbers (which is not stored); then commits a value at a time, in order, as versions."""
-        run = self._new_run(self.version() + 1)
+        run, arriving = self._new_run(self.version() + 1), docs.drop(column).schema
+        self._joined(self.version(), arriving)
         docs.write.partitionBy(column).option("compression", "zstd").parquet(f"{self.path}/{run}")
         folders = sorted((int(n.split("=")[1]), n) for n in self._names(run) if "=" in n)
         for _, folder in folders:
             base = self.version()
-            yield self.commit(self.manifest(base).unionByName(self._written(f"{run}/{folder}", base + 1)), base)
+            yield self.commit(self.manifest(base).unionByName(self._written(f"{run}/{folder}", base + 1)), base, self._joined(base, arriving))
 
     def _names(self, folder: str) -> list[str]:
         at = self._file(folder)
@@ -147,7 +186,7 @@ class ShardStore:
             run = self._new_run(base + 1)
             files = max(1, math.ceil(first[0]["bytes"] / self.target))
             self._documents(live.where(tier)).coalesce(files).write.option("compression", "zstd").parquet(f"{self.path}/{run}")
-            self.commit(live.where(~tier).unionByName(self._written(run, base + 1)), base)
+            self.commit(live.where(~tier).unionByName(self._written(run, base + 1)), base, self.schema(base))
 
     def vacuum(self, versions: int = 10, seconds: float = 7 * 86_400) -> None:
         """Removes manifests but for the latest `versions`, and shards that none of those names; nothing that is younger than `seconds`.

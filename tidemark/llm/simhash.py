@@ -250,7 +250,25 @@ def fingerprint_links(distinct: DataFrame, most: int = RUN) -> DataFrame:
     dense = first.where("key is not null").select("key", F.col("a").alias("fp"))
     if dense.isEmpty():
         return found
-    return found.union(links(dense, None).select("a", "b")).distinct()
+    return found.union(links(_in_blocks(dense, most), None).select("a", "b")).distinct()
+
+
+def _in_blocks(dense: DataFrame, most: int) -> DataFrame:
+    """(key, fp), where the fingerprints of a key of over `most` fall into blocks of about that many, and each two blocks get a key.
+
+    So no task holds such a key whole, each pair of its fingerprints meets, and each block
+    pair gives a spanning forest of its own.
+    """
+    dense = checkpointed(dense.distinct())
+    counts = checkpointed(dense.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most))
+    if counts.isEmpty():
+        return dense
+    blocks = counts.select("key", F.ceil(F.col("n") / most).cast("int").alias("blocks"))
+    sized = salted_left_join(dense, blocks, ["key"], "fp", dense.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
+    block = F.pmod(F.xxhash64("fp", F.lit(5)), F.col("blocks")).cast("int")
+    split = sized.where("blocks is not null").withColumn("block", block).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pair = F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with"))
+    return sized.where("blocks is null").select("key", "fp").union(split.select(pair.alias("key"), "fp"))
 
 
 def simhash_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -281,7 +299,7 @@ def near_duplicates_removed(docs: DataFrame, id_column: str = "doc_id", text_col
     Groups are of rows, not of ids: rows of a null id take part like others, rows of one id
     fall into groups by their texts, and of rows that are equal in all columns one stays.
     """
-    keys = row_keys(docs.columns)
+    keys = row_keys(docs)
     keyed = docs.withColumns(keys)
     rows = checkpointed(fingerprints(keyed, id_column, text_column, tuple(keys)))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *keys)).alias("least")

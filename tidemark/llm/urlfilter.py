@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 #: (host, path, verdict): a rule fits its host and all subdomains if the path starts with its own.
 HOST_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 DEFAULT = "allow"
+#: Texts of a batch down to which they take their steps together.
+FEW = 64
+_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 @dataclass(frozen=True)
@@ -69,11 +72,22 @@ class Automaton:
         self.accept = np.stack([mask([i for i, s in enumerate(accepts) if c in s]) for c in range(256)])
         self.loop = np.stack([mask([i for i, x in enumerate(loops) if x == "all" or (x and c)]) for c in range(256)])
 
+        self.wide_accept, self.wide_loop = ([int.from_bytes(m.tobytes(), "little") for m in masks] for masks in (self.accept, self.loop))
+
     def _step(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
         shifted = state << np.uint64(1)
         shifted[:, 1:] |= state[:, :-1] >> np.uint64(63)
         return (shifted & self.accept[c]) | (state & self.loop[c])
 
+    def _rest(self, state: np.ndarray, rest: bytes) -> np.ndarray:
+        """The state of one text after the rest of it."""
+        now, accept, loop = int.from_bytes(state.tobytes(), "little"), self.wide_accept, self.wide_loop
+        for c in rest:
+            now = (now << 1 & accept[c]) | (now & loop[c])
+            if not now:
+                break
+        return np.frombuffer(now.to_bytes(8 * self.words, "little"), np.uint64)
+
     def first_match(self, texts: list[bytes]) -> np.ndarray:
         """Of each text, the position in `rules` of the rule that wins, or -1."""
         length = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -83,10 +97,17 @@ class Automaton:
         length = length[order]
         state = np.repeat(self.start[None], len(texts), 0)
         going = len(texts)
-        for i in range(int(length[0]) if len(length) else 0):
+        i, longest = 0, int(length[0]) if len(length) else 0
+        while i < longest:
             while length[going - 1] <= i:
                 going -= 1
+            if going <= FEW:
+                break
             state[:going] = self._step(state[:going], flat[at[:going] + i])
+            i += 1
+        # The few longest go on one by one, as whole numbers: a step costs less than one of the batch.
+        for t in range(going if i < longest else 0):
+            state[t] = self._rest(state[t], flat[at[t] + i : at[t] + length[t]].tobytes())
         out = np.full(len(texts), -1)
         for k in range(len(self.rules) - 1, -1, -1):
             word, bit = divmod(self.last[k], 64)
@@ -102,20 +123,20 @@ def split_url(url: str | None) -> tuple[str, str]:
     for cut in "?#":
         rest = rest.partition(cut)[0]
     host, slash, path = rest.partition("/")
-    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), slash + path
+    return host.translate(_LOWER), slash + path
 
 
 def url_verdicts(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", rules: list[Rule] | None = None, default: str = DEFAULT) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict.
 
-    A URL that no rule fits, a null one included, gets the default verdict and a null rule.
-    Only the two named columns are read.
+    A URL that no rule fits, a null or empty one included, gets the default verdict and a null rule.
+    URLs of any length are read whole, in time and memory in proportion to it.  Rows of equal
+    or null ids and repeated rows are rows like any other.  Only the two named columns are read.
     """
-    rules = [host_rule(*r) for r in HOST_RULES] if rules is None else rules
+    automaton = Automaton([host_rule(*r) for r in HOST_RULES] if rules is None else rules)
 
     @F.pandas_udf("host string, path string, rule string, verdict string")
     def judged(urls: pd.Series) -> pd.DataFrame:
-        automaton = Automaton(rules)
         parts = [split_url(u) for u in urls]
         match = automaton.first_match([b"." + h.encode() + b"\0" + p.encode() for h, p in parts])
         names, verdicts = [*(r.name for r in automaton.rules), None], [*(r.verdict for r in automaton.rules), default]
