@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpoint_dir, removed, table
+from tidemark.llm.common import checkpoint_dir, fresh, removed, table
 from tidemark.llm.mixing import mixed
 from tidemark.llm.packing import packed
 from tidemark.llm.quality import THRESHOLD, with_quality
@@ -21,8 +21,9 @@ from tidemark.llm.simhash import near_duplicates_removed
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores at its threshold or above."""
-    scored = with_quality(docs, table(spark, sf_dir, "labels"), score_column="_quality")
-    return scored.where(F.col("_quality") >= THRESHOLD).drop("_quality")
+    score = fresh("_quality", docs.columns)
+    scored = with_quality(docs, table(spark, sf_dir, "labels"), score_column=score)
+    return scored.where(F.col(score) >= THRESHOLD).drop(score)
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
