@@ -314,7 +314,8 @@ def q59_interpretation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("segment_id", S.interpretation(F.col("depth_100m_p50_m"), F.col("gradient_100_500m_p50"), F.col("bathymetry_valid_transect_share")).alias("interpretation"))
 
 
-@query(rounded(GRID + "--SELECT SELECT f.row, f.col, f.value, c.value AS parent_value FROM grid f LEFT JOIN grid c ON c.row = f.row // 2 AND c.col = f.col // 2", "value", "parent_value"))
+@query(rounded(GRID + """, fine AS (SELECT row, col, value, row // 2 AS prow, col // 2 AS pcol FROM grid), coarse AS (SELECT row AS prow, col AS pcol, value AS parent_value FROM grid)
+--SELECT SELECT f.row, f.col, f.value, c.parent_value FROM fine f LEFT JOIN coarse c ON c.prow = f.prow AND c.pcol = f.pcol""", "value", "parent_value"))
 def q60_parent_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     fine = raster.parent_cells(grid(spark, sf_dir).drop("label"))
     coarse = grid(spark, sf_dir).select(F.col("row").alias("parent_row"), F.col("col").alias("parent_col"), F.col("value").alias("parent_value"))
