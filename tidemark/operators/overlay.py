@@ -18,10 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..functions.lineage import kept
 from ..functions.stats import holds
 
 #: Lengths below this, in the units of the coordinates, are none.
 NEAR = 1e-7
+ZONES_PER_TASK = 2000
+#: Pairs of edges that are compared at once.
+PAIRS = 1 << 20
 _RINGS = f"array<{G.LINE}>"
 
 
@@ -125,14 +129,17 @@ def _slab_breaks(rects: np.ndarray, edges: np.ndarray) -> np.ndarray:
             share = (u - edges[:, 0]) / way[:, 0]
             met = (share > 0) & (share < 1)
             found.append(edges[met, 1] + share[met] * way[met, 1])
-        for k in range(len(edges) - 1):
-            rest = slice(k + 1, None)
-            turn = way[k, 0] * way[rest, 1] - way[k, 1] * way[rest, 0]
-            off = edges[rest, :2] - edges[k, :2]
-            one = (off[:, 0] * way[rest, 1] - off[:, 1] * way[rest, 0]) / turn
-            two = (off[:, 0] * way[k, 1] - off[:, 1] * way[k, 0]) / turn
+        # Each edge with those after it, a block of edges at a time.
+        step = max(1, PAIRS // max(1, len(edges)))
+        for first in range(0, len(edges), step):
+            some = slice(first, first + step)
+            turn = way[some, None, 0] * way[None, :, 1] - way[some, None, 1] * way[None, :, 0]
+            off = edges[None, :, :2] - edges[some, None, :2]
+            one = (off[..., 0] * way[None, :, 1] - off[..., 1] * way[None, :, 0]) / turn
+            two = (off[..., 0] * way[some, None, 1] - off[..., 1] * way[some, None, 0]) / turn
             met = (one > 0) & (one < 1) & (two > 0) & (two < 1)
-            found.append(edges[k, 1] + one[met] * way[k, 1])
+            k = np.nonzero(met)[0]
+            found.append(edges[first + k, 1] + one[met] * way[first + k, 1])
     heights = np.unique(np.concatenate(found))
     heights = heights[(heights >= low) & (heights <= high)]
     return heights[np.concatenate([[True], np.diff(heights) > NEAR])]
@@ -246,6 +253,7 @@ def zones_less_land(
         return F.struct((u + F.col("z.a")).alias("u0"), (u + F.col("z.b")).alias("u1"), (v - half).alias("v0"), (v + half).alias("v1"))
 
     rows = rows.select(F.concat_ws(":", "segment_id", "z.t").alias("zone_id"), "segment_id", F.col("z.t").alias("zone_type"), F.col("z.a").alias("inner_distance_m"), F.col("z.b").alias("outer_distance_m"), "orientation_status", "_clear", "_s", "_c", F.transform("_o", rect).alias("_rects"))
+    rows = kept(rows)  # three uses, and expressions on arrays that would be repeated in each
     open_ = rows.where("_clear")
     corner = lambda u, v: F.transform("_rects", lambda r: F.struct((r[u] * s + r[v] * c).alias("x"), (r[u] * c - r[v] * s).alias("y")))
     corners = F.concat(*[corner(u, v) for u in ("u0", "u1") for v in ("v0", "v1")])
@@ -265,7 +273,9 @@ def zones_less_land(
     def left(rects: pd.Series, land: pd.Series, sine: pd.Series, cosine: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([_zone_left(*row, least) for row in zip(rects, land, sine, cosine, strict=True)], columns=["area", "part_areas", "removed", "pieces"])
 
-    done = open_.join(around, "zone_id", "left").select("zone_id", left("_rects", "_land", "_s", "_c").alias("_z"))
+    # The rows are small and their work is not, so that their bytes are no measure for a number of tasks.
+    tasks = 1 + rows.count() // ZONES_PER_TASK
+    done = open_.join(around, "zone_id", "left").repartition(tasks, "zone_id").select("zone_id", left("_rects", "_land", "_s", "_c").alias("_z"))
     joined = rows.join(done, "zone_id", "left")
     parts = F.size("_z.part_areas")
     warnings = F.concat_ws(
