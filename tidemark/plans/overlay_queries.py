@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..operators import overlay, rings
+from ..sources import located
 from .registry import query
-from .views import GRID, grid, rounded, table, tidy
+from .views import GRID, VERTICES, grid, lines, rounded, table, tidy
 
 ZONES, SPACING = (("nearshore", 2, 10), ("coastal", 10, 24)), 4
 # Parts orders sit in blocks of 40 by 40, a segment and a rectangle of land each.
@@ -113,3 +114,13 @@ def q87_merged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = rings.merged_lines(lines.union(branches).union(closing))
     of = F.floor(F.array_min(F.col("line")["x"]) / 10).cast("long")
     return tidy(merged.select(of.alias("s"), F.size("line").alias("n_vertices"), G.length(F.col("line")).alias("length"), "closed"))
+
+
+@query(rounded(VERTICES + """, n AS (SELECT vec_id, count(*) AS n, min(x) AS min_x, max(y) AS max_y FROM vertices GROUP BY 1)
+--SELECT SELECT vec_id, CAST(9 + 16 * n AS BIGINT) AS wkb_bytes, n AS n_vertices, len AS length, min_x, max_y FROM total JOIN n USING (vec_id)""", "length", "min_x", "max_y"))
+def q88_binary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as well-known binary, and what is read back from it."""
+    binary = lines(spark, sf_dir).select("vec_id", located.to_wkb(F.lit("line"), F.array(F.array("line"))).alias("wkb"))
+    back = binary.select("vec_id", F.octet_length("wkb").alias("wkb_bytes"), located.from_wkb(F.col("wkb")).alias("g"))
+    line, bounds = F.col("g.parts")[0][0], located.box(F.col("g.parts"))
+    return tidy(back.select("vec_id", "wkb_bytes", F.size(line).alias("n_vertices"), G.length(line).alias("length"), bounds["min_x"].alias("min_x"), bounds["max_y"].alias("max_y")))
