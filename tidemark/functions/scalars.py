@@ -116,6 +116,59 @@ def transverse_mercator(lon: Column, lat: Column, zone: int = 31) -> tuple[Colum
     return 500000.0 + 0.9996 * mean_radius * east, 0.9996 * mean_radius * north
 
 
+def web_mercator_inverse(x: Column, y: Column) -> tuple[Column, Column]:
+    """Degrees from EPSG:3857 metres."""
+    radius = 6378137.0
+    return F.degrees(x / radius), F.degrees(2 * F.atan(F.exp(y / radius)) - F.lit(math.pi / 2))
+
+
+def transverse_mercator_inverse(x: Column, y: Column, zone: int = 31) -> tuple[Column, Column]:
+    """Degrees from UTM metres (northern, GRS80), by the inverse of Krueger's series to the third order."""
+    a, f = 6378137.0, 1 / 298.257222101
+    n = f / (2 - f)
+    scale = 0.9996 * a / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    beta = (n / 2 - 2 / 3 * n**2 + 37 / 96 * n**3, n**2 / 48 + n**3 / 15, 17 / 480 * n**3)
+    delta = (2 * n - 2 / 3 * n**2 - 2 * n**3, 7 / 3 * n**2 - 8 / 5 * n**3, 56 / 15 * n**3)
+    north, east = y / scale, (x - 500000.0) / scale
+    xi, eta = north, east
+    for j, c in enumerate(beta, 1):
+        xi = xi - c * F.sin(2 * j * north) * F.cosh(2 * j * east)
+        eta = eta - c * F.cos(2 * j * north) * F.sinh(2 * j * east)
+    conformal = F.asin(F.sin(xi) / F.cosh(eta))
+    lat = conformal
+    for j, c in enumerate(delta, 1):
+        lat = lat + c * F.sin(2 * j * conformal)
+    return F.degrees(F.atan2(F.sinh(eta), F.cos(xi))) + float(6 * zone - 183), F.degrees(lat)
+
+
+def _utm_zone(crs: str) -> int | None:
+    code = crs.removeprefix("EPSG:")
+    zone = int(code[3:]) if len(code) == 5 and code[:3] in ("326", "258") and code.isdigit() else 0
+    return zone if 1 <= zone <= 60 else None
+
+
+def degrees_of(x: Column, y: Column, crs: str) -> tuple[Column, Column]:
+    """Longitude and latitude of coordinates in EPSG:4326, EPSG:3857 or a northern UTM zone (EPSG:326zz, EPSG:258zz); their datums are taken as one."""
+    if crs == "EPSG:4326":
+        return x, y
+    if crs == "EPSG:3857":
+        return web_mercator_inverse(x, y)
+    if zone := _utm_zone(crs):
+        return transverse_mercator_inverse(x, y, zone)
+    raise ValueError(f"unknown coordinates: {crs}")
+
+
+def metres_of(lon: Column, lat: Column, crs: str) -> tuple[Column, Column]:
+    """The inverse of degrees_of."""
+    if crs == "EPSG:4326":
+        return lon, lat
+    if crs == "EPSG:3857":
+        return web_mercator(lon, lat)
+    if zone := _utm_zone(crs):
+        return transverse_mercator(lon, lat, zone)
+    raise ValueError(f"unknown coordinates: {crs}")
+
+
 def interpretation(relief: Column, gradient: Column, valid_share: Column, high_relief: float = 20.0, steep: float = 0.01, shoaling: float = -0.0025) -> Column:
     """A sentence or two on a segment, by fixed rules: land, then sea; what is not known is said to be."""
     land = F.when(relief.isNull(), "Terrain is not available.").when(relief >= high_relief, "High land relief near the coast.").otherwise("Low land relief near the coast.")
