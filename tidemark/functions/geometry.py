@@ -99,6 +99,19 @@ def edge_distance(p: Column, x1: Column, y1: Column, x2: Column, y2: Column) ->
     return F.hypot(p["x"] - (x1 + t * (x2 - x1)), p["y"] - (y1 + t * (y2 - y1)))
 
 
+def hausdorff(a: Column, b: Column) -> Column:
+    """The greatest distance of a vertex of either line from the other line; null if one has no vertex."""
+
+    def gap(p: Column, line: Column) -> Column:
+        n = F.size(line)
+        # A line of one vertex is an edge without length.
+        ends = F.when(n == 1, line).otherwise(F.slice(line, F.lit(2), F.greatest(F.lit(0), n - 1)))
+        return F.array_min(F.zip_with(F.slice(line, F.lit(1), F.size(ends)), ends, lambda q, r: edge_distance(p, q["x"], q["y"], r["x"], r["y"])))
+
+    ways = [F.array_max(F.transform(one, lambda p, other=other: gap(p, other))) for one, other in ((a, b), (b, a))]
+    return F.when((F.size(a) > 0) & (F.size(b) > 0), F.greatest(*ways))
+
+
 def crosses(p: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     """Whether a ray from the point to the right crosses the edge."""
     return ((y1 > p["y"]) != (y2 > p["y"])) & F.coalesce(p["x"] < F.try_divide((x2 - x1) * (p["y"] - y1), y2 - y1) + x1, F.lit(False))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import clarity_queries, overlay_queries, quality_queries, space_queries, table_queries, warp_queries
+from . import clarity_queries, overlay_queries, quality_queries, review_queries, space_queries, table_queries, warp_queries
 from .registry import QUERIES, SQL, Query
 
-MODULES = (clarity_queries, overlay_queries, quality_queries, space_queries, table_queries, warp_queries)
+MODULES = (clarity_queries, overlay_queries, quality_queries, review_queries, space_queries, table_queries, warp_queries)
 
 
 def queries() -> dict[str, Query]:
