@@ -108,8 +108,8 @@ def hausdorff(a: Column, b: Column) -> Column:
         ends = F.when(n == 1, line).otherwise(F.slice(line, F.lit(2), F.greatest(F.lit(0), n - 1)))
         return F.array_min(F.zip_with(F.slice(line, F.lit(1), F.size(ends)), ends, lambda q, r: edge_distance(p, q["x"], q["y"], r["x"], r["y"])))
 
-    ways = [F.array_max(F.transform(one, lambda p, other=other: gap(p, other))) for one, other in ((a, b), (b, a))]
-    return F.when((F.size(a) > 0) & (F.size(b) > 0), F.greatest(*ways))
+    ways = F.greatest(F.array_max(F.transform(a, lambda p: gap(p, b))), F.array_max(F.transform(b, lambda p: gap(p, a))))
+    return F.when((F.size(a) > 0) & (F.size(b) > 0), ways)
 
 
 def crosses(p: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
