@@ -110,3 +110,16 @@ def test_hausdorff_is_the_greatest_gap_of_a_vertex_either_way(spark):
     df = spark.createDataFrame([(line((0, 0), (10, 0)), line((0, 1), (5, 4), (10, 1))), (line((0, 0), (1, 0)), line((0, 0), (1, 0))), (line((3, 4)), line((0, 0))), ([], line((0, 0)))], "a array<struct<x:double,y:double>>, b array<struct<x:double,y:double>>")
     found = [r[0] for r in df.select(G.hausdorff(F.col("a"), F.col("b"))).collect()]
     assert found == [4.0, 0.0, 5.0, None]
+
+
+def test_lines_clipped_to_a_box_keep_their_parts_apart(spark):
+    rows = [
+        ("through", line((-5, 5), (15, 5))), ("twice", line((5, 5), (5, 15), (8, 15), (8, 5), (9, 5))), ("inside", line((1, 1), (2, 2), (3, 1))), ("beside", line((-5, -1), (15, -1))),
+        ("along", line((2, 10), (8, 10))), ("corner", line((-1, 1), (1, -1))), ("touch", line((5, 10), (5, 20))), ("dot", line((5, 5))), ("still", line((5, 5), (5, 5), (6, 5))), ("none", None),
+    ]
+    found = {(r.k, r.part): [(p.x, p.y) for p in r.line] for r in reviews.clipped_lines(spark.createDataFrame(rows, "k string, " + LINE), "k", (0.0, 0.0, 10.0, 10.0)).collect()}
+    assert found[("through", 0)] == [(0, 5), (10, 5)]
+    assert found[("twice", 0)] == [(5, 5), (5, 10)] and found[("twice", 1)] == [(8, 10), (8, 5), (9, 5)]
+    assert found[("inside", 0)] == [(1, 1), (2, 2), (3, 1)] and found[("along", 0)] == [(2, 10), (8, 10)]
+    assert found[("still", 0)] == [(5, 5), (5, 5), (6, 5)]
+    assert {k for k, _ in found} == {"through", "twice", "inside", "along", "still"}

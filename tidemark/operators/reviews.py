@@ -141,3 +141,39 @@ def source_class_review(audit: DataFrame) -> DataFrame:
     of = F.coalesce(F.col("source_class").cast("string"), F.lit("missing"))
     odd = F.upper("source_class").rlike("|".join(SUSPICIOUS))
     return audit.groupBy(of.alias("source_class"), holds(F.col("selected_for_analysis")).alias("selected")).agg(F.count(F.lit(1)).alias("n")).withColumn("suspicious", F.col("selected") & holds(odd))
+
+
+def clipped_lines(lines: DataFrame, key: str, box: tuple[float, float, float, float]) -> DataFrame:
+    """(key, part, line): the parts of lines (key, line) within a box (min_x, min_y, max_x, max_y), numbered along the line.
+
+    A part ends where the line leaves the box; what only touches it, and lines of fewer than
+    two vertices, give nothing.  Column code throughout: no shuffle.
+    """
+    low_x, low_y, high_x, high_y = (F.lit(float(v)) for v in box)
+
+    def cut(p: Column, q: Column) -> Column:
+        # The share of the piece at which it enters the box, and that at which it leaves it.
+        dx, dy = q["x"] - p["x"], q["y"] - p["y"]
+        bounds = F.array(*[F.struct(d.alias("d"), r.alias("r")) for d, r in ((-dx, p["x"] - low_x), (dx, high_x - p["x"]), (-dy, p["y"] - low_y), (dy, high_y - p["y"]))])
+        share = lambda b: F.try_divide(b["r"], b["d"])
+        enter = F.array_max(F.concat(F.array(F.lit(0.0)), F.transform(F.filter(bounds, lambda b: b["d"] < 0), share)))
+        leave = F.array_min(F.concat(F.array(F.lit(1.0)), F.transform(F.filter(bounds, lambda b: b["d"] > 0), share)))
+        outside = F.exists(bounds, lambda b: (b["d"] == 0) & (b["r"] < 0))
+        return F.struct(p.alias("p"), q.alias("q"), enter.alias("a"), F.when(outside, F.lit(-1.0)).otherwise(leave).alias("b"))
+
+    n = F.size("line")
+    pieces = F.zip_with(F.slice("line", F.lit(1), n - 1), F.slice("line", F.lit(2), n - 1), cut)
+    on = lambda s, t: F.when(t == 0, s["p"]).when(t == 1, s["q"]).otherwise(G.point(s["p"]["x"] + t * (s["q"]["x"] - s["p"]["x"]), s["p"]["y"] + t * (s["q"]["y"] - s["p"]["y"])))
+    inside = F.transform(F.filter(pieces, lambda s: s["a"] < s["b"]), lambda s: F.struct((s["a"] > 0).alias("begins"), (s["b"] < 1).alias("ends"), F.array(on(s, s["a"]), on(s, s["b"])).alias("line")))
+    # A piece goes on with the last part if that ended where this one begins.
+    part = "array<struct<ends:boolean,line:array<struct<x:double,y:double>>>>"
+
+    def joined(parts: Column, s: Column) -> Column:
+        last = F.element_at(parts, -1)
+        new = F.struct(s["ends"].alias("ends"), s["line"].alias("line"))
+        longer = F.struct(s["ends"].alias("ends"), F.concat(last["line"], F.slice(s["line"], 2, 1)).alias("line"))
+        goes_on = (F.size(parts) > 0) & ~s["begins"] & ~F.coalesce(F.get(parts, F.size(parts) - 1)["ends"], F.lit(True)) & (F.get(F.get(parts, F.size(parts) - 1)["line"], F.size(F.get(parts, F.size(parts) - 1)["line"]) - 1) == s["line"][0])
+        return F.when(goes_on, F.concat(F.slice(parts, F.lit(1), F.size(parts) - 1), F.array(longer))).otherwise(F.concat(parts, F.array(new))).cast(part)
+
+    rows = lines.where(n > 1).select(F.col(key), F.aggregate(inside, F.array().cast(part), joined).alias("parts"))
+    return rows.select(key, F.posexplode("parts").alias("part", "p")).select(key, "part", F.col("p.line").alias("line"))

@@ -97,3 +97,13 @@ def q94_hausdorff_of_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The distance of a line's first 16 vertices from its last 16."""
     halves = [F.slice("line", start, 16) for start in (1, 17)]
     return tidy(lines(spark, sf_dir).select("vec_id", G.hausdorff(*halves).alias("hausdorff")))
+
+
+@query(rounded(VERTICES + """, steps AS (SELECT vec_id, k, x, y, dx, dy FROM pieces WHERE dx IS NOT NULL),
+cuts AS (
+  SELECT vec_id, k, sqrt(dx * dx + dy * dy) AS len, greatest(0.0, least((-60 - x) / dx, (60 - x) / dx), least((-60 - y) / dy, (60 - y) / dy)) AS a, least(1.0, greatest((-60 - x) / dx, (60 - x) / dx), greatest((-60 - y) / dy, (60 - y) / dy)) AS b FROM steps
+), within AS (SELECT *, a > 0 OR coalesce(lag(k) OVER w, -9) <> k - 1 AS begins FROM cuts WHERE a < b WINDOW w AS (PARTITION BY vec_id ORDER BY k))
+--SELECT SELECT vec_id, count(*) FILTER (WHERE begins) AS parts, sum((b - a) * len) AS length FROM within GROUP BY 1""", "length"))
+def q95_clipped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = reviews.clipped_lines(lines(spark, sf_dir).select("vec_id", "line"), "vec_id", (-60.0, -60.0, 60.0, 60.0))
+    return tidy(parts.groupBy("vec_id").agg(F.count(F.lit(1)).alias("parts"), F.sum(G.length(F.col("line"))).alias("length")))
