@@ -290,6 +290,32 @@ def test_zone_membership(spark):
     assert got == {(1, "s_nearshore"), (2, "s_coastal")}
 
 
+def shuffled_rows(spark):
+    """How many rows the session has written to shuffles so far."""
+    jvm = spark.sparkContext._jvm
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(jvm.java.util.ArrayList(), False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return sum({stages.apply(i).stageId(): stages.apply(i).shuffleWriteRecords() for i in range(stages.size())}.values())
+
+
+def test_zone_membership_shuffles_no_results(spark, monkeypatch):
+    monkeypatch.setattr(coast, "POINTS_PER_BLOCK", 64, raising=False)
+    seaward = spark.createDataFrame([(f"s{i}", [(0.0, float(i % 7))], 90.0) for i in range(300)], "segment_id string, line array<struct<x:double,y:double>>, bearing_deg double")
+    points = spark.createDataFrame([(i, (50.0 + i / 100, i / 100)) for i in range(400)], "id int, p struct<x:double,y:double>")
+    before = shuffled_rows(spark)
+    found = coast.zone_membership(points, "id", coast.zone_strips(seaward, (("z", 20, 100),)), 50.0).select("id", "zone_id").collect()
+    assert len(found) == len(set(found)) == 300 * 400
+    assert shuffled_rows(spark) - before < 300 * 400 / 4
+
+
+def test_zone_membership_names_a_pair_once(spark):
+    """Zones of several strips, keys of several points, and nulls."""
+    line = "segment_id string, line array<struct<x:double,y:double>>, bearing_deg double"
+    strips = coast.zone_strips(spark.createDataFrame([("s", [(0.0, float(y))], 90.0) for y in (0, 30, 60, 400)], line), (("z", 0, 100),))
+    points = spark.createDataFrame([(1, (50.0, 20.0)), (2, (5.0, 5.0)), (2, (95.0, 60.0)), (2, (95.0, 60.0)), (None, (50.0, 20.0)), (3, None), (4, (50.0, 200.0))], "id int, p struct<x:double,y:double>")
+    got = [(r["id"], r["zone_id"]) for r in coast.zone_membership(points, "id", strips, 30.0).collect()]
+    assert sorted(got, key=str) == [(1, "s_z"), (2, "s_z"), (None, "s_z")]
+
+
 def test_geojson_and_writers(spark, tmp_path):
     features = [
         {"type": "Feature", "id": "a", "properties": {"class": "high"}, "geometry": {"type": "MultiLineString", "coordinates": [[[10, 0], [50, 1]], [[50, 1], [90, 2]]]}},

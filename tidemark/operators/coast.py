@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..functions.stats import holds
 
+#: Points of a cell that one task compares with the cell's strips.
+POINTS_PER_BLOCK = 4096
+
 
 def rings_to_parts(polygons: DataFrame, region: str, interiors: bool = False) -> DataFrame:
     """One row per ring of `rings` (the first of a polygon is its outer one): coastline_part_id and line, numbered by polygon_id and ring."""
@@ -200,7 +203,10 @@ def zone_membership(points: DataFrame, key: str, strips: DataFrame, cell: float
     """(key, zone_id) for each point (key, p) in a zone, once each.
 
     Points and strips meet by an equality join on square cells: a strip goes to all cells
-    that its bounding box touches, a point to its own.  Sines are taken once per strip.
+    that its bounding box touches, a point to its own.  Sines are taken once per strip.  A
+    zone's strips of one cell are one row there, so that a point meets a zone once and what is
+    found, which may be of the order of points times zones, is not shuffled; only for keys
+    of several points it is.  Crowded cells are dealt in blocks of points.
     """
     at = lambda v: F.floor(v / cell).cast("long")
     turned = strips.withColumns({"_s": F.sin(F.radians("bearing_deg")), "_c": F.cos(F.radians("bearing_deg"))})
@@ -209,8 +215,29 @@ def zone_membership(points: DataFrame, key: str, strips: DataFrame, cell: float
     ys = [F.col("origin")["y"] + c * F.col(d) - k * s * w for d in ("from_m", "to_m") for k in (-1, 1)]
     cells = lambda v: F.explode(F.sequence(at(F.least(*v)), at(F.greatest(*v))))
     spread = turned.withColumn("_cx", cells(xs)).withColumn("_cy", cells(ys))
-    met = points.select(key, "p", at(F.col("p")["x"]).alias("_cx"), at(F.col("p")["y"]).alias("_cy")).join(spread, ["_cx", "_cy"])
-    return met.where(in_strip(F.col("p"), F.col("origin"), s, c, F.col("from_m"), F.col("to_m"), w)).select(key, "zone_id", "zone_type", "segment_id").distinct()
+    spots = points.select(F.col(key).alias("_key"), "p", at(F.col("p")["x"]).alias("_cx"), at(F.col("p")["y"]).alias("_cy")).where("_cx is not null and _cy is not null")
+    # One row per cell of more than a block of points.
+    crowded = spots.groupBy("_cx", "_cy").agg(F.ceil(F.count(F.lit(1)) / POINTS_PER_BLOCK).cast("int").alias("_blocks")).where("_blocks > 1")
+    dealt = lambda df: df.join(F.broadcast(crowded), ["_cx", "_cy"], "left")
+    blocks = F.coalesce("_blocks", F.lit(1))
+    place = ["_cx", "_cy", "_block"]
+    # The rows are few for what comes of them, so that their bytes are no measure for a number of tasks.
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = ["zone_id", "zone_type", "segment_id"]
+    strip = ["origin", "_s", "_c", "from_m", "to_m", "half_width"]
+    there = dealt(spread.select(*own, *strip, "_cx", "_cy")).select(*own, *strip, "_cx", "_cy", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_block")).repartition(tasks, *place)
+    zones = there.groupBy(*own, *place).agg(F.collect_set(F.struct(*strip)).alias("_strips"))
+    numbers = spots.groupBy(F.col("_key").alias("_same")).agg((F.count(F.lit(1)) == 1).alias("_once"))
+    spots = dealt(spots.join(numbers, F.col("_key").eqNullSafe(F.col("_same"))))
+    spots = spots.select("_key", "p", "_once", "_cx", "_cy", F.pmod(F.xxhash64("_key", "p"), blocks).cast("int").alias("_block")).repartition(tasks, *place)
+    inside = lambda z: in_strip(F.col("p"), z["origin"], z["_s"], z["_c"], z["from_m"], z["to_m"], z["half_width"])
+    one = zones.where(F.size("_strips") == 1).select(*own, *place, F.col("_strips")[0].alias("_strip")).select(*own, *place, "_strip.*")
+    once, repeated = spots.where("_once"), spots.where("not _once")
+    alone = once.join(one, place).where(in_strip(F.col("p"), F.col("origin"), s, c, F.col("from_m"), F.col("to_m"), w))
+    several = once.join(zones.where(F.size("_strips") > 1), place).where(F.exists("_strips", inside))
+    again = repeated.join(zones, place).where(F.exists("_strips", inside))
+    out = [F.col("_key").alias(key), *own]
+    return alone.select(*out).union(several.select(*out)).union(again.select(*out).distinct())
 
 
 def within_distance(left: DataFrame, right: DataFrame, left_key: str, right_key: str, distance: float) -> DataFrame:
