@@ -209,3 +209,24 @@ def test_merged_lines_against_a_walk(spark):
     assert sorted(found, key=repr) == sorted(map(shape_of, plain_merge(lines)), key=repr)
     assert sorted(n for r in got for n in r["line_ids"]) == sorted({n for r in got for n in r["line_ids"]})
     assert all(r["closed"] == (kind == "closed") for r, (kind, _) in zip(got, found, strict=True))
+
+
+def test_zones_swept_together_are_as_each_alone(spark, monkeypatch):
+    pick = np.random.default_rng(3)
+    zones = [(pick.uniform(0, 20, (pick.integers(1, 4), 4)).round(1), pick.uniform(-5, 25, (pick.integers(0, 4), 3, 2)).round(1)) for _ in range(60)]
+    rects = [np.stack([r[:, :2].min(1), r[:, :2].max(1) + 1, r[:, 2:].min(1), r[:, 2:].max(1) + 1], 1) for r, _ in zones]
+    edges = [np.concatenate([t, np.roll(t, -1, 1)], 2).reshape(-1, 4) for t in (np.where((np.array([overlay.signed_area(r) for r in land]) > 0)[:, None, None], land, land[:, ::-1]) if len(land) else land for _, land in zones)]
+    number = lambda lists: np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    alone = [overlay.difference(1, number([r]), r, number([e]), e) for r, e in zip(rects, edges, strict=True)]
+    for pairs in (overlay.PAIRS, 7):
+        monkeypatch.setattr(overlay, "PAIRS", pairs)
+        zone, part, rows = overlay.difference(60, number(rects), np.concatenate(rects), number(edges), np.concatenate(edges))
+        for k, (_, p, r) in enumerate(alone):
+            assert np.array_equal(rows[zone == k], r)
+            assert np.array_equal(np.unique(part[zone == k], return_inverse=True)[1], np.unique(p, return_inverse=True)[1])
+
+
+def test_segments_of_one_id_have_a_row_each(spark):
+    rows = [("a", [(0, 0), (10, 0)], 0.0, "resolved"), ("a", [(0, 0), (10, 0)], 0.0, "resolved")]
+    got = overlay.zones_less_land(segment(spark, rows), polygons(spark, [[box(2, 0, 4, 100)]]), (("z", 2, 6),), 10.0, 50.0).collect()
+    assert [r["zone_area_m2"] for r in got] == [32.0, 32.0]
