@@ -230,3 +230,29 @@ def test_segments_of_one_id_have_a_row_each(spark):
     rows = [("a", [(0, 0), (10, 0)], 0.0, "resolved"), ("a", [(0, 0), (10, 0)], 0.0, "resolved")]
     got = overlay.zones_less_land(segment(spark, rows), polygons(spark, [[box(2, 0, 4, 100)]]), (("z", 2, 6),), 10.0, 50.0).collect()
     assert [r["zone_area_m2"] for r in got] == [32.0, 32.0]
+
+
+def shuffled_rows(spark):
+    """How many rows the session has written to shuffles so far."""
+    jvm = spark.sparkContext._jvm
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(jvm.java.util.ArrayList(), False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return sum({stages.apply(i).stageId(): stages.apply(i).shuffleWriteRecords() for i in range(stages.size())}.values())
+
+
+def test_chains_of_every_length_and_their_rounds(spark):
+    pick = random.Random(2)
+    ids = list(range(1, 6000))
+    pick.shuffle(ids)
+    links, wanted = [], {}
+    for length, cycle in [(n, c) for n in range(1, 20) for c in (True, False)] + [(150, True), (3, False)] + [(4, True)] * 1200:
+        chain = [ids.pop() for _ in range(length)]
+        links += [(a, b) for a, b in zip(chain, [*chain[1:], chain[0] if cycle else None])]
+        if cycle:
+            k = chain.index(min(chain))
+            chain = chain[k:] + chain[:k]
+        wanted |= {i: (chain[0] if cycle else chain[-1], length - 1 - k) for k, i in enumerate(chain)}
+    df = spark.createDataFrame(links, "id long, next long").repartition(3)
+    before = shuffled_rows(spark)
+    assert {r["id"]: (r["chain"], r["rest"]) for r in rings.chained(df).collect()} == wanted
+    # Short chains take no part in the rounds of the longest one.
+    assert shuffled_rows(spark) - before < 9 * len(links)

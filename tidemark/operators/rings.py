@@ -6,6 +6,8 @@ the logarithm of the longest chain.  A ring or a merged line becomes one row at
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,24 +18,31 @@ def chained(links: DataFrame) -> DataFrame:
     """(id, chain, rest) of links (id, next): the last id of its path, or the least id of its cycle, and how many links follow.
 
     Each id has one link at most, and no two lead to one id; `next` is null at the end of a
-    path.  In a cycle the least id comes first.
+    path.  In a cycle the least id comes first.  Each round doubles the window of ids ahead that an id knows; ids that
+    have seen their path's end or all of their cycle take no part in the rounds that follow.
     """
-    low = kept(links.select("id", "next", F.col("id").alias("low")))
+    none = F.lit(None).cast("long")
+    start = links.select("id", "next", F.col("next").isNotNull().cast("long").alias("rest"), F.coalesce("next", "id").alias("last"), F.col("id").alias("low"), F.lit(0).cast("long").alias("off"), none.alias("chain"), none.alias("left"))
+    circle, ended = F.col("chain").isNotNull(), F.col("chain").isNull() & F.col("next").isNull()
+    state, found, ends = kept(start), [], []
     while True:
-        ahead = low.select(F.col("id").alias("next"), F.col("next").alias("_next"), F.col("low").alias("_low"))
-        # Once an id's next is null, it lies on a path.
-        moved = kept(low.join(ahead, "next", "left").select("id", F.col("_next").alias("next"), F.least("low", "_low").alias("low"), (F.col("next").isNotNull() & (F.col("_next").isNull() | (F.col("_low") < F.col("low")))).alias("_moved")))
-        low = moved.drop("_moved")
-        if moved.where("_moved").isEmpty():
+        active, over = state.agg(F.count_if(~circle & ~ended), F.count_if(ended)).first()
+        found.append(state.where(circle | ended).select("id", F.coalesce("chain", "last").alias("chain"), F.coalesce("left", "rest").alias("rest")))
+        if not active:
             break
-    circles = low.where("next is not null").select("id", "low")
-    cut = F.when(F.col("next") == F.col("low"), None).otherwise(F.col("next"))
-    paths = links.select("id", "next").join(circles, "id", "left").select("id", F.coalesce(cut, F.when(F.col("low").isNull(), F.col("next"))).alias("next"), "low")
-    state = kept(paths.select("id", "low", "next", F.col("next").isNotNull().cast("long").alias("rest"), F.coalesce("next", "id").alias("last")))
-    while not state.where("next is not null").isEmpty():
-        ahead = state.select(F.col("id").alias("next"), F.col("next").alias("_next"), F.col("rest").alias("_rest"), F.col("last").alias("_last"))
-        state = kept(state.join(ahead, "next", "left").select("id", "low", F.col("_next").alias("next"), (F.col("rest") + F.coalesce("_rest", F.lit(0))).alias("rest"), F.coalesce("_last", "last").alias("last")))
-    return state.select("id", F.coalesce("low", "last").alias("chain"), "rest")
+        if over:
+            ends.append(state.where(ended))
+        # A cycle's ids find it closed in one round or the next, so that those of the last round are still asked for; ends of paths are, until all is done.
+        asked = reduce(DataFrame.union, ends, state.where(~ended))
+        ahead = asked.select(F.col("id").alias("next"), *[F.col(c).alias(f"_{c}") for c in ("next", "rest", "last", "low", "off")])
+        # The same least id in a window and the next: the two hold the whole cycle, and the least id comes again after its length.
+        closed = F.col("low") == F.col("_low")
+        state = kept(state.where(~circle & ~ended).join(ahead, "next", "left").select(
+            "id", F.col("_next").alias("next"), (F.col("rest") + F.coalesce("_rest", F.lit(0))).alias("rest"), F.coalesce("_last", "last").alias("last"), F.least("low", "_low").alias("low"),
+            F.when(F.col("_low") < F.col("low"), F.col("rest") + F.col("_off")).otherwise(F.col("off")).alias("off"),
+            F.when(closed, F.col("low")).alias("chain"), F.when(closed, F.when(F.col("off") == 0, F.col("rest") + F.col("_off")).otherwise(F.col("off")) - 1).alias("left"),
+        ))
+    return reduce(DataFrame.union, found)
 
 
 def ring_edges(polygons: DataFrame) -> DataFrame:
