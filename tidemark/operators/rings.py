@@ -96,12 +96,12 @@ def merged_lines(lines: DataFrame) -> DataFrame:
     rows = kept(lines.where(F.size("line") > 1).select(F.monotonically_increasing_id().alias("n"), "line"))
     first, last = F.element_at("line", 1), F.element_at("line", -1)
     halves = kept(rows.select("n", F.explode(F.array(F.struct((2 * F.col("n")).alias("id"), first.alias("a"), last.alias("b")), F.struct((2 * F.col("n") + 1).alias("id"), last.alias("a"), first.alias("b")))).alias("h")).select("n", "h.*"))
-    meet = halves.groupBy(F.col("a").alias("b")).agg(F.count(F.lit(1)).alias("degree")).where("degree = 2").select("b")
-    starts = halves.join(meet.withColumnRenamed("b", "a"), "a").select(F.col("a").alias("b"), F.col("id").alias("to"))
-    # A half goes on with the other line's half there, or, of a closed line alone, with itself.
-    links = halves.select("id", "b").join(starts, "b", "left").where("to is null or to <> id + 1 - 2 * (id % 2)")
-    links = halves.select("id").join(links.select("id", F.col("to").alias("next")), "id", "left")
-    chains = chained(links).join(halves.select("id", "n"), "id").join(rows, "n")
+    # Where two halves start, the other half of each goes on with the other one, or, of a closed line alone, with itself.
+    other = lambda c: F.col(c).bitwiseXOR(F.lit(1))
+    meet = halves.groupBy("a").agg(F.count(F.lit(1)).alias("degree"), F.min("id").alias("s"), F.max("id").alias("t")).where("degree = 2")
+    links = meet.select(F.explode(F.array(F.struct(other("s").alias("id"), F.col("t").alias("next")), F.struct(other("t").alias("id"), F.col("s").alias("next")))).alias("l")).select("l.*")
+    links = halves.select("id").join(links, "id", "left")
+    chains = chained(links).withColumn("n", F.shiftright("id", 1)).join(rows, "n")
     way = F.when(F.col("id") % 2 == 0, F.col("line")).otherwise(F.reverse("line"))
     # Each chain is there in both directions: the one that holds its least line as it is stays.
     whole = chains.select("chain", "id", "n", (-F.col("rest")).alias("k"), way.alias("line")).groupBy("chain").agg(F.min("id").alias("least"), F.array_sort(F.collect_list(F.struct("k", "n", "line"))).alias("parts"))
