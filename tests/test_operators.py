@@ -1,6 +1,7 @@
 """Operators on small tables with known answers."""
 
 import json
+import random
 
 import numpy as np
 import pytest
@@ -212,6 +213,28 @@ def seasonal(spark, rows, **options):
     return optical.seasonal_features(df, {"extended": (5, 6, 7, 8, 9), "june": (6,), "july": (7,)}, **options)
 
 
+def test_persistence_is_that_of_all_features_and_ranks_are_taken_once(spark):
+    """Also of segments and months without a valid observation."""
+    pick = random.Random(8)
+    rows = [(f"s{pick.randint(0, 5)}", "z", f"{y}Q{m}", y, m, pick.choice([True, True, False, None]), pick.choice([None, 10.0, 74.0, 75.0, 90.0])) for y in (2001, 2002) for m in range(4, 11) for _ in range(12)]
+    rows += [("never", "z", "2001Q5", 2001, 5, False, 80.0), ("winter", "z", "2001Q1", 2001, 1, True, 80.0)]
+    looked = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            looked.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(rows, "segment_id string, zone_type string, scene_id string, year long, month long, valid boolean, clarity_percentile double").withColumn("glint_excluded_share", F.lit(0.1))
+    df = df.mapInArrow(counted, df.schema)
+    periods = {"extended": (5, 6, 7, 8, 9), "june": (6,)}
+    pairs = lambda out: {tuple(r) for r in out.select("segment_id", "period_id", "clarity_persistence").collect()}
+    whole = pairs(optical.seasonal_features(df, periods))
+    assert looked.value == len(rows)
+    assert pairs(optical.persistence(df, periods)) == whole and ("never", "extended", None) in whole
+    assert looked.value == 2 * len(rows)
+
+
 def test_seasonal_features(spark):
     rows = [("s", "nearshore", f"s{i}", 2020 + i % 3, 6 if i % 2 else 7, 90.0 if i % 2 else 10.0, True, None) for i in range(6)]
     got = {r["period_id"]: r for r in seasonal(spark, rows).collect()}

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import normalised_difference, ratio
+from ..functions.lineage import kept
 from ..functions.stats import finite, holds, percentile_ranks, share, spread, value_numbers
 from .raster import gradients
 
@@ -253,6 +254,27 @@ def confidence(scenes: Column, months: Column, years: Column, valid_share: Colum
     return F.struct(level.alias("clarity_data_confidence"), flag.alias("clarity_quality_flag"), F.array_join(reasons, ";").alias("clarity_limitation_reasons"))
 
 
+def _by_period(observations: DataFrame, periods: Mapping[str, Sequence[int]], value: str) -> DataFrame:
+    """A row per observation and period of its month, with _valid and the _value of valid ones."""
+    of_month = F.array_compact(F.array(*[F.when(F.col("month").isin(*months), F.lit(p)) for p, months in periods.items()])) if periods else F.array().cast("array<string>")
+    valid = holds(F.col("valid")) & F.col(value).isNotNull()
+    return observations.withColumn("period_id", F.explode(of_month)).withColumns({"_valid": valid, "_value": F.when(valid, F.col(value))})
+
+
+def _clear_months(counts: DataFrame, keys: Sequence[str], clear: float) -> DataFrame:
+    """The share of months (of a year) whose median is clear, from values with their numbers; months without a value do not count."""
+    monthly = counts.groupBy(*keys, "year", "month").agg(F.percentile("_v", 0.5, F.col("_n")).alias("_median"))
+    return monthly.groupBy(*keys).agg(share(F.col("_median") >= clear, F.col("_median").isNotNull()).alias("clarity_persistence"))
+
+
+def persistence(observations: DataFrame, periods: Mapping[str, Sequence[int]], clear: float = 75.0, value: str = "clarity_percentile") -> DataFrame:
+    """The clarity_persistence of `seasonal_features` alone, for the same rows: one pass over the observations, without what the other features take."""
+    keys = ["segment_id", "zone_type", "period_id"]
+    rows = _by_period(observations, periods, value).select(*keys, "year", "month", finite(F.col("_value")).alias("_v"))
+    # Months without a value stay, so that every segment, zone and period does.
+    return _clear_months(rows.groupBy(*keys, "year", "month", "_v").agg(F.count(F.lit(1)).alias("_n")), keys, clear)
+
+
 def seasonal_features(
     observations: DataFrame, periods: Mapping[str, Sequence[int]], clear: float = 75.0, turbid: float = 25.0,
     minimum_scenes: int = 12, minimum_months: int = 3, value: str = "clarity_percentile",
@@ -263,16 +285,15 @@ def seasonal_features(
     A month may be in several periods.  Quantiles and shares are of valid observations with
     a value; the burden is of all.  Persistence is the share of months (of a year) whose
     median is clear.  The periods are a literal array, joined by exploding it.  Bottom
-    texture is told where observations say if theirs is repeatable.
+    texture is told where observations say if theirs is repeatable.  Observations are computed once and kept.
     """
     keys = ["segment_id", "zone_type", "period_id"]
-    of_month = F.array_compact(F.array(*[F.when(F.col("month").isin(*months), F.lit(p)) for p, months in periods.items()])) if periods else F.array().cast("array<string>")
     excluded = [c for c in observations.columns if c.endswith("_excluded_share")]
     burden = F.least(F.lit(1.0), reduce(lambda a, b: a + b, (F.coalesce(F.col(c), F.lit(0.0)) for c in excluded), F.lit(0.0)))
-    valid = holds(F.col("valid")) & F.col(value).isNotNull()
-    rows = observations.withColumn("period_id", F.explode(of_month)).withColumns({"_burden": burden, "_valid": valid, "_value": F.when(valid, F.col(value))})
-    v, among = F.col("_value"), F.col("_valid")
     textures = {"candidate": "apparent_bottom_texture_candidate", "repeatable": "apparent_bottom_texture_repeatable"}
+    used = {"segment_id", "zone_type", "scene_id", "year", "month", "valid", value, *excluded, *textures.values()}
+    rows = _by_period(kept(observations.select(*[c for c in observations.columns if c in used])), periods, value).withColumn("_burden", burden)
+    v, among = F.col("_value"), F.col("_valid")
     # Years and months are few; scenes are counted by a shuffle of their own.
     few = lambda c: F.size(F.collect_set(F.when(among, F.col(c)))).cast("long")
     main = rows.groupBy(*keys).agg(
@@ -290,11 +311,9 @@ def seasonal_features(
     )
     # One table of values and their numbers gives the months' medians, the quantiles and the spread.
     counts = value_numbers(rows, [*keys, "year", "month"], v)
-    monthly = counts.groupBy(*keys, "year", "month").agg(F.percentile("_v", 0.5, F.col("_n")).alias("_median"))
-    persistence = monthly.groupBy(*keys).agg(share(F.col("_median") >= clear).alias("clarity_persistence"))
     renamed = {"clarity_percentile_iqr": "clarity_variability_iqr", "clarity_percentile_mad": "clarity_variability_mad"}
     shape = spread(counts, keys, "clarity_percentile", {"p10": 0.1, "p90": 0.9}).withColumnsRenamed(renamed)
-    out = main.join(shape, keys, "left").join(persistence, keys, "left")
+    out = main.join(shape, keys, "left").join(_clear_months(counts, keys, clear), keys, "left")
     made = confidence(F.col("valid_scene_count"), F.col("valid_month_count"), F.col("valid_year_count"), F.col("valid_observation_share"), F.col("mean_mask_burden"), minimum_scenes, minimum_months)
     out = out.withColumn("_c", made).select("*", "_c.*").drop("_c")
     return _with_bottom_texture(out, bottom_scenes, bottom_share) if set(textures.values()) & set(observations.columns) else out
